@@ -1,0 +1,77 @@
+"""End-to-end plans: silver build, gold frames, views, the daily run."""
+
+from __future__ import annotations
+
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from transitlens.operators import dark as D
+from transitlens.operators import delay as G
+from transitlens.operators import sla as S
+from transitlens.operators.dedup import dedup_scans, dedup_shipments
+from transitlens.operators.silver import silver_stays
+from transitlens.sources import fixtures
+from transitlens.sources import reference as R
+
+
+class Silver(NamedTuple):
+    shipments: DataFrame
+    scans: DataFrame
+    stays: DataFrame   # silver wide table + total_time, one row per hub stay
+    hubs: DataFrame
+    cities: DataFrame
+
+
+def build_silver(shipments: DataFrame, scans: DataFrame, hubs: DataFrame, cities: DataFrame,
+                 dedupe: bool = False, shipments_newest_by: str | None = None) -> Silver:
+    """Silver stays (J7) plus the gold TOTAL_TIME column.
+
+    ``dedupe`` removes repeated scans and collapses colliding shipment ids
+    (newest ``shipments_newest_by`` wins) before the join, so it cannot fan out.
+    """
+    if dedupe:
+        scans = dedup_scans(scans)
+        shipments = dedup_shipments(shipments, shipments_newest_by)
+    stays = G.with_total_time(silver_stays(shipments, scans, hubs))
+    return Silver(shipments, scans, stays, hubs, cities)
+
+
+def silver_from_tables(spark: SparkSession, sf_dir: str, dedupe: bool = False,
+                       with_duplicates: bool = False) -> Silver:
+    """Silver over the shipments/scans derived from the star-schema tables."""
+    fx = fixtures.build(spark, sf_dir, with_duplicates=with_duplicates)
+    return build_silver(fx.shipments, fx.scans, fx.hubs, fx.cities, dedupe=dedupe)
+
+
+def as_text(df: DataFrame) -> DataFrame:
+    """Render timestamp / date columns as text ('yyyy-MM-dd HH:mm:ss' / 'yyyy-MM-dd')."""
+    cols = []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+            cols.append(F.date_format(F.col(f.name), "yyyy-MM-dd HH:mm:ss").alias(f.name))
+        elif isinstance(f.dataType, T.DateType):
+            cols.append(F.date_format(F.col(f.name), "yyyy-MM-dd").alias(f.name))
+        else:
+            cols.append(F.col(f.name))
+    return df.select(*cols)
+
+
+def register_views(spark: SparkSession, silver: Silver, prefix: str = "") -> list[str]:
+    """Expose the silver table and the gold views to SQL users."""
+    views = {
+        "shipping_silver": silver.stays,
+        "total_time_by_hub": G.total_time_by_hub(silver.stays),
+        "worst_carrier": G.carrier_delay(silver.stays),
+        "dark_periods": D.dark_periods(silver.stays, silver.cities),
+        "sla_status": S.sla_status(silver.stays),
+    }
+    for name, df in views.items():
+        df.createOrReplaceTempView(prefix + name)
+    return [prefix + n for n in views]
+
+
+def reference_dims(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
+    return R.hub_master(spark), R.cities(spark)
