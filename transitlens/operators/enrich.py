@@ -1,9 +1,7 @@
 """Shipment enrichment: distances, zone, SLA hours, promised delivery, hub ids.
 
-The reference precomputes a dictionary of city-pair distances in the driver
-and calls Python per shipment. Here the distance is a column expression over
-the coordinates of both endpoints, fetched by two broadcast equi-joins to the
-40-row city dimension, so no pair table and no Python runs per row.
+Distances come from a (from_city, to_city, road_km) table joined by
+broadcast on both keys; no Python runs per row.
 """
 
 from __future__ import annotations
@@ -13,32 +11,48 @@ from pyspark.sql import functions as F
 
 from transitlens import constants as K
 from transitlens.functions.classify import sla_hours, zone
-from transitlens.functions.geo import road_km
+from transitlens.functions.geo import with_road_km
 from transitlens.functions.temporal import add_hours
 from transitlens.sources.reference import bounded_broadcast
 
 
-def with_road_distance(df: DataFrame, cities: DataFrame, from_col: str, to_col: str,
-                       out_col: str = "distance_km", road_factor: float = K.ROAD_FACTOR,
-                       null_from_is_zero: bool = False) -> DataFrame:
+def with_road_distance(df: DataFrame, distances: DataFrame, from_col: str, to_col: str,
+                       out_col: str = "distance_km", null_from_is_zero: bool = False) -> DataFrame:
     """Add ``out_col`` = road km between the cities in ``from_col`` and ``to_col``.
 
-    Same city -> 0. With ``null_from_is_zero`` a NULL origin also gives 0
-    (first hop of a journey). Unknown cities give NULL.
+    ``distances`` is a (from_city, to_city, road_km) table (see
+    ``reference.city_distances`` / ``route_distances``); it is broadcast when
+    its size allows. Same city -> 0. With ``null_from_is_zero`` a NULL origin
+    also gives 0 (first hop of a journey). Unknown pairs give NULL.
     """
-    a = cities.select(F.col("city").alias("_da_city"), F.col("lat").alias("_da_lat"),
-                      F.col("lon").alias("_da_lon"))
-    b = cities.select(F.col("city").alias("_db_city"), F.col("lat").alias("_db_lat"),
-                      F.col("lon").alias("_db_lon"))
-    j = (df.join(bounded_broadcast(a), F.col(from_col) == F.col("_da_city"), "left")
-           .join(bounded_broadcast(b), F.col(to_col) == F.col("_db_city"), "left"))
-    km = road_km(F.col("_da_lat"), F.col("_da_lon"), F.col("_db_lat"), F.col("_db_lon"), road_factor)
+    lk = distances.select(F.col("from_city").alias("_rd_from"), F.col("to_city").alias("_rd_to"),
+                          F.col("road_km").alias("_rd_km"))
+    cond = (F.col(from_col) == F.col("_rd_from")) & (F.col(to_col) == F.col("_rd_to"))
+    j = df.join(bounded_broadcast(lk), cond, "left")
     dist = F.when(F.col(from_col) == F.col(to_col), F.lit(0.0))
     if null_from_is_zero:
         dist = dist.when(F.col(from_col).isNull(), F.lit(0.0))
-    dist = dist.otherwise(km)
-    return (j.withColumn(out_col, dist)
-             .drop("_da_city", "_da_lat", "_da_lon", "_db_city", "_db_lat", "_db_lon"))
+    dist = dist.otherwise(F.col("_rd_km"))
+    return j.withColumn(out_col, dist).drop("_rd_from", "_rd_to", "_rd_km")
+
+
+def route_distances(pairs: DataFrame, cities: DataFrame, from_col: str = "from_city",
+                    to_col: str = "to_city", road_factor: float = K.ROAD_FACTOR) -> DataFrame:
+    """Road km for the distinct (from, to) city pairs found in ``pairs``.
+
+    For city lists other than the reference one: derive the pairs actually
+    travelled from the data (partial-aggregated distinct, at most cities^2
+    rows), look up both ends' coordinates and evaluate the geodesic once per
+    pair. The result feeds :func:`with_road_distance`.
+    """
+    p = pairs.select(F.col(from_col).alias("from_city"), F.col(to_col).alias("to_city")).distinct()
+    a = cities.select(F.col("city").alias("from_city"), F.col("lat").alias("from_lat"),
+                      F.col("lon").alias("from_lon"))
+    b = cities.select(F.col("city").alias("to_city"), F.col("lat").alias("to_lat"),
+                      F.col("lon").alias("to_lon"))
+    j = p.join(bounded_broadcast(a), "from_city", "inner").join(bounded_broadcast(b), "to_city", "inner")
+    return with_road_km(j, "from_lat", "from_lon", "to_lat", "to_lon", "road_km", road_factor) \
+        .select("from_city", "to_city", "road_km")
 
 
 def with_zone_sla(df: DataFrame, distance_col: str = "distance_km",

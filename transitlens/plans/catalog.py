@@ -73,7 +73,7 @@ def q_total_time_by_hub(spark, sf_dir):
 
 def _dark(spark, sf_dir, leg="inbound"):
     sv = silver_from_tables(spark, sf_dir)
-    return D.dark_periods(sv.stays, sv.cities, leg=leg)
+    return D.dark_periods(sv.stays, sv.distances, leg=leg)
 
 
 def q_dark_periods(spark, sf_dir):

@@ -22,10 +22,10 @@ class Silver(NamedTuple):
     scans: DataFrame
     stays: DataFrame   # silver wide table + total_time, one row per hub stay
     hubs: DataFrame
-    cities: DataFrame
+    distances: DataFrame   # (from_city, to_city, road_km)
 
 
-def build_silver(shipments: DataFrame, scans: DataFrame, hubs: DataFrame, cities: DataFrame,
+def build_silver(shipments: DataFrame, scans: DataFrame, hubs: DataFrame, distances: DataFrame,
                  dedupe: bool = False, shipments_newest_by: str | None = None) -> Silver:
     """Silver stays (J7) plus the gold TOTAL_TIME column.
 
@@ -36,14 +36,14 @@ def build_silver(shipments: DataFrame, scans: DataFrame, hubs: DataFrame, cities
         scans = dedup_scans(scans)
         shipments = dedup_shipments(shipments, shipments_newest_by)
     stays = G.with_total_time(silver_stays(shipments, scans, hubs))
-    return Silver(shipments, scans, stays, hubs, cities)
+    return Silver(shipments, scans, stays, hubs, distances)
 
 
 def silver_from_tables(spark: SparkSession, sf_dir: str, dedupe: bool = False,
                        with_duplicates: bool = False) -> Silver:
     """Silver over the shipments/scans derived from the star-schema tables."""
     fx = fixtures.build(spark, sf_dir, with_duplicates=with_duplicates)
-    return build_silver(fx.shipments, fx.scans, fx.hubs, fx.cities, dedupe=dedupe)
+    return build_silver(fx.shipments, fx.scans, fx.hubs, fx.distances, dedupe=dedupe)
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -65,7 +65,7 @@ def register_views(spark: SparkSession, silver: Silver, prefix: str = "") -> lis
         "shipping_silver": silver.stays,
         "total_time_by_hub": G.total_time_by_hub(silver.stays),
         "worst_carrier": G.carrier_delay(silver.stays),
-        "dark_periods": D.dark_periods(silver.stays, silver.cities),
+        "dark_periods": D.dark_periods(silver.stays, silver.distances),
         "sla_status": S.sla_status(silver.stays),
     }
     for name, df in views.items():
@@ -74,4 +74,5 @@ def register_views(spark: SparkSession, silver: Silver, prefix: str = "") -> lis
 
 
 def reference_dims(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
-    return R.hub_master(spark), R.cities(spark)
+    """(hub master, city distances) of the reference network."""
+    return R.hub_master(spark), R.city_distances(spark)

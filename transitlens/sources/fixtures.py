@@ -34,6 +34,7 @@ class Fixture(NamedTuple):
     scans: DataFrame
     hubs: DataFrame
     cities: DataFrame
+    distances: DataFrame
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -110,7 +111,8 @@ def build(spark: SparkSession, sf_dir: str, with_duplicates: bool = False) -> Fi
     ship = vo.filter(F.col("seq") == 1).select(
         "shipment_id", "order_id", "customer_id", "carrier_name", "shipment_type",
         "origin_hub", "destination_hub", "weight_kg", "booking_timestamp")
-    ship = with_road_distance(ship, cities, "origin_hub", "destination_hub", "distance_km")
+    distances = R.city_distances(spark)
+    ship = with_road_distance(ship, distances, "origin_hub", "destination_hub", "distance_km")
     ship = with_zone_sla(ship).select(
         "shipment_id", "order_id", "customer_id", "carrier_name", "shipment_type",
         "origin_hub", "destination_hub", "distance_km", "zone", "weight_kg",
@@ -141,4 +143,4 @@ def build(spark: SparkSession, sf_dir: str, with_duplicates: bool = False) -> Fi
                        F.inline(scans_arr))
                .select("event_id", "shipment_id", "hub_name", "hub_id", "scan_type",
                        "scan_timestamp", F.lit("SUCCESS").alias("scan_status"), "delay_profile"))
-    return Fixture(ship, scans, hubs, cities)
+    return Fixture(ship, scans, hubs, cities, distances)

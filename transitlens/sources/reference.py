@@ -37,19 +37,64 @@ SLA_CARD_SCHEMA = T.StructType([
 ])
 
 
+def _sql_lit(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return repr(v)
+
+
+def local_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A small constant table as an inline ``VALUES`` relation.
+
+    Unlike ``createDataFrame`` (an RDD scan of unknown size), this plans as a
+    LocalRelation whose exact size the optimizer knows, so joins against it
+    are broadcast without a shuffle of the other side.
+    """
+    names = [f.name for f in schema.fields]
+    body = ", ".join("(" + ", ".join(_sql_lit(v) for v in r) + ")" for r in rows)
+    cols = ", ".join(f"CAST({n} AS {f.dataType.simpleString()}) AS {n}" for n, f in zip(names, schema.fields))
+    return spark.sql(f"SELECT {cols} FROM VALUES {body} AS t({', '.join(names)})")
+
+
 def cities(spark: SparkSession) -> DataFrame:
     rows = [(i, c, lat, lon) for i, (c, lat, lon) in enumerate(K.CITIES)]
-    return spark.createDataFrame(rows, CITY_SCHEMA)
+    return local_frame(spark, rows, CITY_SCHEMA)
 
 
 def hub_master(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(K.HUBS, HUB_SCHEMA)
+    return local_frame(spark, K.HUBS, HUB_SCHEMA)
 
 
 def sla_rate_card(spark: SparkSession) -> DataFrame:
     rows = [(z, t, h) for z, hours in K.SLA_RATE_CARD.items()
             for t, h in zip(K.SHIPMENT_TYPES, hours)]
-    return spark.createDataFrame(rows, SLA_CARD_SCHEMA)
+    return local_frame(spark, rows, SLA_CARD_SCHEMA)
+
+
+def city_distances(spark: SparkSession, road_factor: float = K.ROAD_FACTOR) -> DataFrame:
+    """Directed road distances between the reference cities (1,560 rows).
+
+    The pairs are an enumeration of the fixed 40-city list (a constant
+    dimension, like the hub master), not of data; Spark evaluates the
+    geodesic on them once and every fact row then does one broadcast hash
+    probe on (from_city, to_city) instead of per-row trigonometry.
+    """
+    from transitlens.functions.geo import with_road_km
+
+    pairs = [(a, la, lo, b, lb, mb) for a, la, lo in K.CITIES for b, lb, mb in K.CITIES if a != b]
+    schema = T.StructType([
+        T.StructField("from_city", T.StringType(), False),
+        T.StructField("from_lat", T.DoubleType(), False),
+        T.StructField("from_lon", T.DoubleType(), False),
+        T.StructField("to_city", T.StringType(), False),
+        T.StructField("to_lat", T.DoubleType(), False),
+        T.StructField("to_lon", T.DoubleType(), False),
+    ])
+    df = local_frame(spark, pairs, schema)
+    return with_road_km(df, "from_lat", "from_lon", "to_lat", "to_lon", "road_km", road_factor) \
+        .select("from_city", "to_city", "road_km")
 
 
 def city_hub_lookup(spark: SparkSession) -> DataFrame:
