@@ -13,13 +13,14 @@ from transitlens.operators import delay as G
 from transitlens.operators import sla as S
 from transitlens.operators.dedup import dedup_scans, dedup_shipments
 from transitlens.operators.silver import silver_stays
+from transitlens.plans import store
 from transitlens.sources import fixtures
 from transitlens.sources import reference as R
 
 
 class Silver(NamedTuple):
-    shipments: DataFrame
-    scans: DataFrame
+    shipments: DataFrame | None   # None when the stays were read from the store
+    scans: DataFrame | None
     stays: DataFrame   # silver wide table + total_time, one row per hub stay
     hubs: DataFrame
     distances: DataFrame   # (from_city, to_city, road_km)
@@ -40,10 +41,26 @@ def build_silver(shipments: DataFrame, scans: DataFrame, hubs: DataFrame, distan
 
 
 def silver_from_tables(spark: SparkSession, sf_dir: str, dedupe: bool = False,
-                       with_duplicates: bool = False) -> Silver:
-    """Silver over the shipments/scans derived from the star-schema tables."""
-    fx = fixtures.build(spark, sf_dir, with_duplicates=with_duplicates)
-    return build_silver(fx.shipments, fx.scans, fx.hubs, fx.distances, dedupe=dedupe)
+                       with_duplicates: bool = False, materialized: bool | None = None) -> Silver:
+    """Silver over the shipments/scans derived from the star-schema tables.
+
+    With materialization on (session conf ``spark.transitlens.materialize``,
+    default true) the stays are written once per input version to the
+    checkpoint folder and read back, as the silver layer of a daily run.
+    """
+    def build() -> Silver:
+        fx = fixtures.build(spark, sf_dir, with_duplicates=with_duplicates)
+        return build_silver(fx.shipments, fx.scans, fx.hubs, fx.distances, dedupe=dedupe)
+
+    if materialized is None:
+        materialized = store.enabled(spark)
+    if not materialized:
+        return build()
+    base = sf_dir.rstrip("/")
+    key = store.fingerprint(spark, [f"{base}/lineitem.parquet", f"{base}/orders.parquet"],
+                            f"dedupe={dedupe};dup={with_duplicates};v1")
+    stays = store.materialize(spark, lambda: build().stays, "silver_stays", key)
+    return Silver(None, None, stays, R.hub_master(spark), R.city_distances(spark))
 
 
 def as_text(df: DataFrame) -> DataFrame:

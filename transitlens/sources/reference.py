@@ -58,13 +58,25 @@ def local_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType) ->
     return spark.sql(f"SELECT {cols} FROM VALUES {body} AS t({', '.join(names)})")
 
 
+_FRAMES: dict[tuple, DataFrame] = {}
+
+
+def _cached(spark: SparkSession, name: str, build) -> DataFrame:
+    """One plan object per session for each constant dimension (no re-parsing)."""
+    key = (id(spark), spark.sparkContext.applicationId, name)
+    df = _FRAMES.get(key)
+    if df is None:
+        df = _FRAMES[key] = build()
+    return df
+
+
 def cities(spark: SparkSession) -> DataFrame:
     rows = [(i, c, lat, lon) for i, (c, lat, lon) in enumerate(K.CITIES)]
-    return local_frame(spark, rows, CITY_SCHEMA)
+    return _cached(spark, "cities", lambda: local_frame(spark, rows, CITY_SCHEMA))
 
 
 def hub_master(spark: SparkSession) -> DataFrame:
-    return local_frame(spark, K.HUBS, HUB_SCHEMA)
+    return _cached(spark, "hubs", lambda: local_frame(spark, K.HUBS, HUB_SCHEMA))
 
 
 def sla_rate_card(spark: SparkSession) -> DataFrame:
@@ -92,9 +104,9 @@ def city_distances(spark: SparkSession, road_factor: float = K.ROAD_FACTOR) -> D
         T.StructField("to_lat", T.DoubleType(), False),
         T.StructField("to_lon", T.DoubleType(), False),
     ])
-    df = local_frame(spark, pairs, schema)
-    return with_road_km(df, "from_lat", "from_lon", "to_lat", "to_lon", "road_km", road_factor) \
-        .select("from_city", "to_city", "road_km")
+    return _cached(spark, f"distances:{road_factor!r}", lambda: with_road_km(
+        local_frame(spark, pairs, schema), "from_lat", "from_lon", "to_lat", "to_lon", "road_km", road_factor
+    ).select("from_city", "to_city", "road_km"))
 
 
 def city_hub_lookup(spark: SparkSession) -> DataFrame:
