@@ -447,4 +447,5 @@ FROM scans""")
     q["hub_distances"] = _with("""
 SELECT DISTINCT prev_hub AS from_city, hub_name AS to_city, hop_distance_km AS road_km
 FROM dark WHERE prev_hub IS NOT NULL""", _dark())
+    q["daily_run_worst_routes"] = q["worst_routes"]
     return q
