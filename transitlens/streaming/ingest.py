@@ -26,7 +26,7 @@ def ingest_incremental(spark: SparkSession, source: str, target: str, checkpoint
     typed with try_cast; the source file path is kept for lineage. Returns
     the number of input rows of this run.
     """
-    r = spark.readStream.format(fmt)
+    r = spark.readStream.format(fmt).option("recursiveFileLookup", "true")
     if fmt in ("csv", "json"):
         r = r.schema(schemas.as_text(schema))
         if fmt == "csv":
