@@ -42,20 +42,36 @@ def _as_ts(df: DataFrame, col: str) -> DataFrame:
     return df
 
 
-def shipment_scans(shipments: DataFrame, scans: DataFrame) -> DataFrame:
-    """J1 + P3: inner join on shipment_id, 20-column projection, typed timestamps."""
+def shipment_scans(shipments: DataFrame, scans: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """J1 + P3: inner join on shipment_id, 20-column projection, typed timestamps.
+
+    With ``hot`` (a frame of hot shipment ids, see operators.skew) the scans
+    of those ids join their shipment rows by broadcast instead of through the
+    shuffle: after de-duplication there is one shipment row per hot id, so
+    the broadcast side is bounded by the (bounded) number of hot ids.
+    """
     s = _as_ts(scans, "scan_timestamp")
     sh = _as_ts(_as_ts(shipments, "booking_timestamp"), "expected_delivery_ts")
-    return sh.join(s, "shipment_id", "inner").select(*JOINED_COLUMNS)
+    if hot is None:
+        return sh.join(s, "shipment_id", "inner").select(*JOINED_COLUMNS)
+    from transitlens.operators.dedup import dedup_shipments
+    from transitlens.operators.skew import split_hot
+
+    sh_norm, sh_hot = split_hot(sh, hot, "shipment_id")
+    s_norm, s_hot = split_hot(s, hot, "shipment_id")
+    sh_hot = dedup_shipments(sh_hot.select(*SHIPMENT_COLUMNS))
+    normal = sh_norm.join(s_norm, "shipment_id", "inner").select(*JOINED_COLUMNS)
+    hot_part = s_hot.join(F.broadcast(sh_hot), "shipment_id", "inner").select(*JOINED_COLUMNS)
+    return normal.unionByName(hot_part)
 
 
-def with_next_scan(df: DataFrame) -> DataFrame:
+def with_next_scan(df: DataFrame, hot: DataFrame | None = None, bucket_seconds: int = 3600) -> DataFrame:
     """Next scan type/time, dwell seconds and hours, scan date and hour."""
-    w = by_shipment()
-    return (df.withColumns({
-                "next_scan_type": F.lead("scan_type", 1).over(w),
-                "next_scan_timestamp": F.lead("scan_timestamp", 1).over(w),
-            })
+    from transitlens.operators.skew import with_neighbors
+
+    leads = {"next_scan_type": "scan_type", "next_scan_timestamp": "scan_timestamp"}
+    return (with_neighbors(df, "shipment_id", ["scan_timestamp", "event_id"], leads, {}, hot,
+                           bucket_seconds=bucket_seconds)
             .withColumns({
                 "duration_seconds": seconds_between("scan_timestamp", "next_scan_timestamp"),
                 "timestamp_hour": F.hour("scan_timestamp"),
@@ -93,10 +109,11 @@ def with_delay(df: DataFrame) -> DataFrame:
               .withColumn("delay_category", delay_category("delay_hrs")))
 
 
-def silver_stays(shipments: DataFrame, scans: DataFrame, hubs: DataFrame) -> DataFrame:
+def silver_stays(shipments: DataFrame, scans: DataFrame, hubs: DataFrame,
+                 hot: DataFrame | None = None) -> DataFrame:
     """The whole silver chain, one row per hub stay."""
-    joined = shipment_scans(shipments, scans)
-    return with_delay(with_expected_dwell(hub_stays(with_next_scan(joined)), hubs))
+    joined = shipment_scans(shipments, scans, hot)
+    return with_delay(with_expected_dwell(hub_stays(with_next_scan(joined, hot)), hubs))
 
 
 def hub_day_silver(stays: DataFrame) -> DataFrame:

@@ -228,6 +228,17 @@ def q_daily_run_worst_routes(spark, sf_dir):
     return spark.read.parquet(gold)
 
 
+def q_worst_routes_hot_split(spark, sf_dir):
+    """A8 through the hot-key path: the 50 longest journeys are windowed per
+    (id, hour bucket) and stitched (operators.skew); result equals worst_routes."""
+    sv = silver_from_tables(spark, sf_dir, hot_top=50)
+    from transitlens.operators.skew import detect_hot_keys, hot_key_frame
+
+    hot = hot_key_frame(spark, "shipment_id",
+                        detect_hot_keys(sv.stays, "shipment_id", fraction=1.0, top=50))
+    return D.worst_routes(D.dark_periods(sv.stays, sv.distances, hot=hot))
+
+
 QUERIES: dict[str, Query] = {
     "shipment_zone_sla": q_shipment_zone_sla,
     "shipment_profile": q_shipment_profile,
@@ -260,4 +271,5 @@ QUERIES: dict[str, Query] = {
     "scan_sequence": q_scan_sequence,
     "hub_distances": q_hub_distances,
     "daily_run_worst_routes": q_daily_run_worst_routes,
+    "worst_routes_hot_split": q_worst_routes_hot_split,
 }

@@ -448,4 +448,5 @@ FROM scans""")
 SELECT DISTINCT prev_hub AS from_city, hub_name AS to_city, hop_distance_km AS road_km
 FROM dark WHERE prev_hub IS NOT NULL""", _dark())
     q["daily_run_worst_routes"] = q["worst_routes"]
+    q["worst_routes_hot_split"] = q["worst_routes"]
     return q

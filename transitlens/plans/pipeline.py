@@ -13,6 +13,7 @@ from transitlens.operators import delay as G
 from transitlens.operators import sla as S
 from transitlens.operators.dedup import dedup_scans, dedup_shipments
 from transitlens.operators.silver import silver_stays
+from transitlens.operators.skew import detect_hot_keys, hot_key_frame
 from transitlens.plans import store
 from transitlens.sources import fixtures
 from transitlens.sources import reference as R
@@ -27,21 +28,31 @@ class Silver(NamedTuple):
 
 
 def build_silver(shipments: DataFrame, scans: DataFrame, hubs: DataFrame, distances: DataFrame,
-                 dedupe: bool = False, shipments_newest_by: str | None = None) -> Silver:
+                 dedupe: bool = False, shipments_newest_by: str | None = None,
+                 hot_keys: list | str | None = None) -> Silver:
     """Silver stays (J7) plus the gold TOTAL_TIME column.
 
     ``dedupe`` removes repeated scans and collapses colliding shipment ids
     (newest ``shipments_newest_by`` wins) before the join, so it cannot fan out.
+    ``hot_keys`` lists shipment ids that hold a large share of the scans, or
+    ``"auto"`` to detect them on a sample; their journeys take the split path
+    of operators.skew instead of one task per id.
     """
     if dedupe:
         scans = dedup_scans(scans)
         shipments = dedup_shipments(shipments, shipments_newest_by)
-    stays = G.with_total_time(silver_stays(shipments, scans, hubs))
+    hot = None
+    if hot_keys == "auto":
+        hot_keys = detect_hot_keys(scans, "shipment_id")
+    if hot_keys:
+        hot = hot_key_frame(scans.sparkSession, "shipment_id", list(hot_keys))
+    stays = G.with_total_time(silver_stays(shipments, scans, hubs, hot))
     return Silver(shipments, scans, stays, hubs, distances)
 
 
 def silver_from_tables(spark: SparkSession, sf_dir: str, dedupe: bool = False,
-                       with_duplicates: bool = False, materialized: bool | None = None) -> Silver:
+                       with_duplicates: bool = False, materialized: bool | None = None,
+                       hot_top: int | None = None) -> Silver:
     """Silver over the shipments/scans derived from the star-schema tables.
 
     With materialization on (session conf ``spark.transitlens.materialize``,
@@ -50,7 +61,8 @@ def silver_from_tables(spark: SparkSession, sf_dir: str, dedupe: bool = False,
     """
     def build() -> Silver:
         fx = fixtures.build(spark, sf_dir, with_duplicates=with_duplicates)
-        return build_silver(fx.shipments, fx.scans, fx.hubs, fx.distances, dedupe=dedupe)
+        hot = detect_hot_keys(fx.scans, "shipment_id", fraction=1.0, top=hot_top) if hot_top else None
+        return build_silver(fx.shipments, fx.scans, fx.hubs, fx.distances, dedupe=dedupe, hot_keys=hot)
 
     if materialized is None:
         materialized = store.enabled(spark)
@@ -58,7 +70,7 @@ def silver_from_tables(spark: SparkSession, sf_dir: str, dedupe: bool = False,
         return build()
     base = sf_dir.rstrip("/")
     key = store.fingerprint(spark, [f"{base}/lineitem.parquet", f"{base}/orders.parquet"],
-                            f"dedupe={dedupe};dup={with_duplicates};v1")
+                            f"dedupe={dedupe};dup={with_duplicates};hot={hot_top};v1")
     stays = store.materialize(spark, lambda: build().stays, "silver_stays", key)
     return Silver(None, None, stays, R.hub_master(spark), R.city_distances(spark))
 
