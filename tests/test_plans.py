@@ -22,10 +22,18 @@ def test_dimension_joins_are_broadcast_and_one_shuffle_join(spark):
 
 
 def test_geodesic_is_not_inlined_into_filters(spark):
-    p = plan(QUERIES["worst_routes"](spark, SF_SMALL)).upper()
+    from transitlens.operators import dark as D
+
+    sv = silver_from_tables(spark, SF_SMALL, materialized=False)
+    p = plan(D.worst_routes(D.dark_periods(sv.stays, sv.distances))).upper()
     assert "ASIN" not in p and "ATAN" not in p
 
 
+def test_dark_reports_read_the_stored_dark_table(spark):
+    p = plan(QUERIES["worst_routes"](spark, SF_SMALL))
+    assert "dark_periods" in p and "Window" not in p
+
+
 def test_scans_are_pruned(spark):
     p = plan(QUERIES["shipment_profile"](spark, SF_SMALL))
     scans = [l for l in p.splitlines() if "FileScan parquet" in l]

@@ -30,3 +30,9 @@ def scan_sequence(scans: DataFrame) -> DataFrame:
 def global_max(df: DataFrame, col: str) -> DataFrame:
     """A one-row frame holding max(col) (partial max per task, then one row)."""
     return df.agg(F.max(col).alias(f"max_{col}"))
+
+
+def time_range(df: DataFrame, col: str) -> DataFrame:
+    """Earliest and latest value and the row count, in one partial-aggregated pass."""
+    return df.agg(F.min(col).alias(f"min_{col}"), F.max(col).alias(f"max_{col}"),
+                  F.count(F.lit(1)).alias("rows"))

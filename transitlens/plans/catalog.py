@@ -19,7 +19,7 @@ from transitlens.operators import sla as S
 from transitlens.operators.dedup import dedup_scans
 from transitlens.operators.profile import scan_sequence, shipment_profile
 from transitlens.operators.silver import hub_day_silver, shipment_scans as _join
-from transitlens.plans.pipeline import as_text, silver_from_tables
+from transitlens.plans.pipeline import as_text, dark_from_tables, silver_from_tables
 from transitlens.sources import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,8 +72,7 @@ def q_total_time_by_hub(spark, sf_dir):
 
 
 def _dark(spark, sf_dir, leg="inbound"):
-    sv = silver_from_tables(spark, sf_dir)
-    return D.dark_periods(sv.stays, sv.distances, leg=leg)
+    return dark_from_tables(spark, sf_dir, leg)
 
 
 def q_dark_periods(spark, sf_dir):
@@ -239,6 +238,19 @@ def q_worst_routes_hot_split(spark, sf_dir):
     return D.worst_routes(D.dark_periods(sv.stays, sv.distances, hot=hot))
 
 
+def q_scan_time_range(spark, sf_dir):
+    """Earliest and latest scan over all scan events."""
+    from transitlens.operators.profile import time_range
+
+    return as_text(time_range(fixtures.build(spark, sf_dir).scans, "scan_timestamp"))
+
+
+def q_longest_dark_periods(spark, sf_dir):
+    """Top 20 dark periods by extra hours (a top-k report)."""
+    return D.longest_dark_periods(_dark(spark, sf_dir), 20).select(
+        "shipment_id", "event_id", "hub_name", "prev_hub", "actual_total_time", "expected_travel_hrs", "extra_hrs")
+
+
 QUERIES: dict[str, Query] = {
     "shipment_zone_sla": q_shipment_zone_sla,
     "shipment_profile": q_shipment_profile,
@@ -272,4 +284,6 @@ QUERIES: dict[str, Query] = {
     "hub_distances": q_hub_distances,
     "daily_run_worst_routes": q_daily_run_worst_routes,
     "worst_routes_hot_split": q_worst_routes_hot_split,
+    "scan_time_range": q_scan_time_range,
+    "longest_dark_periods": q_longest_dark_periods,
 }

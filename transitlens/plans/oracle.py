@@ -447,6 +447,14 @@ FROM scans""")
     q["hub_distances"] = _with("""
 SELECT DISTINCT prev_hub AS from_city, hub_name AS to_city, hop_distance_km AS road_km
 FROM dark WHERE prev_hub IS NOT NULL""", _dark())
+    q["scan_time_range"] = _with(f"""
+SELECT {_ts('min(scan_timestamp)', 'min_scan_timestamp')}, {_ts('max(scan_timestamp)', 'max_scan_timestamp')},
+       count(*) AS rows
+FROM scans""")
+    q["longest_dark_periods"] = _with("""
+SELECT shipment_id, event_id, hub_name, prev_hub, actual_total_time, expected_travel_hrs, extra_hrs
+FROM dark WHERE visibility_status = 'Dark Period'
+ORDER BY extra_hrs DESC NULLS LAST, shipment_id, event_id LIMIT 20""", _dark())
     q["daily_run_worst_routes"] = q["worst_routes"]
     q["worst_routes_hot_split"] = q["worst_routes"]
     return q

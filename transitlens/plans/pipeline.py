@@ -68,13 +68,32 @@ def silver_from_tables(spark: SparkSession, sf_dir: str, dedupe: bool = False,
         materialized = store.enabled(spark)
     if not materialized:
         return build()
-    base = sf_dir.rstrip("/")
-    key = store.fingerprint(spark, [f"{base}/lineitem.parquet", f"{base}/orders.parquet"],
-                            f"dedupe={dedupe};dup={with_duplicates};hot={hot_top};v1")
+    key = silver_key(spark, sf_dir, dedupe, with_duplicates, hot_top)
     stays = store.materialize(spark, lambda: build().stays, "silver_stays", key)
     return Silver(None, None, stays, R.hub_master(spark), R.city_distances(spark))
 
 
+def silver_key(spark: SparkSession, sf_dir: str, dedupe: bool = False, with_duplicates: bool = False,
+               hot_top: int | None = None) -> str:
+    """Version key of a silver build: input file fingerprint + build options."""
+    base = sf_dir.rstrip("/")
+    return store.fingerprint(spark, [f"{base}/lineitem.parquet", f"{base}/orders.parquet"],
+                             f"dedupe={dedupe};dup={with_duplicates};hot={hot_top};v1")
+
+
+def dark_from_tables(spark: SparkSession, sf_dir: str, leg: str = "inbound") -> DataFrame:
+    """Dark-period table over the silver stays, stored once per silver version.
+
+    Every dark-period report (routes, hub rates, label totals, top gaps) then
+    reads it directly instead of re-running the per-journey window.
+    """
+    sv = silver_from_tables(spark, sf_dir)
+    if not store.enabled(spark):
+        return D.dark_periods(sv.stays, sv.distances, leg=leg)
+    key = silver_key(spark, sf_dir) + f"-{leg}"
+    return store.materialize(spark, lambda: D.dark_periods(sv.stays, sv.distances, leg=leg), "dark_periods", key)
+
+
 def as_text(df: DataFrame) -> DataFrame:
     """Render timestamp / date columns as text ('yyyy-MM-dd HH:mm:ss' / 'yyyy-MM-dd')."""
     cols = []
