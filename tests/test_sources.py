@@ -136,3 +136,24 @@ def test_incremental_intake_skips_loaded_files(spark, tmp_dir):
     assert (r1["rows"], r2["rows"], r3["rows"]) == (1, 0, 1)
     out = spark.read.parquet(tgt)
     assert sorted(r.event_id for r in out.collect()) == ["e1", "e2"]
+
+
+def test_run_daily_from_raw_files(spark, tmp_dir):
+    from transitlens.plans.daily import run_daily
+    from transitlens.plans.pipeline import as_text
+    from transitlens.sources import fixtures
+
+    fx = fixtures.build(spark, "/root/testdata/sf0.001")
+    raw = os.path.join(tmp_dir, "raw")
+    as_text(fx.shipments).write.option("header", "true").csv(f"{raw}/shipment_master")
+    fx.hubs.write.option("header", "true").csv(f"{raw}/hub_master")
+    as_text(fx.scans).write.json(f"{raw}/checkpoint_scan_events")
+    lake = os.path.join(tmp_dir, "lake")
+    out = run_daily(spark, raw, lake, "2026-05-02", json_multiline=False, count_rejects=True)
+    assert out["rejected"] == {"shipment_master": 0, "hub_master": 0, "checkpoint_scan_events": 0}
+    again = run_daily(spark, raw, lake, "2026-05-02", json_multiline=False)   # retry: same result
+    assert again["gold"].keys() == out["gold"].keys()
+    bronze_rows = spark.read.parquet(f"{lake}/bronze/checkpoint_scan_events").count()
+    assert bronze_rows == fx.scans.count()
+    routes = spark.read.parquet(out["gold"]["worst_routes"]).count()
+    assert routes > 0

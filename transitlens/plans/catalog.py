@@ -19,7 +19,7 @@ from transitlens.operators import sla as S
 from transitlens.operators.dedup import dedup_scans
 from transitlens.operators.profile import scan_sequence, shipment_profile
 from transitlens.operators.silver import hub_day_silver, shipment_scans as _join
-from transitlens.plans.pipeline import as_text, dark_from_tables, silver_from_tables
+from transitlens.plans.pipeline import as_text, bronze_from_tables, dark_from_tables, silver_from_tables
 from transitlens.sources import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,17 +27,17 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def q_shipment_zone_sla(spark, sf_dir):
     """Shipments with distance, zone, SLA and promise."""
-    return as_text(fixtures.build(spark, sf_dir).shipments)
+    return as_text(bronze_from_tables(spark, sf_dir).shipments)
 
 
 def q_shipment_profile(spark, sf_dir):
     """Counts by zone, type, carrier and the total."""
-    return shipment_profile(fixtures.build(spark, sf_dir).shipments)
+    return shipment_profile(bronze_from_tables(spark, sf_dir).shipments)
 
 
 def q_shipment_scans(spark, sf_dir):
     """Every scan with its shipment's attributes."""
-    fx = fixtures.build(spark, sf_dir)
+    fx = bronze_from_tables(spark, sf_dir)
     return as_text(_join(fx.shipments, fx.scans))
 
 
@@ -178,7 +178,7 @@ def q_hub_bottleneck_ranking(spark, sf_dir):
 
 def q_dedup_scans(spark, sf_dir):
     """scans landed twice for some orders, de-duplicated."""
-    fx = fixtures.build(spark, sf_dir, with_duplicates=True)
+    fx = bronze_from_tables(spark, sf_dir, with_duplicates=True)
     return as_text(dedup_scans(fx.scans))
 
 
@@ -190,7 +190,7 @@ def q_silver_dedup_counts(spark, sf_dir):
 
 def q_scan_sequence(spark, sf_dir):
     """Scan position within each shipment."""
-    fx = fixtures.build(spark, sf_dir)
+    fx = bronze_from_tables(spark, sf_dir)
     return scan_sequence(fx.scans).select("shipment_id", "event_id", "scan_type", "scan_seq")
 
 
@@ -214,11 +214,12 @@ def q_daily_run_worst_routes(spark, sf_dir):
 
     base = sf_dir.rstrip("/")
     key = store.fingerprint(spark, [f"{base}/lineitem.parquet", f"{base}/orders.parquet"], "daily-v1")
-    root = f"{checkpoint_dir(spark).rstrip('/')}/transitlens/daily/{key}"
+    ns = spark.conf.get(store.CONF_NAMESPACE, "") or "shared"
+    root = f"{checkpoint_dir(spark).rstrip('/')}/transitlens/{ns}/daily/{key}"
     gold = f"{root}/lake/gold/worst_routes"
     fs, p = store._fs(spark, gold + "/_SUCCESS")
     if not fs.exists(p):
-        fx = fixtures.build(spark, sf_dir)
+        fx = bronze_from_tables(spark, sf_dir)
         raw = f"{root}/raw"
         as_text(fx.shipments).write.mode("overwrite").option("header", "true").csv(f"{raw}/shipment_master")
         fx.hubs.write.mode("overwrite").option("header", "true").csv(f"{raw}/hub_master")
@@ -233,8 +234,8 @@ def q_worst_routes_hot_split(spark, sf_dir):
     sv = silver_from_tables(spark, sf_dir, hot_top=50)
     from transitlens.operators.skew import detect_hot_keys, hot_key_frame
 
-    hot = hot_key_frame(spark, "shipment_id",
-                        detect_hot_keys(sv.stays, "shipment_id", fraction=1.0, top=50))
+    scans = bronze_from_tables(spark, sf_dir).scans
+    hot = hot_key_frame(spark, "shipment_id", detect_hot_keys(scans, "shipment_id", fraction=1.0, top=50))
     return D.worst_routes(D.dark_periods(sv.stays, sv.distances, hot=hot))
 
 
@@ -242,7 +243,7 @@ def q_scan_time_range(spark, sf_dir):
     """Earliest and latest scan over all scan events."""
     from transitlens.operators.profile import time_range
 
-    return as_text(time_range(fixtures.build(spark, sf_dir).scans, "scan_timestamp"))
+    return as_text(time_range(bronze_from_tables(spark, sf_dir).scans, "scan_timestamp"))
 
 
 def q_longest_dark_periods(spark, sf_dir):

@@ -59,13 +59,14 @@ def silver_from_tables(spark: SparkSession, sf_dir: str, dedupe: bool = False,
     default true) the stays are written once per input version to the
     checkpoint folder and read back, as the silver layer of a daily run.
     """
+    if materialized is None:
+        materialized = store.enabled(spark)
+
     def build() -> Silver:
-        fx = fixtures.build(spark, sf_dir, with_duplicates=with_duplicates)
+        fx = bronze_from_tables(spark, sf_dir, with_duplicates, materialized)
         hot = detect_hot_keys(fx.scans, "shipment_id", fraction=1.0, top=hot_top) if hot_top else None
         return build_silver(fx.shipments, fx.scans, fx.hubs, fx.distances, dedupe=dedupe, hot_keys=hot)
 
-    if materialized is None:
-        materialized = store.enabled(spark)
     if not materialized:
         return build()
     key = silver_key(spark, sf_dir, dedupe, with_duplicates, hot_top)
@@ -73,6 +74,24 @@ def silver_from_tables(spark: SparkSession, sf_dir: str, dedupe: bool = False,
     return Silver(None, None, stays, R.hub_master(spark), R.city_distances(spark))
 
 
+def bronze_from_tables(spark: SparkSession, sf_dir: str, with_duplicates: bool = False,
+                       materialized: bool | None = None) -> fixtures.Fixture:
+    """Shipments and scans derived from the star-schema tables (the bronze layer).
+
+    Stored once per input version when materialization is on, so every
+    report on raw shipments/scans, and the silver build, reads Parquet files
+    like a real landing instead of re-deriving them.
+    """
+    fx = fixtures.build(spark, sf_dir, with_duplicates=with_duplicates)
+    if materialized is None:
+        materialized = store.enabled(spark)
+    if not materialized:
+        return fx
+    key = silver_key(spark, sf_dir, with_duplicates=with_duplicates)
+    return fx._replace(shipments=store.materialize(spark, fx.shipments, "bronze_shipments", key),
+                       scans=store.materialize(spark, fx.scans, "bronze_scans", key))
+
+
 def silver_key(spark: SparkSession, sf_dir: str, dedupe: bool = False, with_duplicates: bool = False,
                hot_top: int | None = None) -> str:
     """Version key of a silver build: input file fingerprint + build options."""

@@ -12,6 +12,7 @@ restart from the Parquet files, not from the raw joins and windows.
 from __future__ import annotations
 
 import hashlib
+import os
 import threading
 import uuid
 
@@ -19,8 +20,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 from transitlens.session import checkpoint_dir
 
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()
 CONF_ENABLED = "spark.transitlens.materialize"
+# Optional sub-folder of the store, e.g. one per benchmark run so nothing is reused.
+CONF_NAMESPACE = "spark.transitlens.store.namespace"
+
+
+def _code_version() -> str:
+    """Hash of this package's source: a stored layer is only reused by the code that built it."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    h = hashlib.sha256()
+    for d, _, files in sorted(os.walk(root)):
+        for f in sorted(files):
+            if f.endswith(".py"):
+                with open(os.path.join(d, f), "rb") as fh:
+                    h.update(f.encode() + fh.read())
+    return h.hexdigest()[:12]
+
+
+CODE_VERSION = _code_version()
 
 
 def enabled(spark: SparkSession) -> bool:
@@ -35,7 +53,7 @@ def _fs(spark: SparkSession, path: str):
 
 def fingerprint(spark: SparkSession, paths: list[str], *extra: str) -> str:
     """Stable key over (path, length, mtime) of every input file."""
-    h = hashlib.sha256()
+    h = hashlib.sha256(CODE_VERSION.encode())
     for path in paths:
         fs, p = _fs(spark, path)
         for st in fs.listStatus(p) if fs.getFileStatus(p).isDirectory() else [fs.getFileStatus(p)]:
@@ -53,7 +71,8 @@ def materialize(spark: SparkSession, build, layer: str, key: str,
     callable is only invoked (and its plan only constructed) when the layer
     is not stored yet.
     """
-    root = f"{checkpoint_dir(spark).rstrip('/')}/transitlens/{layer}/{key}"
+    ns = spark.conf.get(CONF_NAMESPACE, "") or "shared"
+    root = f"{checkpoint_dir(spark).rstrip('/')}/transitlens/{ns}/{layer}/{key}"
     with _LOCK:
         fs, p = _fs(spark, root)
         if not fs.exists(_fs(spark, root + "/_SUCCESS")[1]):
