@@ -58,6 +58,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name shared "
+                               "storage (a machine-local folder would be lost with its executor)")
         d = tempfile.mkdtemp(prefix="transitlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
