@@ -82,11 +82,13 @@ def bronze_from_tables(spark: SparkSession, sf_dir: str, with_duplicates: bool =
     report on raw shipments/scans, and the silver build, reads Parquet files
     like a real landing instead of re-deriving them.
     """
-    fx = fixtures.build(spark, sf_dir, with_duplicates=with_duplicates)
     if materialized is None:
         materialized = store.enabled(spark)
     if not materialized:
-        return fx
+        return fixtures.build(spark, sf_dir, with_duplicates=with_duplicates)
+    vs = store.materialize(spark, lambda: fixtures.visit_rows(spark, sf_dir), "bronze_visits",
+                           silver_key(spark, sf_dir))
+    fx = fixtures.build(spark, sf_dir, with_duplicates=with_duplicates, visit_frame=vs)
     key = silver_key(spark, sf_dir, with_duplicates=with_duplicates)
     return fx._replace(shipments=store.materialize(spark, fx.shipments, "bronze_shipments", key),
                        scans=store.materialize(spark, fx.scans, "bronze_scans", key))

@@ -90,16 +90,16 @@ def order_attributes(orders: DataFrame) -> DataFrame:
     )
 
 
-def build(spark: SparkSession, sf_dir: str, with_duplicates: bool = False) -> Fixture:
-    """Shipments and scan events for one scale-factor folder."""
-    cities = R.cities(spark)
-    hubs = R.hub_master(spark)
+def visit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visits with their order attributes, city names and hub id (one row per line item).
+
+    The single shuffle of the line items (by shipment_id) happens here; shipments
+    and scans are both projections of this frame.
+    """
     v = visits(read_table(spark, sf_dir, "lineitem"))
     o = order_attributes(read_table(spark, sf_dir, "orders"))
     vo = v.join(o, "shipment_id", "inner")
-
-    # city index -> city name for the visit, the origin and the destination
-    names = R.bounded_broadcast(cities.select("city_ix", "city"))
+    names = R.bounded_broadcast(R.cities(spark).select("city_ix", "city"))
     vo = (vo.join(names.withColumnRenamed("city_ix", "_cix").withColumnRenamed("city", "hub_name"),
                   F.col("city_ix") == F.col("_cix"), "left")
             .join(names.withColumnRenamed("city_ix", "_oix").withColumnRenamed("city", "origin_hub"),
@@ -107,18 +107,26 @@ def build(spark: SparkSession, sf_dir: str, with_duplicates: bool = False) -> Fi
             .join(names.withColumnRenamed("city_ix", "_dix").withColumnRenamed("city", "destination_hub"),
                   F.col("dest_ix") == F.col("_dix"), "left")
             .drop("_cix", "_oix", "_dix"))
+    return with_hub_id(vo, R.hub_master(spark), "hub_name", "hub_id").select(
+        "shipment_id", "l_orderkey", "seq", "n", "base_min", "am", "dm", "dwell_h", "hub_name", "hub_id",
+        "origin_hub", "destination_hub", "order_id", "customer_id", "carrier_name", "shipment_type",
+        "delay_profile", "weight_kg", "booking_timestamp")
+
 
-    ship = vo.filter(F.col("seq") == 1).select(
+def shipments_from_visits(vs: DataFrame, distances: DataFrame) -> DataFrame:
+    """One shipment per order: the first visit's row, with distance, zone, SLA, promise."""
+    ship = vs.filter(F.col("seq") == 1).select(
         "shipment_id", "order_id", "customer_id", "carrier_name", "shipment_type",
         "origin_hub", "destination_hub", "weight_kg", "booking_timestamp")
-    distances = R.city_distances(spark)
     ship = with_road_distance(ship, distances, "origin_hub", "destination_hub", "distance_km")
-    ship = with_zone_sla(ship).select(
+    return with_zone_sla(ship).select(
         "shipment_id", "order_id", "customer_id", "carrier_name", "shipment_type",
         "origin_hub", "destination_hub", "distance_km", "zone", "weight_kg",
         "booking_timestamp", "sla_hours", "expected_delivery_ts")
 
-    vs = with_hub_id(vo, hubs, "hub_name", "hub_id")
+
+def scans_from_visits(vs: DataFrame, with_duplicates: bool = False) -> DataFrame:
+    """Two scans per visit (arrival, departure); optionally some orders landed twice."""
     evt = F.concat(F.lit("EVT-"), F.col("l_orderkey").cast("string"), F.lit("-"),
                    F.col("seq").cast("string"))
     arrival = F.struct(
@@ -135,12 +143,22 @@ def build(spark: SparkSession, sf_dir: str, with_duplicates: bool = False) -> Fi
     if with_duplicates:
         # orders landed twice: their scans appear a second time, verbatim
         copies = F.when(F.col("l_orderkey") % DUPLICATE_EVERY == 0, F.lit(2)).otherwise(F.lit(1))
-        pair = F.array(arrival, departure)
-        scans_arr = F.flatten(F.array_repeat(pair, copies))
+        scans_arr = F.flatten(F.array_repeat(F.array(arrival, departure), copies))
     else:
         scans_arr = F.array(arrival, departure)
-    scans = (vs.select("shipment_id", "hub_name", "hub_id", "delay_profile",
-                       F.inline(scans_arr))
-               .select("event_id", "shipment_id", "hub_name", "hub_id", "scan_type",
-                       "scan_timestamp", F.lit("SUCCESS").alias("scan_status"), "delay_profile"))
-    return Fixture(ship, scans, hubs, cities, distances)
+    return (vs.select("shipment_id", "hub_name", "hub_id", "delay_profile", F.inline(scans_arr))
+              .select("event_id", "shipment_id", "hub_name", "hub_id", "scan_type",
+                      "scan_timestamp", F.lit("SUCCESS").alias("scan_status"), "delay_profile"))
+
+
+def build(spark: SparkSession, sf_dir: str, with_duplicates: bool = False,
+          visit_frame: DataFrame | None = None) -> Fixture:
+    """Shipments and scan events for one scale-factor folder.
+
+    ``visit_frame`` may be a stored copy of :func:`visit_rows` (see
+    plans.pipeline.bronze_from_tables); by default it is derived lazily.
+    """
+    vs = visit_frame if visit_frame is not None else visit_rows(spark, sf_dir)
+    distances = R.city_distances(spark)
+    return Fixture(shipments_from_visits(vs, distances), scans_from_visits(vs, with_duplicates),
+                   R.hub_master(spark), R.cities(spark), distances)
