@@ -87,6 +87,8 @@ def test_land_bronze_idempotent_and_latest_partition(spark, tmp_dir):
     assert bronze.count() == 3
     latest = RD.latest_partition(bronze)
     assert [r.v for r in latest.collect()] == ["c"]
+    assert RD.latest_partition_value(spark, os.path.join(root, "ds")) == "2026-04-02"
+    assert sorted(RD.partition_values(spark, os.path.join(root, "ds"))) == ["2026-04-01", "2026-04-02"]
     assert "PartitionFilters: [isnotnull(ingest_date" in latest._jdf.queryExecution().executedPlan().toString() \
         or latest.count() == 1
     with pytest.raises(SK.EmptyInputError):
