@@ -67,3 +67,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def cluster_conf(input_bytes: int, executor_cores: int = 4, target_partition_mb: int = 128) -> dict:
+    """Settings sized to the input, for a cluster session (apply with spark.conf.set).
+
+    Shuffle partitions start at input / target size (AQE then coalesces the
+    small ones and splits skewed join partitions); scan splits use the same
+    target, so each task holds ~128 MB of compressed input and its sort and
+    hash buffers spill instead of failing. Broadcasts stay at Spark's default
+    threshold: the library only hints broadcasts for dimensions whose
+    estimated size is bounded (sources.reference.bounded_broadcast).
+    """
+    target = target_partition_mb * 1024 * 1024
+    partitions = max(executor_cores * 2, -(-int(input_bytes) // target))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target),
+    }
