@@ -69,7 +69,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def cluster_conf(input_bytes: int, executor_cores: int = 4, target_partition_mb: int = 128) -> dict:
+def cluster_conf(input_bytes: int, executor_cores: int = 4, target_partition_mb: int = 128,
+                 max_shuffle_partitions: int = 200_000) -> dict:
     """Settings sized to the input, for a cluster session (apply with spark.conf.set).
 
     Shuffle partitions start at input / target size (AQE then coalesces the
@@ -80,7 +81,8 @@ def cluster_conf(input_bytes: int, executor_cores: int = 4, target_partition_mb:
     estimated size is bounded (sources.reference.bounded_broadcast).
     """
     target = target_partition_mb * 1024 * 1024
-    partitions = max(executor_cores * 2, -(-int(input_bytes) // target))
+    # capped: map-status metadata grows with maps x reducers; AQE coalesces below the cap
+    partitions = min(max_shuffle_partitions, max(executor_cores * 2, -(-int(input_bytes) // target)))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(target),
