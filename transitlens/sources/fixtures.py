@@ -4,10 +4,12 @@ One shipment per order that has line items; one hub visit per line item,
 two scans (arrival, departure) per visit. The mapping uses integer
 arithmetic only, so the DuckDB oracle can rebuild exactly the same rows.
 
-Layout: every derived frame is hash-partitioned by ``shipment_id`` once (the
-visit window). The shipment x scan join, the lead/lag windows and the
-de-duplication downstream all cluster on the same key, so the whole silver
-build needs that single exchange of the line items (plus one of the orders).
+Layout: the line items are hash-partitioned by ``shipment_id`` once, for the
+visit window (:func:`visit_rows`); shipments and scans are projections of
+that frame. When the bronze layer is stored (plans.pipeline), the visit rows
+are written once and both tables are derived from the file; downstream, the
+shipment x scan join, the lead/lag windows and the de-duplication all
+cluster on the same key.
 """
 
 from __future__ import annotations
