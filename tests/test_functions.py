@@ -100,3 +100,16 @@ def test_route_distances_matches_reference_table(spark, a, b):
     got = route_distances(pairs, cities(spark)).collect()
     want = city_distances(spark).filter((F.col("from_city") == a) & (F.col("to_city") == b)).collect()
     assert len(got) == 1 and got[0].road_km == want[0].road_km
+
+
+def test_sla_card_join_equals_case_and_flags_unknown(spark):
+    from transitlens.operators.enrich import with_sla_from_card
+    from transitlens.sources.reference import sla_rate_card
+
+    rows = [(z, t) for z in K.SLA_RATE_CARD for t in K.SHIPMENT_TYPES] + [("Zone X", "Express")]
+    df = spark.createDataFrame(rows, "zone string, shipment_type string")
+    got = {(r.zone, r.shipment_type): (r.sla_hours, r.sla_unknown)
+           for r in with_sla_from_card(df, sla_rate_card(spark)).collect()}
+    case = {(r.zone, r.shipment_type): r.h for r in df.select("*", sla_hours("zone", "shipment_type").alias("h")).collect()}
+    assert all(got[k][0] == case[k] for k in case)
+    assert got[("Zone X", "Express")] == (None, True) and got[("Local", "Express")] == (12, False)

@@ -63,6 +63,23 @@ def with_zone_sla(df: DataFrame, distance_col: str = "distance_km",
               .withColumn("expected_delivery_ts", add_hours(booking_col, "sla_hours")))
 
 
+def with_sla_from_card(df: DataFrame, card: DataFrame, zone_col: str = "zone",
+                       type_col: str = "shipment_type") -> DataFrame:
+    """C5 as a lookup: broadcast left join to a (zone, shipment_type, sla_hours) card.
+
+    An unknown (zone, type) pair keeps the row with NULL hours and
+    ``sla_unknown`` = true instead of failing (the reference raises).
+    The CASE form in ``with_zone_sla`` gives the same hours for the fixed card.
+    """
+    lk = card.select(F.col("zone").alias("_card_zone"), F.col("shipment_type").alias("_card_type"),
+                     F.col("sla_hours").alias("_card_hours"))
+    cond = (F.col(zone_col) == F.col("_card_zone")) & (F.col(type_col) == F.col("_card_type"))
+    return (df.join(bounded_broadcast(lk), cond, "left")
+              .withColumn("sla_hours", F.col("_card_hours"))
+              .withColumn("sla_unknown", F.col("_card_hours").isNull())
+              .drop("_card_zone", "_card_type", "_card_hours"))
+
+
 def with_hub_id(df: DataFrame, hubs: DataFrame, city_col: str = "hub_name",
                 out_col: str = "hub_id") -> DataFrame:
     """City -> hub_id via the hub master; cities without a hub get NULL."""
