@@ -7,7 +7,7 @@ from transitlens import constants as K
 from transitlens import schemas
 from transitlens.operators import dark as D
 from transitlens.operators import sla as S
-from transitlens.plans.pipeline import build_silver, register_views, silver_from_tables
+from transitlens.plans.layers import build_silver, register_views, silver_from_tables
 from transitlens.sources import fixtures
 from transitlens.sources import sinks as SK
 

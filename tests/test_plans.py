@@ -3,7 +3,7 @@
 from conftest import SF_SMALL
 
 from transitlens.plans.catalog import QUERIES
-from transitlens.plans.pipeline import silver_from_tables
+from transitlens.plans.layers import silver_from_tables
 
 
 def plan(df) -> str:

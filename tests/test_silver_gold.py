@@ -11,7 +11,7 @@ from transitlens.operators import dark as D
 from transitlens.operators import delay as G
 from transitlens.operators import sla as S
 from transitlens.operators.silver import hub_day_silver
-from transitlens.plans.pipeline import build_silver
+from transitlens.plans.layers import build_silver
 from transitlens.sources import reference as R
 
 

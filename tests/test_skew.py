@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from transitlens import schemas
 from transitlens.operators import dark as D
 from transitlens.operators.skew import detect_hot_keys, hot_key_frame, with_neighbors
-from transitlens.plans.pipeline import build_silver
+from transitlens.plans.layers import build_silver
 from transitlens.sources import reference as R
 
 CITIES = ["Delhi", "Jaipur", "Mumbai", "Agra", "Pune", "Noida"]

@@ -142,7 +142,7 @@ def test_incremental_intake_skips_loaded_files(spark, tmp_dir):
 
 def test_run_daily_from_raw_files(spark, tmp_dir):
     from transitlens.plans.daily import run_daily
-    from transitlens.plans.pipeline import as_text
+    from transitlens.plans.layers import as_text
     from transitlens.sources import fixtures
 
     fx = fixtures.build(spark, "/root/testdata/sf0.001")

@@ -19,7 +19,7 @@ from transitlens.operators import sla as S
 from transitlens.operators.dedup import dedup_scans
 from transitlens.operators.profile import scan_sequence, shipment_profile
 from transitlens.operators.silver import hub_day_silver, shipment_scans as _join
-from transitlens.plans.pipeline import as_text, bronze_from_tables, dark_from_tables, silver_from_tables
+from transitlens.plans.layers import as_text, bronze_from_tables, dark_from_tables, silver_from_tables
 from transitlens.sources import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -6,7 +6,7 @@ arithmetic only, so the DuckDB oracle can rebuild exactly the same rows.
 
 Layout: the line items are hash-partitioned by ``shipment_id`` once, for the
 visit window (:func:`visit_rows`); shipments and scans are projections of
-that frame. When the bronze layer is stored (plans.pipeline), the visit rows
+that frame. When the bronze layer is stored (plans.layers), the visit rows
 are written once and both tables are derived from the file; downstream, the
 shipment x scan join, the lead/lag windows and the de-duplication all
 cluster on the same key.
@@ -158,7 +158,7 @@ def build(spark: SparkSession, sf_dir: str, with_duplicates: bool = False,
     """Shipments and scan events for one scale-factor folder.
 
     ``visit_frame`` may be a stored copy of :func:`visit_rows` (see
-    plans.pipeline.bronze_from_tables); by default it is derived lazily.
+    plans.layers.bronze_from_tables); by default it is derived lazily.
     """
     vs = visit_frame if visit_frame is not None else visit_rows(spark, sf_dir)
     distances = R.city_distances(spark)
