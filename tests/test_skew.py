@@ -46,6 +46,8 @@ def rows(df, cols):
 def test_detect_hot_keys_finds_the_hot_journey(spark):
     _, sc = frames(spark)
     assert detect_hot_keys(sc, "shipment_id", min_share=0.2, fraction=0.5) == ["HOT"]
+    assert detect_hot_keys(sc, "shipment_id", min_share=0.0001, fraction=0.5) == ["HOT"]   # noise floor
+    assert detect_hot_keys(sc, "shipment_id", fraction=1.0, top=2)[0] == "HOT"
 
 
 def test_with_neighbors_split_equals_plain(spark):

@@ -27,9 +27,12 @@ from transitlens.sources.reference import bounded_broadcast, local_frame
 
 
 def detect_hot_keys(df: DataFrame, key: str, min_share: float = 0.01, fraction: float = 0.01,
-                    seed: int = 17, top: int | None = None) -> list:
+                    seed: int = 17, top: int | None = None, min_sampled_rows: int = 100) -> list:
     """Keys holding at least ``min_share`` of the rows, estimated on a ``fraction`` sample.
 
+    A key must also have ``min_sampled_rows`` rows in the sample, so that a
+    small sample does not flag every id it happens to contain.
+
     With ``top`` the ``top`` largest keys of the sample are returned instead
     (a fixed-size list, e.g. to route the longest journeys of a run through
     the split path). Either way the list is bounded and small.
@@ -43,7 +46,7 @@ def detect_hot_keys(df: DataFrame, key: str, min_share: float = 0.01, fraction:
     if total == 0:
         return []
     limit = max(1, int(1 / min_share))
-    rows = (counts.filter(F.col("count") >= F.lit(min_share * total))
+    rows = (counts.filter(F.col("count") >= F.lit(max(min_share * total, min_sampled_rows)))
                   .orderBy(F.desc("count"), key).limit(limit).collect())
     return [r[key] for r in rows]
 
