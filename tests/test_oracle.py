@@ -32,3 +32,14 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["origin_hub", "destination_hub", "dark_periods"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["hub_stays", "worst_routes", "silver_dedup_counts", "worst_routes_hot_split"])
+def test_lazy_path_matches_oracle(spark, con, name):
+    """Same results with the layer store switched off (everything recomputed lazily)."""
+    spark.conf.set("spark.transitlens.materialize", "false")
+    try:
+        r = compare(QUERIES[name](spark, SF_SMALL), con, SQL[name])
+    finally:
+        spark.conf.set("spark.transitlens.materialize", "true")
+    assert r["ok"], r
