@@ -2,15 +2,40 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from transitlens.llm import mixing, quality_rules
+from transitlens.llm import decontaminate, mixing, quality_rules, token_counts, token_store, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to the target weights of their sources."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix(mixing.sized(docs)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_benchmark(docs, _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", *decontaminate.hit_digest(found))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back by byte ranges."""
+    return warc.archive_round_trip(_table(spark, sf_dir, "pages"))
+
+
+def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written to shards and read back."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_store.store_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality statistics and the cascade's verdict for every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -18,12 +43,13 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents mixed to the target weights of their sources."""
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mixing.mix(mixing.sized(docs)).select("doc_id", "size", "source_size", "target", "taken")
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op7_quality_rules)}
+QUERIES = {f.__name__: f for f in (
+    op2_mixing, op4_decontamination, op5_warc, op6_token_store, op7_quality_rules, op9_token_counts)}
 
 ORACLE_SQL: dict[str, str] = {}

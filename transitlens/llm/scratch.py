@@ -7,10 +7,14 @@ running tasks and no earlier pass.
 
 from __future__ import annotations
 
+import io
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from transitlens.llm.shared_files import new_file, open_fs
 from transitlens.session import checkpoint_dir
 
 
@@ -38,3 +42,27 @@ class Scratch:
 def parallelism(spark: SparkSession) -> int:
     """The session's shuffle partitions: the number of buckets that hand-dealt exchanges use."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package's source, once per application, by way of the shared folder.
+
+    Python tasks import the package; on a cluster it need not be installed.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent.parent
+    raw = io.BytesIO()
+    with zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(package.rglob("*.py")):
+            z.write(p, f"{package.name}/{p.relative_to(package)}")
+    uri = new_file(f"{checkpoint_dir(spark).rstrip('/')}/transitlens-llm", ".zip")
+    f, path = open_fs(uri)
+    with f.open_output_stream(path, compression=None) as out:
+        out.write(raw.getvalue())
+    sc.addPyFile(uri)
+    _SHIPPED.add(sc.applicationId)
