@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from transitlens.llm import decontaminate, mixing, quality_rules, token_counts, token_store, warc
+from transitlens.llm import decontaminate, mixing, quality_mil, quality_rules, token_counts, token_store, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,7 +50,17 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op10_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_mil.train(docs, _table(spark, sf_dir, "labels"))
+    return quality_mil.score(docs, model).select(
+        "doc_id", (quality_mil.fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_mixing, op4_decontamination, op5_warc, op6_token_store, op7_quality_rules, op9_token_counts)}
+    op2_mixing, op4_decontamination, op5_warc, op6_token_store, op7_quality_rules, op9_token_counts,
+    op10_quality_mil)}
 
 ORACLE_SQL: dict[str, str] = {}
