@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transitlens.llm import decontaminate, mixing, quality_mil, quality_rules, token_counts, token_store, warc
+from transitlens.llm import decontaminate, mixing, ngram_join, quality_mil, quality_rules, token_counts, token_store, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +44,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shingles and the component of its links."""
+    return ngram_join.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -60,7 +65,7 @@ def op10_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_mixing, op4_decontamination, op5_warc, op6_token_store, op7_quality_rules, op9_token_counts,
-    op10_quality_mil)}
+    op2_mixing, op4_decontamination, op5_warc, op6_token_store, op7_quality_rules, op8_ngram_join,
+    op9_token_counts, op10_quality_mil)}
 
 ORACLE_SQL: dict[str, str] = {}

@@ -104,7 +104,7 @@ def shingle_hashes(w: np.ndarray, n: int) -> np.ndarray:
     """Hashes of the runs of n words, in order; order and number of words matter."""
     out = np.zeros(max(len(w) - n + 1, 0), np.uint64)
     for k in range(n):
-        out = mix64(out + w[k:k + len(out)] + np.uint64(k + 1) * np.uint64(0xA0761D6478BD642F))
+        out = mix64(out + w[k:k + len(out)] + np.uint64((k + 1) * 0xA0761D6478BD642F % 2**64))
     return out
 
 
