@@ -6,13 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transitlens.llm import decontaminate, mixing, ngram_join, quality_mil, quality_rules, token_counts, token_store, warc
+from transitlens.llm import decontaminate, mixing, ngram_join, quality_mil, quality_rules, suffix_dedup, token_counts, token_store, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated 50-byte strings removed from every document."""
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the target weights of their sources."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -65,7 +70,7 @@ def op10_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_mixing, op4_decontamination, op5_warc, op6_token_store, op7_quality_rules, op8_ngram_join,
+    op1_suffix_dedup, op2_mixing, op4_decontamination, op5_warc, op6_token_store, op7_quality_rules, op8_ngram_join,
     op9_token_counts, op10_quality_mil)}
 
 ORACLE_SQL: dict[str, str] = {}

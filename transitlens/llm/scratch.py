@@ -7,6 +7,7 @@ running tasks and no earlier pass.
 
 from __future__ import annotations
 
+import gc
 import io
 import uuid
 import zipfile
@@ -30,6 +31,9 @@ class Scratch:
 
     def write(self, df: DataFrame, table: str) -> DataFrame:
         df.write.mode("errorifexists").parquet(self.path(table))
+        # shuffle files of finished passes go when the JVM collects what refers to them
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
         return self.spark.read.schema(df.schema).parquet(self.path(table))
 
     def drop(self, table: str) -> None:
