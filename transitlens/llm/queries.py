@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transitlens.llm import decontaminate, mixing, ngram_join, quality_mil, quality_rules, suffix_dedup, token_counts, token_store, warc
+from transitlens.llm import decontaminate, lm, mixing, ngram_join, quality_mil, quality_rules, suffix_dedup, token_counts, token_store, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(mixing.sized(docs)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document's text."""
+    return lm.score_texts(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -70,7 +75,7 @@ def op10_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_suffix_dedup, op2_mixing, op4_decontamination, op5_warc, op6_token_store, op7_quality_rules, op8_ngram_join,
+    op1_suffix_dedup, op2_mixing, op3_lm_scoring, op4_decontamination, op5_warc, op6_token_store, op7_quality_rules, op8_ngram_join,
     op9_token_counts, op10_quality_mil)}
 
 ORACLE_SQL: dict[str, str] = {}
