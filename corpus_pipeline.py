@@ -1,10 +1,17 @@
-"""A training-data pipeline over ``documents``, one stage after the other."""
+"""A training-data pipeline over ``documents``, one stage after the other.
+
+Quality rules drop documents; of each group of near copies one document
+stays; documents that hold a window of the benchmark go; the rest is mixed to
+the target weights of its sources; and what the mix takes is encoded and
+written as shards of token ids, which are read back.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from transitlens.llm import mixing, quality_rules
+from transitlens.llm import decontaminate, mixing, ngram_join, quality_rules, token_store
 from transitlens.llm.scratch import Scratch
 
 
@@ -13,14 +20,30 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each component of similar documents."""
+    return ngram_join.one_of_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no window of the benchmark occurs."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents mixed to the target weights of their sources."""
+    """What the mix takes: documents once or more, or in part."""
     return mixing.mixed_documents(docs)
 
 
-STAGES = [("quality_rules", quality), ("mixing", mix)]
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token ids of the mix, from the shards they are written to."""
+    return token_store.store_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [("quality_rules", quality), ("ngram_join", near_copies), ("decontamination", decontamination),
+          ("mixing", mix), ("token_ids", token_ids)]
 
-#: Hashed shingles, joins of similar sets and token ids have no SQL form; tests compare with brute force.
+#: Joins of similar sets and token ids have no SQL form; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 

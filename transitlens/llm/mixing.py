@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from transitlens.llm.quality_rules import words_of
+from transitlens.llm.quality_rules import WORD, words_of
 
 WEIGHTS = (5, 2, 1)
 SHARE_PCT = 150
@@ -105,13 +105,14 @@ def sized(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "source", F.size(words_of(F.col("text"))).cast("long").alias("size"))
 
 
-def mix(sizes: DataFrame, seed: int = 1, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS,
+def mix(sizes: DataFrame, seed: int = 1, extra: tuple[str, ...] = (), block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS,
         share_pct: int = SHARE_PCT, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """doc_id, source, size -> doc_id, source, size, source_size, target, taken, and the taking itself.
 
     ``base`` is how often the whole document is taken; ``cut1``/``len1`` and
     ``cut2``/``len2`` are the word intervals taken once more (the second only
-    where the taken blocks go round the end of the shard).
+    where the taken blocks go round the end of the shard). Columns named in
+    ``extra`` pass through and break ties in the order of a shard.
     """
     per_source = targets(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), share_pct, max_epochs)
     seats = F.round(F.sum("target").over(Window.partitionBy()) / block_words)
@@ -120,7 +121,7 @@ def mix(sizes: DataFrame, seed: int = 1, block_words: int = BLOCK_WORDS, shard_w
         "source", "source_size", "rank", "target", "blocks",
         F.greatest(F.ceil(F.col("source_size") / shard_words), F.lit(1)).cast("long").alias("shards"))
     d = sizes.alias("d").join(per_source.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source"))) \
-        .select("d.doc_id", "d.source", "d.size", "s.rank", "s.source_size", "s.target", "s.blocks", "s.shards") \
+        .select("d.doc_id", "d.source", "d.size", *[f"d.{c}" for c in extra], "s.rank", "s.source_size", "s.target", "s.blocks", "s.shards") \
         .withColumn("shard", _digest("doc_id", "shard", seed) % F.col("shards")) \
         .withColumn("place", _digest("doc_id", "place", seed))
     shards = d.groupBy("rank", "shard").agg(F.sum("size").alias("words"), F.max("blocks").alias("blocks"))
@@ -135,7 +136,7 @@ def mix(sizes: DataFrame, seed: int = 1, block_words: int = BLOCK_WORDS, shard_w
                 F.when(F.col("n") > 0, (F.col("from") + F.col("q") % F.col("n")) * block_words).otherwise(0).alias("y"),
                 (F.col("n") * block_words).alias("ring"))
     laid = d.withColumn("a", F.coalesce(F.sum("size").over(
-        Window.partitionBy("rank", "shard").orderBy("place", "doc_id", "size")
+        Window.partitionBy("rank", "shard").orderBy("place", "doc_id", "size", *extra)
         .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     laid = laid.alias("l").join(shards.alias("q"), ["rank", "shard"])
     end = F.col("a") + F.col("size")
@@ -143,7 +144,7 @@ def mix(sizes: DataFrame, seed: int = 1, block_words: int = BLOCK_WORDS, shard_w
     len1 = F.greatest(F.least(F.col("y"), F.col("ring"), end) - cut1, F.lit(0))
     # what goes round the end starts the shard again
     len2 = F.greatest(F.least(F.col("y") - F.col("ring"), end) - F.col("a"), F.lit(0))
-    out = laid.select("doc_id", "source", "size", "source_size", "target", "base",
+    out = laid.select("doc_id", "source", "size", *extra, "source_size", "target", "base",
                       (cut1 - F.col("a")).alias("cut1"), len1.alias("len1"),
                       F.lit(0).cast("long").alias("cut2"), len2.alias("len2"))
     return out.withColumn("taken", F.col("base") * F.col("size") + F.col("len1") + F.col("len2"))
@@ -155,26 +156,28 @@ def mixed_documents(docs: DataFrame, seed: int = 1) -> DataFrame:
     A part is the stretch of the text from the first to the last taken word,
     spaces inside kept; n_chars, where there is one, follows the text.
     """
-    m = mix(sized(docs), seed).filter("taken > 0").select(
-        F.col("doc_id").alias("__id"), F.col("size").alias("__size"), "base", "cut1", "len1", "cut2", "len2")
-    m = m.withColumn("__n", F.row_number().over(Window.partitionBy("__id").orderBy("__size")))
-    d = docs.withColumn("__size", F.size(words_of(F.col("text"))).cast("long")) \
-        .withColumn("__n", F.row_number().over(Window.partitionBy("doc_id").orderBy("__size")))
-    whole = F.struct(F.lit(0).cast("long").alias("cut"), F.col("d.__size").alias("len"))
-    part = lambda c, n: F.struct(F.col(c).alias("cut"), F.col(n).alias("len"))
-    takes = F.filter(F.concat(F.array_repeat(whole, F.col("base").cast("int")),
-                              F.array(part("cut1", "len1"), part("cut2", "len2"))), lambda t: t["len"] > 0)
-    j = d.alias("d").join(m.alias("m"), F.col("d.doc_id").eqNullSafe(F.col("m.__id"))
-                          & (F.col("d.__n") == F.col("m.__n")) & (F.col("d.__size") == F.col("m.__size")))
-    j = j.select(*[F.col(f"d.`{c}`") for c in docs.columns], F.col("d.__size").alias("__size"),
-                 F.explode(takes).alias("__take"))
-    # words with the space after them, and the space before the first word by itself
+    keyed = docs.select("*", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"),
+                        F.size(words_of(F.col("text"))).cast("long").alias("__size"))
+    sizes = keyed.select("doc_id", "source", F.col("__size").alias("size"), "__row")
+    m = mix(sizes, seed, ("__row",)).select(F.col("doc_id").alias("__id"), F.col("__row").alias("__same"),
+                                            "base", "cut1", "len1", "cut2", "len2", "taken")
+    # rows that are equal in all columns are told apart by number
+    m = m.withColumn("__nth", F.row_number().over(Window.partitionBy("__id", "__same").orderBy("base", "cut1", "len1", "len2"))) \
+        .filter("taken > 0")
+    d = keyed.withColumn("__n", F.row_number().over(Window.partitionBy("doc_id", "__row").orderBy("__size")))
+    j = d.join(m, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__row") == F.col("__same"))
+               & (F.col("__n") == F.col("__nth")))
+    part = lambda c, n: F.struct(c.alias("cut"), n.alias("len"))
+    takes = F.filter(F.concat(F.array_repeat(part(F.lit(0).cast("long"), F.col("__size")), F.col("base").cast("int")),
+                              F.array(part(F.col("cut1"), F.col("len1")), part(F.col("cut2"), F.col("len2")))),
+                     lambda t: t["len"] > 0)
+    j = j.select(*[F.col(f"`{c}`") for c in docs.columns], "__size", F.explode(takes).alias("__take"))
+    # words with the space after them; the space before the first word is no piece
     pieces = F.filter(F.split(F.col("text"), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])", -1),
-                      lambda s: F.rlike(s, F.lit(r"[^\x20\x09-\x0D]")))
+                      lambda s: F.rlike(s, F.lit(WORD)))
     text = F.when(F.col("__take.len") == F.col("__size"), F.col("text")).otherwise(
         F.array_join(F.slice(pieces, (F.col("__take.cut") + 1).cast("int"), F.col("__take.len").cast("int")), ""))
-    cols = [text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
-    out = j.select(*cols)
+    out = j.select(*[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out

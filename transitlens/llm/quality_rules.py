@@ -167,4 +167,6 @@ def judge(docs: DataFrame, text: str = "text", rules: list[Rule] | None = None)
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents that no rule rejects, with their own columns."""
     inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col(text).alias("__t"))
-    return judge(inner, "__t").filter("kept").select("__row.*")
+    # a filter isn't pushed below a row number, and so the statistics aren't computed again for each rule
+    judged = judge(inner, "__t").withColumn("__nth", F.monotonically_increasing_id())
+    return judged.filter(F.col("kept") & (F.col("__nth") >= 0)).select("__row.*")
