@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from transitlens.llm.scratch import ship_package
-from transitlens.llm.word_arrays import ALNUM, mix64, utf8, words
+from transitlens.llm.word_arrays import ALNUM, mix64, pieces, utf8, words
 
 WINDOW = 10
 SLICE_BYTES = 16 << 20   # item text in one broadcast
@@ -136,18 +136,6 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def pieces(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
-    """Ranges of consecutive rows of about ``most`` bytes, a row at least."""
-    a, held = 0, 0
-    for i, n in enumerate(sizes):
-        if held and held + n > most:
-            yield a, i
-            a, held = i, 0
-        held += n
-    if a < len(sizes):
-        yield a, len(sizes)
-
-
 def _slices(items: DataFrame) -> Iterator[tuple[list[str], list[bytes]]]:
     """The benchmark in slices that are small enough to broadcast, one after the other."""
     ids, texts, held = [], [], 0

@@ -14,11 +14,13 @@
    shingle, which bounds the overlap from above. What is left is decided by
    the intersection of the sorted arrays, and links give components.
 4. Only shingles that still join different components go on. Their members
-   are cut into tiles by size band (a band meets itself and the next) and, if
-   a tile is large, by blocks of it; in a tile, all pairs of different
+   are cut into tiles by size band (large members of a band visit the next)
+   and, if a tile is large, by blocks of it; in a tile, pairs of different
    components are held against size, place and bitmap bounds, and those left
-   are decided exactly. So no link between components is lost, and pairs
-   inside a component are never listed.
+   are decided exactly. A first pass takes some partners of each member and
+   joins most components; the second takes all pairs of what is still apart.
+   So no link between components is lost, and pairs inside a component are
+   not listed.
 
 Nothing is capped: every pair that could link two components is decided.
 
@@ -39,9 +41,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from transitlens.llm.components import components
-from transitlens.llm.decontaminate import pieces
 from transitlens.llm.scratch import Scratch, parallelism, ship_package
-from transitlens.llm.word_arrays import SPACED, mix64, shingle_hashes, utf8, words
+from transitlens.llm.word_arrays import SPACED, mix64, pieces, shingle_hashes, utf8, words
 
 SHINGLE = 5
 THRESHOLD = 80           # per cent
@@ -50,10 +51,13 @@ FREQUENT_PCT = 1         # a shingle in this share of a piece's documents, and i
 FREQUENT_MIN = 8
 MOST_FREQUENT = 65_536   # shingles put last; 8 bytes each are broadcast
 BITS = (64, 4_096)       # least and most bits of a bitmap
-BAND = 1.26              # ratio of a size band; more than 100 / THRESHOLD
+BAND = 4                 # ratio of a size band
+NARROW = 256             # bits of the bitmap that goes into tiles
+STEPS = (1, 2, 4, 8, 16) # partners of a member in the chain, counted along it
+PARTNERS_FIRST = 24      # partners of a member in the first pass over the tiles
 TILE = 2_048             # members of a block of a tile
 PAIRS = 1 << 20          # pairs looked at in one numpy operation
-BROADCAST_IDS = 500_000  # ids (8 bytes each) up to which the texts to compare are found by a broadcast
+BROADCAST_ROWS = 400_000 # rows up to which a written table of ids (and, of 64 bytes at most, bitmaps) is broadcast
 PARTNERS = 64            # texts held against one text by one task, about
 
 
@@ -161,7 +165,7 @@ def frequent_shingles(sizes: DataFrame) -> np.ndarray:
 _BLOB = "bucket int, shingle binary, owner binary, place binary, docs binary"
 _DOC = np.dtype([("doc", "<i8"), ("n", "<i8"), ("d1", "<i8"), ("d2", "<i8")])
 _SHARED = pa.schema([("shingle", pa.int64()), ("doc", pa.int64()), ("n", pa.int64()), ("place", pa.int64()),
-                     ("next", pa.int64())])
+                     ("next", pa.list_(pa.int64()))])
 
 
 def prefixes(sets: list[np.ndarray], last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -239,17 +243,21 @@ def _share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     member = np.zeros(len(shingle), bool)
     member[1:] |= same
     member[:-1] |= same
-    a, b = d["n"][:-1], d["n"][1:]
-    good = same & possible(a, b, place[:-1], place[1:])
-    mask = np.ones(len(shingle), bool)
-    mask[:-1] = ~good
-    following = np.zeros(len(shingle), np.int64)
-    following[:-1] = d["doc"][1:]
+    near = np.zeros((len(STEPS), len(shingle)), np.int64)
+    good = np.zeros(near.shape, bool)
+    for row, step in enumerate(STEPS):
+        if step < len(shingle):
+            good[row, :-step] = (shingle[step:] == shingle[:-step]) \
+                & possible(d["n"][:-step], d["n"][step:], place[:-step], place[step:])
+            near[row, :-step] = d["doc"][step:]
     for i in range(0, len(shingle), 100_000):
         k = np.flatnonzero(member[i:i + 100_000]) + i
+        listed = good[:, k].T
+        ends = np.concatenate([[0], np.cumsum(listed.sum(1))]).astype(np.int32)
+        partners = pa.ListArray.from_arrays(pa.array(ends), pa.array(near[:, k].T[listed]))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(shingle[k].view(np.int64)), pa.array(d["doc"][k]), pa.array(d["n"][k]), pa.array(place[k]),
-             pa.array(following[k], mask=mask[k])], schema=_SHARED)
+            [pa.array(shingle[k].view(np.int64)), pa.array(d["doc"][k]), pa.array(d["n"][k]), pa.array(place[k]), partners],
+            schema=_SHARED)
 
 
 def possible(na, nb, pa_, pb):
@@ -267,6 +275,14 @@ def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(c).filter(pa.array(ok)) for c in ("a", "b")], names=["a", "b"])
 
 
+def _narrowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bitmaps folded to NARROW bits at most."""
+    for b in batches:
+        maps = b.column("bits").to_pylist()
+        out = [x if len(x) * 8 <= NARROW else _folded([x], NARROW // 8)[0].tobytes() for x in maps]
+        yield pa.RecordBatch.from_arrays([b.column("doc"), b.column("n"), pa.array(out, pa.binary())], names=["doc", "n", "bits"])
+
+
 def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (a, salt, b), a's own text, whose b is null, first."""
     a, sets = None, []
@@ -296,11 +312,15 @@ def _overlap(s: np.ndarray, t: np.ndarray) -> int:
     return int((t[np.minimum(np.searchsorted(t, s), len(t) - 1)] == s).sum())
 
 
+def _small(written: DataFrame) -> DataFrame:
+    """A written table, to be broadcast if its rows are counted and few; else Spark joins it by a shuffle."""
+    return F.broadcast(written) if written.count() <= BROADCAST_ROWS else written
+
+
 def decided(docs: DataFrame, pairs: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """The pairs (a, b) of documents that are linked, as u and v. ``pairs`` is a written table."""
     ids = scratch.write(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), f"{name}-ids")
-    few = ids.count() <= BROADCAST_IDS
-    texts = docs.join(F.broadcast(ids) if few else ids, F.col("doc") == F.col("id")).select("id", "text")
+    texts = docs.join(_small(ids), F.col("doc") == F.col("id")).select("id", "text")
     texts = scratch.write(texts, f"{name}-texts")
     many = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).cast("int").alias("parts"))
     dealt = pairs.join(many, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
@@ -316,18 +336,20 @@ def decided(docs: DataFrame, pairs: DataFrame, scratch: Scratch, name: str) -> D
 
 # ---- 4. tiles ---------------------------------------------------------------
 
-def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by tile -> candidate pairs of different components."""
-    held: list[pa.Table] = []
-    for batch in batches:
-        t = pa.Table.from_batches([*[x for h in held for x in h.to_batches()], batch])
-        key = _tile_of(t)
-        # the last tile may go on in the next batch
-        cut = int(np.searchsorted(key, key[-1])) if len(key) else 0
-        yield from _pairs(t.slice(0, cut))
-        held = [t.slice(cut)]
-    for t in held:
-        yield from _pairs(t)
+def _tiles(most: int):
+    """Rows sorted by tile -> candidate pairs of different components, of each member with the next ``most``."""
+    def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        for batch in batches:
+            t = pa.Table.from_batches([*[x for h in held for x in h.to_batches()], batch])
+            key = _tile_of(t)
+            # the last tile may go on in the next batch
+            cut = int(np.searchsorted(key, key[-1])) if len(key) else 0
+            yield from _pairs(t.slice(0, cut), most)
+            held = [t.slice(cut)]
+        for t in held:
+            yield from _pairs(t, most)
+    return tiles
 
 
 def _tile_of(t: pa.Table) -> np.ndarray:
@@ -338,14 +360,14 @@ def _tile_of(t: pa.Table) -> np.ndarray:
     return np.cumsum(new)
 
 
-def _pairs(t: pa.Table) -> Iterator[pa.RecordBatch]:
+def _pairs(t: pa.Table, most: int) -> Iterator[pa.RecordBatch]:
     if not len(t):
         return
     c = {k: t.column(k).to_numpy() for k in ("doc", "component", "n", "place", "visits", "part", "i", "j")}
     maps = t.column("bits").to_pylist()
     key = _tile_of(t)
     end = np.searchsorted(key, key, side="right")
-    count = end - np.arange(len(key)) - 1          # partners that follow in the tile
+    count = np.minimum(end - np.arange(len(key)) - 1, most)    # partners that follow in the tile
     run = np.concatenate([[0], np.cumsum(count)])
     for x in range(0, int(run[-1]), PAIRS):        # pairs x to x + PAIRS - 1 of all tiles, in order
         at = np.arange(x, min(x + PAIRS, int(run[-1])))
@@ -366,9 +388,14 @@ def _pairs(t: pa.Table) -> Iterator[pa.RecordBatch]:
 
 
 def tiled(members: DataFrame) -> DataFrame:
-    """Members (shingle, doc, component, n, place, bits) of undecided shingles -> a row per member and tile."""
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(BAND))).cast("int")
-    m = members.withColumn("band", F.explode(F.array(band, band + 1))).withColumn("visits", F.col("band") != band)
+    """Members (shingle, doc, component, n, place, bits) of undecided shingles -> a row per member and tile.
+
+    A member also visits the next band if a set that may link with it can be that large.
+    """
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(float(BAND))) + 1e-9).cast("int")
+    reach = F.floor(F.log(F.col("n") * 100.0 / THRESHOLD) / F.log(F.lit(float(BAND))) + 1e-6).cast("int")
+    m = members.withColumn("own", band).withColumn("band", F.explode(F.sequence(band, F.greatest(band, reach)))) \
+        .withColumn("visits", F.col("band") != F.col("own")).drop("own")
     large = m.groupBy("shingle", "band").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > TILE)
     m = m.join(large, ["shingle", "band"], "left") \
         .withColumn("parts", F.coalesce(F.ceil(F.col("size") / TILE), F.lit(1)).cast("int")) \
@@ -392,42 +419,51 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     last = spark.sparkContext.broadcast(frequent_shingles(sizes))
     blobs = known.mapInArrow(_deal(last, buckets), _BLOB).repartitionById(buckets, "bucket")
     shared = scratch.write(blobs.select("shingle", "owner", "place", "docs")
-                           .mapInArrow(_share, "shingle long, doc long, n long, place long, next long"), "shared")
+                           .mapInArrow(_share, "shingle long, doc long, n long, place long, next array<long>"), "shared")
 
     live = sizes.filter("n > 0 and doc is not null").select("doc", "n", "d1", "d2", "bits")
     groups = live.groupBy("n", "d1", "d2").agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("size"))
     copies = live.join(groups.filter("size > 1"), ["n", "d1", "d2"]).filter("doc != rep").select("doc", "rep").distinct()
     copies = scratch.write(copies, "copies")
     # the row that stands for a class, of which there may be more than one if ids repeat
-    reps = live.join(copies, "doc", "left_anti").groupBy("doc", "n").agg(F.first("bits").alias("bits"))
+    reps = live.join(_small(copies), "doc", "left_anti").groupBy("doc", "n").agg(F.first("bits").alias("bits"))
     reps = scratch.write(reps, "reps")
 
     def standing(d: DataFrame, column: str) -> DataFrame:
-        c = copies.select(F.col("doc").alias("__doc"), "rep")
+        c = _small(copies).select(F.col("doc").alias("__doc"), "rep")
         return d.join(c, F.col(column) == F.col("__doc"), "left") \
             .withColumn(column, F.coalesce("rep", column)).drop("rep", "__doc")
 
-    chain = shared.filter("next is not null").select(F.col("doc").alias("a"), F.col("next").alias("b")).distinct()
+    def bounded(pairs: DataFrame) -> DataFrame:
+        side = lambda s: reps.select(F.col("doc").alias(s), F.col("n").alias(f"n{s}"), F.col("bits").alias(f"x{s}"))
+        return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_bounded, "a long, b long").distinct()
+
+    chain = shared.select(F.col("doc").alias("a"), F.explode("next").alias("b")).distinct()
     chain = standing(standing(chain, "a"), "b").filter("a != b") \
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    side = lambda s: reps.select(F.col("doc").alias(s), F.col("n").alias(f"n{s}"), F.col("bits").alias(f"x{s}"))
-    chain = chain.join(side("a"), "a").join(side("b"), "b").mapInArrow(_bounded, "a long, b long").distinct()
-    chain = scratch.write(chain, "chain")
+    chain = scratch.write(bounded(chain), "chain")
     same = copies.select(F.col("doc").alias("u"), F.col("rep").alias("v"))
     links = decided(known, chain, scratch, "first")
     found = scratch.write(components(links, scratch, "c1"), "first-components")
 
-    member = standing(shared.select("shingle", "doc", "n", "place"), "doc").distinct() \
-        .join(found.withColumnRenamed("node", "doc"), "doc", "left") \
-        .withColumn("component", F.coalesce("component", "doc"))
-    member = scratch.write(member, "members")
-    open_ = member.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
-        .filter("lo < hi").select("shingle")
-    member = member.join(open_, "shingle").join(reps.select("doc", "n", "bits"), ["doc", "n"])
-    tiles = tiled(member).repartition(buckets, "shingle", "band", "i", "j").sortWithinPartitions("shingle", "band", "i", "j")
-    pairs = scratch.write(tiles.mapInArrow(_tiles, "a long, b long").distinct().join(chain, ["a", "b"], "left_anti"), "pairs")
-    more = decided(known, pairs, scratch, "second")
-    found = components(links.union(more).union(same), scratch, "c2")
+    narrow = scratch.write(reps.mapInArrow(_narrowed, "doc long, n long, bits binary"), "narrow")
+    tried, links = chain, links.union(same)
+    for name, most in (("near", PARTNERS_FIRST), ("all", 1 << 40)):
+        # the shingles' own files hold all members of a shingle, so nothing is shuffled before the undecided are known
+        member = standing(shared.select("shingle", "doc", "n", "place"), "doc") \
+            .join(_small(found).withColumnRenamed("node", "doc"), "doc", "left") \
+            .withColumn("component", F.coalesce("component", "doc"))
+        open_ = member.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
+            .filter("lo < hi").select("shingle")
+        open_ = scratch.write(open_, f"{name}-open")
+        member = member.join(_small(open_), "shingle").join(_small(narrow), ["doc", "n"])
+        tiles = tiled(member).repartition(buckets, "shingle", "band", "i", "j") \
+            .sortWithinPartitions("shingle", "band", "i", "j", F.xxhash64("doc"))
+        pairs = tiles.mapInArrow(_tiles(most), "a long, b long").distinct()
+        pairs = scratch.write(bounded(pairs.join(tried, ["a", "b"], "left_anti")), f"{name}-pairs")
+        links = links.union(decided(known, pairs, scratch, name))
+        tried = tried.union(pairs)
+        found = scratch.write(components(links, scratch, f"{name}-c"), f"{name}-components")
 
     out = sizes.select("doc", "n").join(found, F.col("doc") == F.col("node"), "left")
     return out.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"),

@@ -26,9 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from transitlens.llm.decontaminate import pieces
 from transitlens.llm.scratch import ship_package
-from transitlens.llm.word_arrays import utf8, words
+from transitlens.llm.word_arrays import pieces, utf8, words
 
 PASSAGE = 48             # words
 HASHED = 48              # buckets of hashed words

@@ -7,6 +7,7 @@ ASCII, so classes that treat all other characters alike need no decoding.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -113,3 +114,15 @@ def utf8(column) -> list[bytes]:
     import pyarrow as pa
 
     return [x or b"" for x in column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()]
+
+
+def pieces(sizes: list[int], most: int, rows: int = 1 << 30) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive rows of about ``most`` bytes and at most ``rows`` rows, a row at least."""
+    a, held = 0, 0
+    for i, n in enumerate(sizes):
+        if i > a and (held + n > most or i - a >= rows):
+            yield a, i
+            a, held = i, 0
+        held += n
+    if a < len(sizes):
+        yield a, len(sizes)
