@@ -29,45 +29,54 @@ import os
 import re
 import struct
 import zlib
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from transitlens.llm.scratch import Scratch, parallelism, ship_package
 from transitlens.llm.shared_files import new_file, open_fs
+from transitlens.llm.word_arrays import pieces
 
 MAGIC = b"TPF1"
 BLOCK = 8_192            # ids in a block; at most 65,536
 PERCENTILE = 90
 READ_BYTES = 4 << 20     # a reader asks for runs of blocks of about this size
-CACHE = 400_000          # entries of a worker's cache of encoded pre-tokens
+CACHE = 800_000          # entries of a worker's cache of encoded pre-tokens
+RECENT = 8               # batches whose pre-tokens stay when the cache is full
+TEXTS = 1_024            # texts in a batch, of
+TEXT_BYTES = 4 << 20     # bytes at most, a text at least
 LONGEST = 64             # longer pre-tokens aren't cached
 
 _HEAD = struct.Struct("<IBBHI")
 _FOOT = struct.Struct("<QQQQ4s")
 _TOKENIZERS: dict[str, object] = {}
-_SEEN: dict[str, dict[str, bytes]] = {}
-_BESIDE = re.compile(r"\s | \s")
+_SEEN: dict[str, tuple[dict[str, bytes], deque]] = {}
+_SPACED: dict[str, np.ndarray] = {}
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 
 
 # ---- blocks -----------------------------------------------------------------
 
 def _pack(v: np.ndarray, width: int) -> bytes:
+    """The low ``width`` bits of numbers below 2^32, one after the other."""
     if not width or not len(v):
         return b""
-    bits = (v.astype(np.uint64)[:, None] >> np.arange(width, dtype=np.uint64)) & np.uint64(1)
-    return np.packbits(bits.astype(np.uint8).ravel(), bitorder="little").tobytes()
+    bits = np.unpackbits(v.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, count=width, bitorder="little")
+    return np.packbits(bits.ravel(), bitorder="little").tobytes()
 
 
 def _unpack(raw: bytes, n: int, width: int) -> np.ndarray:
     if not width or not n:
         return np.zeros(n, np.uint64)
     bits = np.unpackbits(np.frombuffer(raw, np.uint8), bitorder="little", count=n * width).reshape(n, width)
-    return bits.astype(np.uint64) @ (np.uint64(1) << np.arange(width, dtype=np.uint64))
+    out = np.zeros((n, 4), np.uint8)
+    out[:, :-(-width // 8)] = np.packbits(bits, axis=1, bitorder="little")
+    return out.view("<u4").ravel().astype(np.uint64)
 
 
 def encode_block(ids: np.ndarray) -> bytes:
@@ -219,35 +228,90 @@ def spaces_cut(path: str) -> bool:
             a["lstrip"] or a["rstrip"] or a["single_word"] or " " in a["content"] for a in spec["added_tokens"])
 
 
+def _ids(path: str, texts: list[str]) -> list[bytes]:
+    t = tokenizer(path)
+    return [np.array(e.ids, "<u4").tobytes() for e in t.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+def _starts(path: str) -> np.ndarray:
+    """Of every id, whether its token starts with a space."""
+    if path not in _SPACED:
+        t = tokenizer(path)
+        spaced = np.zeros(t.get_vocab_size(), bool)
+        for token, i in t.get_vocab().items():
+            spaced[i] = token.startswith("\u0120")
+        _SPACED[path] = spaced
+    return _SPACED[path]
+
+
+def _newline(path: str) -> int:
+    """The id of a newline alone; -1 if it has more than one."""
+    ids = np.frombuffer(_ids(path, ["\n"])[0], "<u4")
+    return int(ids[0]) if len(ids) == 1 else -1
+
+
+def _encode_units(path: str, units: list[str]) -> dict[str, bytes]:
+    """The ids of each unit: after a space, or as it is where it starts with a newline.
+
+    Units without further white space are encoded many to a call, and cut at
+    the tokens that start with the space or the newline.
+    """
+    out: dict[str, bytes] = {}
+    lines = [u for u in units if u[:1] == "\n"]
+    spaced, newline = _starts(path), _newline(path)
+    for some, joint in (([u for u in units if u[:1] != "\n"], " "), (lines, "")):
+        plain = [u for u in some if len(u) > 1 and u.split() == [u.lstrip("\n")]]
+        chunks = [plain[i:i + 512] for i in range(0, len(plain), 512)]
+        for chunk, raw in zip(chunks, _ids(path, [joint + joint.join(c) for c in chunks])):
+            ids = np.frombuffer(raw, "<u4")
+            at = np.flatnonzero(spaced[ids] if joint else ids == newline) * 4
+            if len(at) == len(chunk):
+                cut = at.tolist()
+                out.update(zip(chunk, map(raw.__getitem__, map(slice, cut, [*cut[1:], len(raw)]))))
+    rest = [u for u in units if u not in out]
+    out.update(zip(rest, _ids(path, [u if u[:1] == "\n" else " " + u for u in rest])))
+    return out
+
+
+def _units(text: str) -> list[str]:
+    """The text cut at its lone spaces and newlines: the first unit, then units as :func:`_encode_units` takes them."""
+    if text.replace("\n", "").isprintable():
+        text_ = text.replace("\n", " \n")
+        if "  " not in text_ and "\n " not in text_ and text_[:1] != " " and text_[-1:] not in (" ", "\n"):
+            return text_.split(" ")
+    return _BETWEEN.split(text)      # no unit after the first starts with white space
+
+
 def encode_texts(path: str, texts: list[str], cut: bool) -> list[bytes]:
     """Each text's ids as little-endian unsigned 32-bit integers, as the tokenizer gives them for the whole text.
 
-    With ``cut``, a text falls into pre-tokens at its lone spaces; their ids
-    come from a cache that lives as long as the Python worker, and distinct
-    missing ones are encoded a batch at a time.
+    With ``cut``, a text falls into pre-tokens at its lone spaces and newlines;
+    their ids come from a cache that lives as long as the Python worker, and
+    distinct missing ones are encoded a batch at a time. A full cache keeps
+    what the last RECENT batches used.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    t, seen = tokenizer(path), _SEEN.setdefault(path, {})
-    if len(seen) > CACHE:
-        seen.clear()
-    raw = lambda xs: [np.array(e.ids, "<u4").tobytes() for e in t.encode_batch_fast(xs, add_special_tokens=False)]
     if not cut:
-        return raw(texts)
-    units, missing = [], set()
-    for x in texts:
-        if _BESIDE.search(x) or x[:1] == " " or x[-1:] == " ":
-            u = _BETWEEN.sub("\0 ", x).split("\0") if "\0" not in x else [x]
-        else:
-            u = x.split(" ")
-            u[1:] = [" " + y for y in u[1:]]
-        units.append(u)
-        missing.update(y for y in u if y not in seen)
-    order = list(missing)
-    found = dict(zip(order, raw(order)))
-    seen.update((u, r) for u, r in found.items() if len(u) <= LONGEST)
-    long = {u: r for u, r in found.items() if len(u) > LONGEST}
-    get = (lambda y: long[y] if y in long else seen[y]) if long else seen.__getitem__
-    return [b"".join(map(get, u)) for u in units]
+        return _ids(path, texts)
+    seen, recent = _SEEN.setdefault(path, ({}, deque(maxlen=RECENT)))
+    units = [_units(x) for x in texts]
+    heads = _ids(path, [u[0] for u in units])
+    for u in units:
+        del u[0]
+    got = [list(map(seen.get, u)) for u in units]
+    gaps = [[i for i, r in enumerate(g) if r is None] if None in g else [] for g in got]
+    found = _encode_units(path, list({u[i] for u, gap in zip(units, gaps) for i in gap}))
+    for u, g, gap in zip(units, got, gaps):
+        for i in gap:
+            g[i] = found[u[i]]
+    recent.append(units)
+    new = {u: r for u, r in found.items() if len(u) <= LONGEST}
+    if len(seen) + len(new) > CACHE:
+        kept = {u: seen[u] for batch in recent for some in batch for u in some if u in seen}
+        seen.clear()
+        seen.update(kept)
+    seen.update(new)
+    return [h + b"".join(g) for h, g in zip(heads, got)]
 
 
 # ---- the operator -----------------------------------------------------------
@@ -264,10 +328,10 @@ def write_shards(docs: DataFrame, path: str, folder: str, scratch: Scratch, end_
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, first = None, None
         for b in batches:
-            keys = b.column("key").to_pylist()
-            for i in range(0, len(keys), 256):
-                some = encode_texts(path, b.column("text").slice(i, 256).to_pylist(), cut)
-                for k, raw in zip(keys[i:i + 256], some):
+            keys, sizes = b.column("key").to_pylist(), pc.binary_length(b.column("text")).to_pylist()
+            for i, j in pieces(sizes, TEXT_BYTES, TEXTS):
+                some = encode_texts(path, b.column("text").slice(i, j - i).to_pylist(), cut)
+                for k, raw in zip(keys[i:j], some):
                     if out is None:
                         uri, first = new_file(folder, ".tpf"), k
                         out = ShardWriter(uri)
