@@ -149,18 +149,20 @@ def _steps(begins: list[int], ends: list[int]) -> Iterator[tuple[int, int, list[
 
 
 def window_ranks(buf: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """128-bit ranks of the LENGTH bytes at places of a buffer with 16 bytes to spare."""
-    lo, hi = int(at.min()), int(at.max()) + LENGTH
-    r8 = _rank8(buf[lo:], hi - lo)
-    p = at - lo
-    w = [r8[p + k] for k in (0, 8, 16, 24, 32, 40, 42)]
-    out = []
-    for c1, c2 in ((0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93), (0xA0761D6478BD642F, 0xE7037ED1A0B428DB)):
-        x = w[0]
-        for y in w[1:]:
-            x = _name(x, y, c1, c2)
-        out.append(x)
-    return out[0], out[1]
+    """128-bit ranks of the LENGTH bytes at ascending places of a buffer with 16 bytes to spare."""
+    x, y = np.empty(len(at), np.uint64), np.empty(len(at), np.uint64)
+    for i in range(0, len(at), STEP):
+        some = at[i:i + STEP]
+        lo = int(some.min())
+        n = int(some.max()) + LENGTH - lo
+        r8 = _rank8(buf[lo:], n)
+        p = some - lo
+        x[i:i + STEP] = y[i:i + STEP] = r8[p]
+        for k in (8, 16, 24, 32, 40, 42):
+            w = r8[p + k]
+            x[i:i + STEP] = _name(x[i:i + STEP], w)
+            y[i:i + STEP] = _name(y[i:i + STEP], w, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
+    return x, y
 
 
 def rank_bits(corpus_bytes: int) -> int:
