@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from transitlens.llm.scratch import Scratch, parallelism, ship_package
-from transitlens.llm.word_arrays import utf8
+from transitlens.llm.word_arrays import mix64, utf8
 
 LENGTH = 50
 SEED = 24                # bytes of the rank that chooses positions
@@ -122,7 +122,8 @@ class Runs:
         first, last, at = start[new], start[stop], at[new]
         long_ = lambda p: _name(_name(r16[p], r16[p + 16]), _name(r16[p + 32], r16[p + 34]))
         shape = ((last - first) * 64 + at - first).astype(np.uint64)
-        return r24[at], first + a, last + a, _name(_name(long_(first), long_(last)), shape)
+        # chosen ranks are small ones: scrambled, they fill all ranges alike
+        return mix64(r24[at]), first + a, last + a, _name(_name(long_(first), long_(last)), shape)
 
     def windows(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All window starts of some runs, and the run (its number in ``which``) of each."""
