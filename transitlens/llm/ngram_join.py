@@ -455,8 +455,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
             .withColumn("component", F.coalesce("component", "doc"))
         open_ = member.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
             .filter("lo < hi").select("shingle")
-        open_ = scratch.write(open_, f"{name}-open")
-        member = member.join(_small(open_), "shingle").join(_small(narrow), ["doc", "n"])
+        member = member.join(open_, "shingle").join(narrow, ["doc", "n"])
         tiles = tiled(member).repartition(buckets, "shingle", "band", "i", "j") \
             .sortWithinPartitions("shingle", "band", "i", "j", F.xxhash64("doc"))
         pairs = tiles.mapInArrow(_tiles(most), "a long, b long").distinct()
