@@ -305,8 +305,8 @@ def _learning(v, folds: int, held_out: int, pick):
 
 def _sampling(v, folds: int, held_out: int):
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = min(1.0, INIT_TOKENS / max(v.value.total, 1))
-        for out, first in _learning(v, folds, held_out, lambda h: h < np.uint64(int(part * (2**64 - 1))))(batches):
+        limit = np.uint64(min(int(INIT_TOKENS / max(v.value.total, 1) * 2**64), 2**64 - 1))
+        for out, first in _learning(v, folds, held_out, lambda h: h <= limit)(batches):
             yield pa.RecordBatch.from_arrays([pa.array([out.astype("<i2").tobytes()]), pa.array([first.astype("<i8").tobytes()])],
                                              names=["out", "first"])
     return sample
