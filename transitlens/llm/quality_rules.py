@@ -84,14 +84,15 @@ def with_stats(docs: DataFrame, text: str = "text") -> DataFrame:
         F.transform(at, lambda p, i: F.coalesce(F.least(F.get(at, i + 1) - p, F.lit(3)), F.lit(3))),
         F.lit(0), lambda a, x: a + x)
     d = d.withColumn("__lines", _lines(F.col(text)))
-    return d.withColumns({
-        "n_words": F.size("__words").cast("long"),
-        "word_chars": F.length(F.regexp_replace(t, SPACE, "")).cast("long"),
-        "n_symbols": F.length(F.regexp_replace(t, NOT_SYMBOLS, "")).cast("long"),
-        "n_lines": F.size("__lines").cast("long"),
-        "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"),
-        "n_repeat_words": F.coalesce(covered, F.lit(0)).cast("long"),
-    }).drop("__words", "__win", "__sorted", "__at", "__lines")
+    stats = {
+        "n_words": F.size("__words"), "word_chars": F.length(F.regexp_replace(t, SPACE, "")),
+        "n_symbols": F.length(F.regexp_replace(t, NOT_SYMBOLS, "")), "n_lines": F.size("__lines"),
+        "n_dup_lines": F.size("__lines") - F.size(F.array_distinct("__lines")),
+        "n_repeat_words": F.coalesce(covered, F.lit(0)),
+    }
+    # generated columns: a filter on them is not pushed below, where it would compute the arrays again for every mention
+    return d.select(*[F.col(f"`{c}`") for c in docs.columns],
+                    F.inline(F.array(F.struct(*[v.cast("long").alias(k) for k, v in stats.items()]))))
 
 
 def base_rules() -> list[Rule]:
@@ -167,6 +168,4 @@ def judge(docs: DataFrame, text: str = "text", rules: list[Rule] | None = None)
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents that no rule rejects, with their own columns."""
     inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col(text).alias("__t"))
-    # a filter isn't pushed below a row number, and so the statistics aren't computed again for each rule
-    judged = judge(inner, "__t").withColumn("__nth", F.monotonically_increasing_id())
-    return judged.filter(F.col("kept") & (F.col("__nth") >= 0)).select("__row.*")
+    return judge(inner, "__t").filter("kept").select("__row.*")
