@@ -156,28 +156,30 @@ def mixed_documents(docs: DataFrame, seed: int = 1) -> DataFrame:
     A part is the stretch of the text from the first to the last taken word,
     spaces inside kept; n_chars, where there is one, follows the text.
     """
-    keyed = docs.select("*", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"),
-                        F.size(words_of(F.col("text"))).cast("long").alias("__size"))
-    sizes = keyed.select("doc_id", "source", F.col("__size").alias("size"), "__row")
-    m = mix(sizes, seed, ("__row",)).select(F.col("doc_id").alias("__id"), F.col("__row").alias("__same"),
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"), F.col("doc_id").alias("__id"),
+        F.xxhash64("source", "text").alias("__row"), F.size(words_of(F.col("text"))).cast("long").alias("__size"))
+    sizes = keyed.select(F.col("__id").alias("doc_id"), F.col("__doc.source").alias("source"),
+                         F.col("__size").alias("size"), "__row")
+    m = mix(sizes, seed, ("__row",)).select(F.col("doc_id").alias("__own"), F.col("__row").alias("__same"),
                                             "base", "cut1", "len1", "cut2", "len2", "taken")
-    # rows that are equal in all columns are told apart by number
-    m = m.withColumn("__nth", F.row_number().over(Window.partitionBy("__id", "__same").orderBy("base", "cut1", "len1", "len2"))) \
+    # rows of equal id, source and text are told apart by number
+    m = m.withColumn("__nth", F.row_number().over(Window.partitionBy("__own", "__same").orderBy("base", "cut1", "len1", "len2"))) \
         .filter("taken > 0")
-    d = keyed.withColumn("__n", F.row_number().over(Window.partitionBy("doc_id", "__row").orderBy("__size")))
-    j = d.join(m, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__row") == F.col("__same"))
+    d = keyed.withColumn("__n", F.row_number().over(Window.partitionBy("__id", "__row").orderBy("__size")))
+    j = d.join(m, F.col("__id").eqNullSafe(F.col("__own")) & (F.col("__row") == F.col("__same"))
                & (F.col("__n") == F.col("__nth")))
     part = lambda c, n: F.struct(c.alias("cut"), n.alias("len"))
     takes = F.filter(F.concat(F.array_repeat(part(F.lit(0).cast("long"), F.col("__size")), F.col("base").cast("int")),
                               F.array(part(F.col("cut1"), F.col("len1")), part(F.col("cut2"), F.col("len2")))),
                      lambda t: t["len"] > 0)
-    j = j.select(*[F.col(f"`{c}`") for c in docs.columns], "__size", F.explode(takes).alias("__take"))
+    j = j.select("__doc", "__size", F.explode(takes).alias("__take"))
     # words with the space after them; the space before the first word is no piece
-    pieces = F.filter(F.split(F.col("text"), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])", -1),
+    pieces = F.filter(F.split(F.col("__doc.text"), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])", -1),
                       lambda s: F.rlike(s, F.lit(WORD)))
-    text = F.when(F.col("__take.len") == F.col("__size"), F.col("text")).otherwise(
+    text = F.when(F.col("__take.len") == F.col("__size"), F.col("__doc.text")).otherwise(
         F.array_join(F.slice(pieces, (F.col("__take.cut") + 1).cast("int"), F.col("__take.len").cast("int")), ""))
-    out = j.select(*[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    out = j.select(F.col("__doc").withField("text", text).alias("__doc")).select("__doc.*")
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out

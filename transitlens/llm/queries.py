@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transitlens.llm import decontaminate, lm, mixing, ngram_join, quality_mil, quality_rules, suffix_dedup, token_counts, token_store, warc
+from transitlens.llm.oracle import ORACLE_SQL  # noqa: F401
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,5 +78,3 @@ def op10_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_mixing, op3_lm_scoring, op4_decontamination, op5_warc, op6_token_store, op7_quality_rules, op8_ngram_join,
     op9_token_counts, op10_quality_mil)}
-
-ORACLE_SQL: dict[str, str] = {}
