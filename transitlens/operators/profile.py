@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from transitlens.operators.silver import by_shipment
+from transitlens.operators.skew import with_sequence
 
 
 def shipment_profile(shipments: DataFrame) -> DataFrame:
@@ -22,14 +22,9 @@ def shipment_profile(shipments: DataFrame) -> DataFrame:
                      .agg(F.count(F.lit(1)).alias("shipments")))
 
 
-def scan_sequence(scans: DataFrame) -> DataFrame:
+def scan_sequence(scans: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """1-based position of every scan inside its shipment's journey."""
-    return scans.withColumn("scan_seq", F.row_number().over(by_shipment()))
-
-
-def global_max(df: DataFrame, col: str) -> DataFrame:
-    """A one-row frame holding max(col) (partial max per task, then one row)."""
-    return df.agg(F.max(col).alias(f"max_{col}"))
+    return with_sequence(scans, "shipment_id", ["scan_timestamp", "event_id"], "scan_seq", hot)
 
 
 def time_range(df: DataFrame, col: str) -> DataFrame:

@@ -9,7 +9,7 @@ keeps the clustering for the gold windows that follow.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,7 +17,7 @@ from transitlens import constants as K
 from transitlens.functions.classify import delay_category, is_stay_pair
 from transitlens.functions.numeric import ratio2
 from transitlens.functions.temporal import parse_ts, seconds_between
-from transitlens.sources.reference import bounded_broadcast
+from transitlens.sources.reference import bounded_broadcast, estimated_bytes
 
 SHIPMENT_COLUMNS = [
     "shipment_id", "order_id", "customer_id", "carrier_name", "shipment_type",
@@ -27,15 +27,12 @@ SHIPMENT_COLUMNS = [
 SCAN_COLUMNS = [
     "delay_profile", "event_id", "hub_name", "scan_status", "scan_timestamp", "scan_type", "hub_id",
 ]
+# Hot ids up to this size (each brings one shipment row) are joined by broadcast.
+MAX_HOT_BYTES = 1024 * 1024
 # The joined projection (shipment attributes + scan attributes).
 JOINED_COLUMNS = SHIPMENT_COLUMNS + SCAN_COLUMNS
 
 
-def by_shipment() -> Window:
-    """Per-shipment scan order; event_id breaks timestamp ties."""
-    return Window.partitionBy("shipment_id").orderBy("scan_timestamp", "event_id")
-
-
 def _as_ts(df: DataFrame, col: str) -> DataFrame:
     if col in df.columns and isinstance(df.schema[col].dataType, T.StringType):
         return df.withColumn(col, parse_ts(col))
@@ -45,21 +42,26 @@ def _as_ts(df: DataFrame, col: str) -> DataFrame:
 def shipment_scans(shipments: DataFrame, scans: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """J1 + P3: inner join on shipment_id, 20-column projection, typed timestamps.
 
+    One shipment row per id takes part (colliding ids: the smallest remaining
+    columns, unless :func:`~transitlens.operators.dedup.dedup_shipments` chose
+    before), so a collision does not pair a scan with its own copy. The
+    aggregation uses the join's own clustering.
+
     With ``hot`` (a frame of hot shipment ids, see operators.skew) the scans
     of those ids join their shipment rows by broadcast instead of through the
-    shuffle: after de-duplication there is one shipment row per hot id, so
-    the broadcast side is bounded by the (bounded) number of hot ids.
+    shuffle, if the list of ids is small: there is one shipment row per id.
     """
-    s = _as_ts(scans, "scan_timestamp")
-    sh = _as_ts(_as_ts(shipments, "booking_timestamp"), "expected_delivery_ts")
-    if hot is None:
-        return sh.join(s, "shipment_id", "inner").select(*JOINED_COLUMNS)
     from transitlens.operators.dedup import dedup_shipments
     from transitlens.operators.skew import split_hot
 
+    s = _as_ts(scans, "scan_timestamp")
+    sh = _as_ts(_as_ts(shipments, "booking_timestamp"), "expected_delivery_ts")
+    sh = dedup_shipments(sh.select(*SHIPMENT_COLUMNS))
+    size = None if hot is None else estimated_bytes(hot)
+    if size is None or size > MAX_HOT_BYTES:
+        return sh.join(s, "shipment_id", "inner").select(*JOINED_COLUMNS)
     sh_norm, sh_hot = split_hot(sh, hot, "shipment_id")
     s_norm, s_hot = split_hot(s, hot, "shipment_id")
-    sh_hot = dedup_shipments(sh_hot.select(*SHIPMENT_COLUMNS))
     normal = sh_norm.join(s_norm, "shipment_id", "inner").select(*JOINED_COLUMNS)
     hot_part = s_hot.join(F.broadcast(sh_hot), "shipment_id", "inner").select(*JOINED_COLUMNS)
     return normal.unionByName(hot_part)

@@ -8,6 +8,8 @@ space), so a single id may carry a large share of all scans. For such keys:
   returned list is bounded by ``1 / min_share`` keys;
 * their rows are windowed per (key, time bucket) instead of per key, so one
   hot journey is spread over many tasks;
+* rows without a time form a bucket of their own before all others, as NULLs
+  come first in the plain window;
 * the rows at bucket edges get their neighbour from a segment table that
   holds, per (key, bucket), only the first and last row (a few rows per
   bucket, not per scan), stitched with a lead/lag over buckets.
@@ -45,9 +47,9 @@ def detect_hot_keys(df: DataFrame, key: str, min_share: float = 0.01, fraction:
     total = s.count()
     if total == 0:
         return []
-    limit = max(1, int(1 / min_share))
+    # at most 1 / min_share keys can hold that share
     rows = (counts.filter(F.col("count") >= F.lit(max(min_share * total, min_sampled_rows)))
-                  .orderBy(F.desc("count"), key).limit(limit).collect())
+                  .orderBy(F.desc("count"), key).collect())
     return [r[key] for r in rows]
 
 
@@ -62,6 +64,31 @@ def split_hot(df: DataFrame, hot: DataFrame, key: str) -> tuple[DataFrame, DataF
     return df.join(h, key, "left_anti"), df.join(h, key, "left_semi")
 
 
+def _bucket(ts_col: str, seconds: int):
+    """The time bucket of a row; rows without a time come before all others."""
+    return F.coalesce(F.floor(F.unix_timestamp(ts_col) / F.lit(seconds)), F.lit(-(2 ** 62)))
+
+
+def with_sequence(df: DataFrame, key: str, order: list[str], out: str, hot: DataFrame | None = None,
+                  bucket_seconds: int = 3600) -> DataFrame:
+    """Add the 1-based position of every row in its key, ordered by ``order``.
+
+    Hot keys are numbered per time bucket, plus the rows of the buckets before.
+    """
+    plain = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    if hot is None:
+        return df.withColumn(out, plain)
+    normal, rows = split_hot(df, hot, key)
+    b = "_nb_bucket"
+    rows = rows.withColumn(b, _bucket(order[0], bucket_seconds))
+    before = F.sum("_nb_n").over(Window.partitionBy(key).orderBy(b).rowsBetween(Window.unboundedPreceding, -1))
+    sizes = rows.groupBy(key, b).agg(F.count(F.lit(1)).alias("_nb_n")) \
+        .select(key, b, F.coalesce(before, F.lit(0)).alias("_nb_before"))
+    numbered = rows.withColumn(out, F.row_number().over(Window.partitionBy(key, b).orderBy(*order))) \
+        .join(sizes, [key, b]).withColumn(out, (F.col(out) + F.col("_nb_before")).cast("int"))
+    return normal.withColumn(out, plain).unionByName(numbered.select(*df.columns, out))
+
+
 def with_neighbors(df: DataFrame, key: str, order: list[str], leads: dict[str, str],
                    lags: dict[str, str], hot: DataFrame | None = None, ts_col: str | None = None,
                    bucket_seconds: int = 3600) -> DataFrame:
@@ -71,6 +98,8 @@ def with_neighbors(df: DataFrame, key: str, order: list[str], leads: dict[str, s
     this is one Window. With ``hot`` (a frame of hot key values) the hot rows
     are windowed per (key, floor(ts / bucket_seconds)) and stitched.
     """
+    # rows that are equal in ``order`` follow the neighbour columns, alike on both paths
+    order = [*order, *sorted({*leads.values(), *lags.values()} - {*order})]
     w = Window.partitionBy(key).orderBy(*order)
 
     def plain(d: DataFrame) -> DataFrame:
@@ -83,7 +112,7 @@ def with_neighbors(df: DataFrame, key: str, order: list[str], leads: dict[str, s
     normal, hot_rows = split_hot(df, hot, key)
 
     b = "_nb_bucket"
-    hot_rows = hot_rows.withColumn(b, F.floor(F.unix_timestamp(ts_col) / F.lit(bucket_seconds)))
+    hot_rows = hot_rows.withColumn(b, _bucket(ts_col, bucket_seconds))
     wb = Window.partitionBy(key, b).orderBy(*order)
     wb_all = wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     inner = hot_rows.withColumns({

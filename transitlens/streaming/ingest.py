@@ -13,8 +13,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from transitlens import schemas
-from transitlens.sources.readers import enforce_schema
+from transitlens.sources.readers import by_name, enforce_schema, json_by_name
 
 
 def ingest_incremental(spark: SparkSession, source: str, target: str, checkpoint: str,
@@ -22,26 +21,35 @@ def ingest_incremental(spark: SparkSession, source: str, target: str, checkpoint
                        max_files_per_trigger: int | None = None) -> dict:
     """Append the not-yet-loaded files under ``source`` to the Parquet table ``target``.
 
-    Rows are matched to ``schema`` by column name (case-insensitive, S12) and
-    typed with try_cast; the source file path is kept for lineage. Returns
-    the number of input rows of this run.
+    Columns are matched by case-insensitive name as in the batch readers: CSV
+    by the header (one for all files, else the load fails), JSON by the keys of
+    each record, Parquet by the files' own columns. Values are typed with
+    try_cast, rejected rows are kept with ``_rejected`` and their reason, and
+    the source file path is kept for lineage. Returns the rows that this run
+    added to the target and its micro-batches.
     """
-    r = spark.readStream.format(fmt).option("recursiveFileLookup", "true")
-    if fmt in ("csv", "json"):
-        r = r.schema(schemas.as_text(schema))
-        if fmt == "csv":
-            r = r.option("header", "true")
-        else:
-            r = r.option("multiLine", "true")
+    def base():
+        r = spark.readStream.option("recursiveFileLookup", "true")
+        if pattern:
+            r = r.option("pathGlobFilter", pattern)
+        return r.option("maxFilesPerTrigger", str(max_files_per_trigger)) if max_files_per_trigger else r
+
+    batch = spark.read.option("recursiveFileLookup", "true")
+    batch = batch.option("pathGlobFilter", pattern) if pattern else batch
+    path = F.col("_metadata.file_path").alias("file_path")
+    if fmt == "csv":
+        header = batch.option("header", "true").csv(source).columns
+        raw = base().option("header", "true").option("enforceSchema", "false").schema(T.StructType([T.StructField(c, T.StringType(), True) for c in header])).csv(source)
+        stream = by_name(raw.select("*", path), schema)
+    elif fmt == "json":
+        stream = json_by_name(base().text(source, wholetext=True).select("*", path), schema, True)
+    elif fmt == "parquet":
+        stream = base().schema(batch.parquet(source).schema).parquet(source).select("*", path)
     else:
-        r = r.schema(schema)
-    if pattern:
-        r = r.option("pathGlobFilter", pattern)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    stream = r.load(source)
-    typed = enforce_schema(stream, schema, keep_extra=False).withColumn(
-        "file_path", F.col("_metadata.file_path"))
+        raise ValueError(f"unsupported format {fmt!r}")
+    typed = enforce_schema(stream, schema, keep_extra=True)
+    typed = typed.select(*[f.name for f in schema.fields], "file_path", "_rejected", "_reject_reason")
+    rows, batches = _rows(spark, target), _batches(spark, checkpoint)
     q = (typed.writeStream.format("parquet")
               .option("checkpointLocation", checkpoint)
               .option("path", target)
@@ -49,5 +57,21 @@ def ingest_incremental(spark: SparkSession, source: str, target: str, checkpoint
               .trigger(availableNow=True)
               .start())
     q.awaitTermination()
-    rows = sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
-    return {"rows": rows, "batches": len(q.recentProgress)}
+    return {"rows": _rows(spark, target) - rows, "batches": _batches(spark, checkpoint) - batches}
+
+
+def _exists(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return (fs, p) if fs.exists(p) else None
+
+
+def _rows(spark: SparkSession, target: str) -> int:
+    """Rows of the target, from the Parquet footers."""
+    return spark.read.parquet(target).count() if _exists(spark, f"{target}/_spark_metadata") else 0
+
+
+def _batches(spark: SparkSession, checkpoint: str) -> int:
+    """Committed micro-batches of a checkpoint."""
+    found = _exists(spark, f"{checkpoint}/commits")
+    return sum(st.getPath().getName().isdigit() for st in found[0].listStatus(found[1])) if found else 0
