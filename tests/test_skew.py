@@ -72,3 +72,45 @@ def test_silver_and_dark_with_hot_keys_equal_plain(spark):
     hot = hot_key_frame(spark, "shipment_id", ["HOT"])
     dcols = ["event_id", "prev_hub", "hop_distance_km", "actual_total_time", "visibility_status"]
     assert rows(D.dark_periods(plain.stays, dist), dcols) == rows(D.dark_periods(split.stays, dist, hot=hot), dcols)
+
+
+def test_collisions_null_times_and_ties_are_alike_on_both_paths(spark):
+    """Colliding shipment rows, scans without a time and equal times: hot and plain agree, and no scan meets its own copy."""
+    from transitlens.operators.silver import shipment_scans, with_next_scan
+
+    ships, scans = frames(spark)
+    ships = ships.unionByName(ships.withColumn("carrier_name", F.lit("ZZZ")).withColumn("order_id", F.lit("O2")))
+    odd = [("HOT-n1", "HOT", "Agra", None, "ARRIVED", None, "SUCCESS", "minor"),
+           ("HOT-n2", "HOT", "Pune", "HUB009", "DEPARTED", None, "SUCCESS", "minor"),
+           ("HOT-tie", "HOT", "Agra", None, "DEPARTED", dt.datetime(2026, 4, 1), "SUCCESS", "minor")]
+    scans = scans.unionByName(spark.createDataFrame(odd, schemas.SCAN_EVENTS))
+    hot = hot_key_frame(spark, "shipment_id", ["HOT"])
+    out = []
+    for h in (None, hot):
+        rows = with_next_scan(shipment_scans(ships, scans, h), h).select(
+            "shipment_id", "event_id", "order_id", "scan_type", "hub_name", "next_scan_type", "next_scan_timestamp").collect()
+        out.append(sorted(map(str, rows)))
+    assert out[0] == out[1]
+    assert len(out[0]) == scans.count()
+
+
+def test_scan_sequence_of_hot_keys(spark):
+    from transitlens.operators.profile import scan_sequence
+
+    _, scans = frames(spark)
+    scans = scans.unionByName(spark.createDataFrame(
+        [("HOT-n", "HOT", "Agra", None, "ARRIVED", None, "SUCCESS", "minor")], schemas.SCAN_EVENTS))
+    plain = scan_sequence(scans).select("shipment_id", "event_id", "scan_seq")
+    split = scan_sequence(scans, hot_key_frame(spark, "shipment_id", ["HOT"])).select("shipment_id", "event_id", "scan_seq")
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, split.collect()))
+
+
+def test_one_hour_journey_split(spark):
+    """All rows in one bucket: correct, just not split."""
+    start = dt.datetime(2026, 4, 1, 0, 0)
+    rows = [(f"e{k:03d}", "HOT", CITIES[k % 6], None, "ARRIVED", start + dt.timedelta(seconds=k // 2), "SUCCESS", "minor") for k in range(200)]
+    df = spark.createDataFrame(rows, schemas.SCAN_EVENTS)
+    args = ("shipment_id", ["scan_timestamp", "event_id"], {"n": "hub_name"}, {"p": "hub_name"})
+    plain = with_neighbors(df, *args).select("event_id", "n", "p")
+    split = with_neighbors(df, *args, hot_key_frame(spark, "shipment_id", ["HOT"])).select("event_id", "n", "p")
+    assert sorted(map(str, plain.collect())) == sorted(map(str, split.collect()))

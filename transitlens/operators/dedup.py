@@ -32,9 +32,9 @@ def dedup(df: DataFrame, keys: list[str], newest_by: str | None = None) -> DataF
               .select(*df.columns))
 
 
-def dedup_scans(scans: DataFrame) -> DataFrame:
-    """Scan events keyed by what was scanned, where and when (event ids restart per run)."""
-    return dedup(scans, SCAN_KEYS)
+def dedup_scans(scans: DataFrame, newest_by: str | None = None) -> DataFrame:
+    """Scan events keyed by what was scanned, where and when (event ids restart per run); newest file wins."""
+    return dedup(scans, SCAN_KEYS, newest_by)
 
 
 def dedup_shipments(shipments: DataFrame, newest_by: str | None = None) -> DataFrame:

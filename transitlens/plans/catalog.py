@@ -214,8 +214,7 @@ def q_daily_run_worst_routes(spark, sf_dir):
 
     base = sf_dir.rstrip("/")
     key = store.fingerprint(spark, [f"{base}/lineitem.parquet", f"{base}/orders.parquet"], "daily-v1")
-    ns = spark.conf.get(store.CONF_NAMESPACE, "") or "shared"
-    root = f"{checkpoint_dir(spark).rstrip('/')}/transitlens/{ns}/daily/{key}"
+    root = f"{checkpoint_dir(spark).rstrip('/')}/transitlens/{store.namespace(spark)}/daily/{key}"
     gold = f"{root}/lake/gold/worst_routes"
     fs, p = store._fs(spark, gold + "/_SUCCESS")
     if not fs.exists(p):
@@ -252,6 +251,97 @@ def q_longest_dark_periods(spark, sf_dir):
         "shipment_id", "event_id", "hub_name", "prev_hub", "actual_total_time", "expected_travel_hrs", "extra_hrs")
 
 
+def q_dark_periods_by_extra_hours(spark, sf_dir):
+    """All dark periods by extra hours."""
+    return D.longest_dark_periods(_dark(spark, sf_dir)).select(
+        "shipment_id", "event_id", "hub_name", "prev_hub", "actual_total_time", "expected_travel_hrs", "extra_hrs")
+
+
+def q_shipments_by_zone(spark, sf_dir):
+    """Shipments per zone, sorted by zone."""
+    from transitlens.operators.ranking import top
+
+    ship = bronze_from_tables(spark, sf_dir).shipments
+    return top(ship.groupBy("zone").agg(F.count(F.lit(1)).alias("shipments")), ["zone"])
+
+
+def _order_key(col="shipment_id"):
+    return F.substring(col, 5, 20).cast("bigint")
+
+
+def _two_landings(spark, sf_dir):
+    """A lake fed by two daily runs, whose landings share journeys.
+
+    Day one lands every other shipment and the scans of odd and even events
+    apart, so journeys straddle the days. Day two lands the rest, some rows of
+    day one again, columns in another order (CSV), keys in capitals (JSON),
+    and broken copies of the scans of every fiftieth order.
+    """
+    from transitlens.plans import daily, store
+    from transitlens.session import checkpoint_dir
+
+    base = sf_dir.rstrip("/")
+    key = store.fingerprint(spark, [f"{base}/lineitem.parquet", f"{base}/orders.parquet"], "two-landings")
+    root = f"{checkpoint_dir(spark).rstrip('/')}/transitlens/{store.namespace(spark)}/landings/{key}"
+    lake = f"{root}/lake"
+    fs, p = store._fs(spark, f"{root}/done/_SUCCESS")
+    if not fs.exists(p):
+        fx = bronze_from_tables(spark, sf_dir)
+        ships, scans, n = as_text(fx.shipments), as_text(fx.scans), _order_key()
+        arrival = F.col("event_id").endswith("A")
+        days = {
+            "2026-05-01": (ships.filter(n % 2 == 0), scans.filter(arrival), lambda c: c),
+            "2026-05-02": (ships.filter((n % 2 == 1) | (n % 10 == 0)).select(*sorted(ships.columns)),
+                           scans.filter(~arrival | (n % 7 == 0)).unionByName(
+                               scans.filter(n % 50 == 0).withColumn("scan_timestamp", F.lit("no time"))), str.upper),
+        }
+        for ds, (ship, scan, case) in days.items():
+            raw = f"{root}/raw/{ds}"
+            ship.write.mode("overwrite").option("header", "true").csv(f"{raw}/shipment_master")
+            fx.hubs.write.mode("overwrite").option("header", "true").csv(f"{raw}/hub_master")
+            scan.toDF(*[case(c) for c in scan.columns]).write.mode("overwrite").json(f"{raw}/checkpoint_scan_events")
+            daily.run_daily(spark, f"{root}/raw", lake, ds, json_multiline=False)
+        spark.range(1).write.mode("overwrite").parquet(f"{root}/done")
+    return lake
+
+
+def q_daily_run_two_landings(spark, sf_dir):
+    """Worst routes after two daily runs equal those of one landing."""
+    return spark.read.parquet(f"{_two_landings(spark, sf_dir)}/gold/worst_routes")
+
+
+def q_daily_run_rejects(spark, sf_dir):
+    """Quarantined rows of the second landing by dataset and reason."""
+    from transitlens.sources.sinks import _listed
+
+    root, out = f"{_two_landings(spark, sf_dir)}/quarantine", None
+    for name in ("shipment_master", "hub_master", "checkpoint_scan_events"):
+        if _listed(spark, f"{root}/{name}"):
+            one = spark.read.parquet(f"{root}/{name}").filter("ingest_date = date'2026-05-02'") \
+                .groupBy(F.lit(name).alias("dataset"), F.col("_reject_reason").alias("reason")).agg(F.count(F.lit(1)).alias("rejected"))
+            out = one if out is None else out.union(one)
+    return out if out is not None else spark.createDataFrame([], "dataset string, reason string, rejected long")
+
+
+def q_incremental_load_counts(spark, sf_dir):
+    """Rows that each run of the file intake loads: a third of the scans, the rest, nothing new."""
+    import uuid
+
+    from transitlens import schemas
+    from transitlens.session import checkpoint_dir
+    from transitlens.streaming.ingest import ingest_incremental
+
+    root = f"{checkpoint_dir(spark).rstrip('/')}/transitlens/incremental/{uuid.uuid4().hex}"
+    scans, n = bronze_from_tables(spark, sf_dir).scans, _order_key()
+    out = []
+    for run, part in enumerate((scans.filter(n % 3 == 0), scans.filter(n % 3 != 0), None), 1):
+        if part is not None:
+            part.write.parquet(f"{root}/source/{run}")
+        got = ingest_incremental(spark, f"{root}/source", f"{root}/target", f"{root}/checkpoint", schemas.SCAN_EVENTS)
+        out.append((run, got["rows"]))
+    return spark.createDataFrame(out, "run int, loaded long")
+
+
 QUERIES: dict[str, Query] = {
     "shipment_zone_sla": q_shipment_zone_sla,
     "shipment_profile": q_shipment_profile,
@@ -287,4 +377,9 @@ QUERIES: dict[str, Query] = {
     "worst_routes_hot_split": q_worst_routes_hot_split,
     "scan_time_range": q_scan_time_range,
     "longest_dark_periods": q_longest_dark_periods,
+    "dark_periods_by_extra_hours": q_dark_periods_by_extra_hours,
+    "shipments_by_zone": q_shipments_by_zone,
+    "daily_run_two_landings": q_daily_run_two_landings,
+    "daily_run_rejects": q_daily_run_rejects,
+    "incremental_load_counts": q_incremental_load_counts,
 }

@@ -25,21 +25,22 @@ class Silver(NamedTuple):
     stays: DataFrame   # silver wide table + total_time, one row per hub stay
     hubs: DataFrame
     distances: DataFrame   # (from_city, to_city, road_km)
+    hot: DataFrame | None = None   # shipment ids whose journeys take the split path
 
 
 def build_silver(shipments: DataFrame, scans: DataFrame, hubs: DataFrame, distances: DataFrame,
                  dedupe: bool = False, shipments_newest_by: str | None = None,
-                 hot_keys: list | str | None = None) -> Silver:
+                 scans_newest_by: str | None = None, hot_keys: list | str | None = None) -> Silver:
     """Silver stays (J7) plus the gold TOTAL_TIME column.
 
     ``dedupe`` removes repeated scans and collapses colliding shipment ids
-    (newest ``shipments_newest_by`` wins) before the join, so it cannot fan out.
+    (the newest by ``scans_newest_by`` and ``shipments_newest_by`` wins) before the join, so it cannot fan out.
     ``hot_keys`` lists shipment ids that hold a large share of the scans, or
     ``"auto"`` to detect them on a sample; their journeys take the split path
     of operators.skew instead of one task per id.
     """
     if dedupe:
-        scans = dedup_scans(scans)
+        scans = dedup_scans(scans, scans_newest_by)
         shipments = dedup_shipments(shipments, shipments_newest_by)
     hot = None
     if hot_keys == "auto":
@@ -47,7 +48,7 @@ def build_silver(shipments: DataFrame, scans: DataFrame, hubs: DataFrame, distan
     if hot_keys:
         hot = hot_key_frame(scans.sparkSession, "shipment_id", list(hot_keys))
     stays = G.with_total_time(silver_stays(shipments, scans, hubs, hot))
-    return Silver(shipments, scans, stays, hubs, distances)
+    return Silver(shipments, scans, stays, hubs, distances, hot)
 
 
 def silver_from_tables(spark: SparkSession, sf_dir: str, dedupe: bool = False,
@@ -134,7 +135,7 @@ def register_views(spark: SparkSession, silver: Silver, prefix: str = "") -> lis
         "shipping_silver": silver.stays,
         "total_time_by_hub": G.total_time_by_hub(silver.stays),
         "worst_carrier": G.carrier_delay(silver.stays),
-        "dark_periods": D.dark_periods(silver.stays, silver.distances),
+        "dark_periods": D.dark_periods(silver.stays, silver.distances, hot=silver.hot),
         "sla_status": S.sla_status(silver.stays),
     }
     for name, df in views.items():
@@ -142,6 +143,21 @@ def register_views(spark: SparkSession, silver: Silver, prefix: str = "") -> lis
     return [prefix + n for n in views]
 
 
-def reference_dims(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
-    """(hub master, city distances) of the reference network."""
-    return R.hub_master(spark), R.city_distances(spark)
+# Views that read written tables, so that they outlive the session.
+VIEWS = {
+    "worst_carrier": "SELECT * FROM {carrier_delay} WHERE rnk = 1",
+    "dark_by_extra_hours": "SELECT * FROM {dark_periods} WHERE extra_hrs IS NOT NULL ORDER BY extra_hrs DESC, shipment_id, event_id",
+}
+
+
+def persist_views(spark: SparkSession, gold: str, database: str = "default") -> list[str]:
+    """Gold tables as external tables, and views over them, in the session's catalog."""
+    from transitlens.sources.sinks import register_table
+
+    tables = {}
+    for name in ("carrier_delay", "dark_periods"):
+        tables[name] = f"{database}.{name}"
+        register_table(spark, tables[name], f"{gold.rstrip('/')}/{name}")
+    for name, sql in VIEWS.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {sql.format(**tables)}")
+    return [f"{database}.{name}" for name in VIEWS]

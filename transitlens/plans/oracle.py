@@ -3,11 +3,14 @@
 Each statement rebuilds shipments and scans from the ``orders`` and
 ``lineitem`` views with the same integer mapping as ``sources.fixtures`` and
 then applies the operator semantics in plain SQL, independently of the
-Spark code. Used by the correctness gate and by the tests.
+Spark code; road distances are values integrated here, not by its formula. Used by the correctness gate and by the tests.
 """
 
 from __future__ import annotations
 
+import math
+from functools import lru_cache
+
 from transitlens import constants as K
 
 
@@ -41,24 +44,39 @@ def pct2(part: str, whole: str) -> str:
     return f"({_d(f'(({part}) * 20000 + ({whole})) // (({whole}) * 2)')} / 100.0::DOUBLE)"
 
 
-def _geo(lat1, lon1, lat2, lon2) -> str:
-    """Lambert long-line road km, operation for operation as functions.geo."""
-    f = _lit(K.WGS84_F)
-    a = _lit(K.WGS84_A_KM)
-
-    def rad(x):
-        return f"({x} * pi() / 180.0::DOUBLE)"
-
-    b1 = f"atan((1.0::DOUBLE - {f}) * tan({rad(lat1)}))"
-    b2 = f"atan((1.0::DOUBLE - {f}) * tan({rad(lat2)}))"
-    return f"""(SELECT CASE WHEN sigma = 0 THEN 0.0::DOUBLE ELSE round({a} * (sigma - {f} / 2 * (
-                (sigma - sin(sigma)) * (sin(p) * sin(p)) * (cos(q) * cos(q)) / (cos(sigma / 2) * cos(sigma / 2))
-              + (sigma + sin(sigma)) * (cos(p) * cos(p)) * (sin(q) * sin(q)) / (sin(sigma / 2) * sin(sigma / 2))
-              )) * {_lit(K.ROAD_FACTOR)}, 1) END
-           FROM (SELECT 2.0::DOUBLE * asin(sqrt(sin((b2 - b1) / 2) * sin((b2 - b1) / 2)
-                        + cos(b1) * cos(b2) * (sin(dlam / 2) * sin(dlam / 2)))) AS sigma,
-                        (b1 + b2) / 2 AS p, (b2 - b1) / 2 AS q
-                 FROM (SELECT {b1} AS b1, {b2} AS b2, {rad(lon2)} - {rad(lon1)} AS dlam)))"""
+def _geodesic_km(lat1: float, lon1: float, lat2: float, lon2: float) -> float:
+    """Geodesic length by integration on the auxiliary sphere (Bessel), Simpson's rule."""
+    f = K.WGS84_F
+    b1, b2 = (math.atan((1 - f) * math.tan(math.radians(x))) for x in (lat1, lat2))
+    span = math.radians(lon2 - lon1)
+    if lat1 == lat2 and span == 0:
+        return 0.0
+
+    def integral(g, x, y, n=64):
+        h = (y - x) / n
+        return h / 3 * sum((1 if i in (0, n) else 4 if i % 2 else 2) * g(x + i * h) for i in range(n + 1))
+
+    omega = span
+    for _ in range(30):
+        north = math.cos(b1) * math.sin(b2) - math.sin(b1) * math.cos(b2) * math.cos(omega)
+        east = math.cos(b2) * math.sin(omega)
+        azimuth = math.atan2(east, north)
+        s0 = math.sin(azimuth) * math.cos(b1)
+        x = math.atan2(math.sin(b1), math.cos(azimuth) * math.cos(b1))
+        y = x + math.atan2(math.hypot(north, east), math.sin(b1) * math.sin(b2) + math.cos(b1) * math.cos(b2) * math.cos(omega))
+        k2 = (1 / (1 - f) ** 2 - 1) * (1 - s0 * s0)
+        lag = integral(lambda t: (2 - f) / (1 + (1 - f) * math.sqrt(1 + k2 * math.sin(t) ** 2)), x, y)
+        omega, last = span + f * s0 * lag, omega
+        if abs(omega - last) < 1e-14:
+            break
+    return K.WGS84_A_KM * (1 - f) * integral(lambda t: math.sqrt(1 + k2 * math.sin(t) ** 2), x, y)
+
+
+@lru_cache(maxsize=1)
+def _pair_values() -> str:
+    """(from city, to city, road km) of all pairs of the fixed list."""
+    return _values([(a, b, round(_geodesic_km(la, lo, lb, mb) * K.ROAD_FACTOR, 1))
+                    for a, la, lo in K.CITIES for b, lb, mb in K.CITIES])
 
 
 def _case_ix(col: str, labels: list[str]) -> str:
@@ -96,9 +114,8 @@ city(city_ix, city, lat, lon) AS (VALUES
     {_values(cities)}),
 hub(hub_id, hub_name, city, region, hub_type, expected_dwell_hrs, max_capacity, operating_shift) AS (VALUES
     {_values(hubs)}),
-pair_dist AS (
-  SELECT a.city AS c1, b.city AS c2, {_geo('a.lat', 'a.lon', 'b.lat', 'b.lon')} AS km
-  FROM city a CROSS JOIN city b),
+pair_dist(c1, c2, km) AS (VALUES
+    {_pair_values()}),
 visit AS (
   SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
          CAST(l_suppkey % 40 AS INTEGER) AS city_ix,
@@ -455,6 +472,19 @@ FROM scans""")
 SELECT shipment_id, event_id, hub_name, prev_hub, actual_total_time, expected_travel_hrs, extra_hrs
 FROM dark WHERE visibility_status = 'Dark Period'
 ORDER BY extra_hrs DESC NULLS LAST, shipment_id, event_id LIMIT 20""", _dark())
+    q["dark_periods_by_extra_hours"] = _with("""
+SELECT shipment_id, event_id, hub_name, prev_hub, actual_total_time, expected_travel_hrs, extra_hrs
+FROM dark WHERE visibility_status = 'Dark Period'
+ORDER BY extra_hrs DESC NULLS LAST, shipment_id, event_id""", _dark())
+    q["shipments_by_zone"] = _with("SELECT zone, count(*) AS shipments FROM ship GROUP BY zone ORDER BY zone")
+    q["daily_run_two_landings"] = q["worst_routes"]
+    q["daily_run_rejects"] = _with("""
+SELECT 'checkpoint_scan_events' AS dataset, 'scan_timestamp' AS reason, count(*) AS rejected
+FROM scans WHERE CAST(substr(shipment_id, 5) AS BIGINT) % 50 = 0 HAVING count(*) > 0""")
+    q["incremental_load_counts"] = _with("""
+SELECT 1 AS run, count(*) FILTER (CAST(substr(shipment_id, 5) AS BIGINT) % 3 = 0) AS loaded FROM scans
+UNION ALL SELECT 2, count(*) FILTER (CAST(substr(shipment_id, 5) AS BIGINT) % 3 <> 0) FROM scans
+UNION ALL SELECT 3, 0""")
     q["daily_run_worst_routes"] = q["worst_routes"]
     q["worst_routes_hot_split"] = q["worst_routes"]
     return q

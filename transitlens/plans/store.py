@@ -45,6 +45,15 @@ def enabled(spark: SparkSession) -> bool:
     return str(spark.conf.get(CONF_ENABLED, "true")).lower() == "true"
 
 
+def namespace(spark: SparkSession) -> str:
+    """The store's sub-folder: by default one per application.
+
+    So no result comes from files of an earlier session, and two drivers never
+    build or replace each other's tables. Set ``CONF_NAMESPACE`` to share.
+    """
+    return spark.conf.get(CONF_NAMESPACE, "") or spark.sparkContext.applicationId
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -71,8 +80,7 @@ def materialize(spark: SparkSession, build, layer: str, key: str,
     callable is only invoked (and its plan only constructed) when the layer
     is not stored yet.
     """
-    ns = spark.conf.get(CONF_NAMESPACE, "") or "shared"
-    root = f"{checkpoint_dir(spark).rstrip('/')}/transitlens/{ns}/{layer}/{key}"
+    root = f"{checkpoint_dir(spark).rstrip('/')}/transitlens/{namespace(spark)}/{layer}/{key}"
     with _LOCK:
         fs, p = _fs(spark, root)
         if not fs.exists(_fs(spark, root + "/_SUCCESS")[1]):
@@ -83,9 +91,10 @@ def materialize(spark: SparkSession, build, layer: str, key: str,
                 w = w.partitionBy(*partition_by)
             w.parquet(tmp)
             tfs, tp = _fs(spark, tmp)
-            if fs.exists(p):          # an earlier attempt left an incomplete folder
-                fs.delete(p, True)
             fs.mkdirs(p.getParent())
-            if not tfs.rename(tp, p):
-                raise OSError(f"could not move {tmp} to {root}")
+            # a table is moved as a whole and never replaced: if another thread or driver was first, its table holds
+            if fs.exists(p) or not tfs.rename(tp, p):
+                tfs.delete(tp, True)
+                if not fs.exists(_fs(spark, root + "/_SUCCESS")[1]):
+                    raise OSError(f"could not move {tmp} to {root}")
     return spark.read.parquet(root)
