@@ -43,12 +43,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from transitlens.llm.scratch import Scratch, parallelism, ship_package
-from transitlens.llm.word_arrays import mix64, utf8
+from transitlens.llm.text_blocks import (  # noqa: F401
+    NULL_ID, TextBlock, answer_batch, ask_batch, asked_rows, bucket_of, cut, exchange, pack, pack_blocks, pack_sorted,
+    read_blocks, unpack, unpack_sorted, with_answers)
+from transitlens.llm.word_arrays import mix64
 
 LENGTH = 50
 SEED = 24                # bytes of the rank that chooses positions
@@ -57,7 +59,6 @@ BLOCK = 2 << 20          # bytes of text in a block; a longer text is a block of
 STEP = 1 << 17           # window starts handled by one numpy operation
 HOT = 2_000              # documents that share a rank before it is dealt by window
 SPARE_BITS = 16          # a false partner in step 2 has a chance of 2 ^ -SPARE_BITS
-NULL_ID = 2**63 - 1
 
 _POS = np.uint64((1 << 18) - 1)     # STEP + LENGTH positions fit
 
@@ -171,29 +172,6 @@ def rank_bits(corpus_bytes: int) -> int:
     return min(60, max(40, int(corpus_bytes // 8 + 1).bit_length() + SPARE_BITS))
 
 
-# ---- packing ----------------------------------------------------------------
-
-def pack(x: np.ndarray) -> bytes:
-    """Unsigned 64-bit numbers in as few whole bytes each as the largest needs."""
-    width = max(1, -(-int(x.max()).bit_length() // 8)) if len(x) else 1
-    return bytes([width]) + np.ascontiguousarray(x, "<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
-
-
-def unpack(raw: bytes) -> np.ndarray:
-    x = np.frombuffer(raw, np.uint8, offset=1).reshape(-1, raw[0])
-    out = np.zeros((len(x), 8), np.uint8)
-    out[:, :raw[0]] = x
-    return out.view("<u8").ravel().astype(np.uint64)
-
-
-def pack_sorted(x: np.ndarray) -> bytes:
-    return pack(np.concatenate([x[:1], np.diff(x)])) if len(x) else pack(x)
-
-
-def unpack_sorted(raw: bytes) -> np.ndarray:
-    return np.cumsum(unpack(raw), dtype=np.uint64)
-
-
 def _ids(docs: np.ndarray) -> np.ndarray:
     """Signed ids as unsigned numbers in the same order."""
     return docs.astype(np.int64).view(np.uint64) ^ np.uint64(1 << 63)
@@ -209,52 +187,13 @@ def unpack_ids(raw: bytes) -> np.ndarray:
     return unpack(raw[8:]) + np.uint64(int.from_bytes(raw[:8], "little"))
 
 
-def _bucket(rank: np.ndarray, buckets: int) -> np.ndarray:
-    """The range of a 64-bit rank."""
-    return ((rank >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24)).astype(np.int64)
-
-
 # ---- blocks -----------------------------------------------------------------
 
-_BLOCKS = "block long, ids binary, sizes binary, valid binary, data binary, n_bytes long"
-_ASK = "bucket int, block long, kind int, a binary, b binary, c binary"
-_ANSWER = "block long, bucket int, kind int, code binary"
-
-
-def _pack_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    base, n = TaskContext.get().partitionId() << 32, 0
-    ids, texts, held = [], [], 0
-    z = zstandard.ZstdCompressor(3)
-
-    def flush() -> pa.RecordBatch:
-        known = [NULL_ID if i is None else i for i in ids]
-        return pa.RecordBatch.from_arrays(
-            [pa.array([base + n], pa.int64()), pa.array([np.array(known, "<i8").tobytes()]),
-             pa.array([np.array([len(t) for t in texts], "<i8").tobytes()]),
-             pa.array([bytes(i is not None for i in ids)]), pa.array([z.compress(b"".join(texts))]),
-             pa.array([held], pa.int64())], names=["block", "ids", "sizes", "valid", "data", "n_bytes"])
-
-    for b in batches:
-        for i, t in zip(b.column("doc").to_pylist(), utf8(b.column("text"))):
-            if ids and held + len(t) > BLOCK:
-                yield flush()
-                ids, texts, held, n = [], [], 0, n + 1
-            ids.append(i)
-            texts.append(t)
-            held += len(t)
-    if ids:
-        yield flush()
-
-
-class Block:
+class Block(TextBlock):
     """One block with what came back for it so far, and what it asks in each round."""
 
     def __init__(self, row: dict, bits: int):
-        self.number = row["block"]
-        self.ids = np.frombuffer(row["ids"], "<i8")
-        self.sizes = np.frombuffer(row["sizes"], "<i8")
-        self.valid = np.frombuffer(row["valid"], np.uint8)
-        self.data = zstandard.ZstdDecompressor().decompress(row["data"], max(row["n_bytes"], 1))
+        super().__init__(row)
         self.runs = Runs(self.data, self.sizes)
         self.bits = bits
         self.doc = self.ids[self.runs.doc]
@@ -271,13 +210,8 @@ class Block:
         changes[1:] |= d[1:] != d[:-1]
         self.docs_of = np.bincount((np.cumsum(new) - 1)[changes], minlength=len(self.ranks))
 
-    def _cut(self, bucket: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
-        at = np.searchsorted(bucket, np.arange(buckets + 1))
-        for k in np.flatnonzero(np.diff(at)).tolist():
-            yield k, slice(int(at[k]), int(at[k + 1]))
-
     def ask_ranks(self, buckets: int) -> Iterator[tuple]:
-        for k, s in self._cut(_bucket(self.ranks, buckets), buckets):
+        for k, s in cut(bucket_of(self.ranks, buckets), buckets):
             yield (k, self.number, 1, pack_sorted(self.ranks[s] >> np.uint64(64 - self.bits)),
                    np.minimum(self.docs_of[s], 255).astype(np.uint8).tobytes(), b"")
 
@@ -305,7 +239,7 @@ class Block:
 
     def ask_runs(self, buckets: int) -> Iterator[tuple]:
         r = self.runs
-        for k, s in self._cut(_bucket(r.seed[self.own], buckets), buckets):
+        for k, s in cut(bucket_of(r.seed[self.own], buckets), buckets):
             own = self.own[s]
             yield k, self.number, 2, pack_sorted(r.seed[own]), pack(r.run[own]), pack_ids(self.doc[own])
 
@@ -316,14 +250,14 @@ class Block:
 
     def ask_windows(self, buckets: int) -> Iterator[tuple]:
         r, z = self.runs, zstandard.ZstdCompressor(3)
-        for k, s in self._cut(_bucket(r.seed[self.left], buckets), buckets):
+        for k, s in cut(bucket_of(r.seed[self.left], buckets), buckets):
             own = self.left[s]
             n = (r.last - r.first + 1)[own]
             raw = b"".join(self.data[a:b + LENGTH] for a, b in zip(r.first[own].tolist(), r.last[own].tolist()))
             yield k, self.number, 3, z.compress(raw), n.astype(np.uint8).tobytes(), pack_ids(self.doc[own])
         if len(self.hot_at):
             x, y = self.hot_rank
-            for k, s in self._cut(_bucket(x, buckets), buckets):
+            for k, s in cut(bucket_of(x, buckets), buckets):
                 yield (k, self.number, 4, pack_sorted(x[s]), np.ascontiguousarray(y[s], "<u8").tobytes(),
                        pack_ids(self.hot_doc[self.hot_own[s]]))
 
@@ -361,24 +295,9 @@ class Block:
 
 # ---- rounds -----------------------------------------------------------------
 
-def _blocks_with_answers(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[tuple[Block, dict[int, np.ndarray]]]:
-    """Rows sorted by (block, kind, bucket), the block itself being of kind 0."""
-    row, codes = None, {}
-
-    def done() -> tuple[Block, dict[int, np.ndarray]]:
-        return Block(row, bits), {k: np.frombuffer(b"".join(v), np.uint8) for k, v in codes.items()}
-
-    for b in batches:
-        for i in range(b.num_rows):
-            if b.column("kind")[i].as_py() == 0:
-                if row is not None:
-                    yield done()
-                row = {c: b.column(c)[i].as_py() for c in ("block", "ids", "sizes", "valid", "data", "n_bytes")}
-                codes = {}
-            else:
-                codes.setdefault(b.column("kind")[i].as_py(), []).append(b.column("code")[i].as_py())
-    if row is not None:
-        yield done()
+def _blocks(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[tuple[Block, dict[int, np.ndarray]]]:
+    for row, codes in read_blocks(batches):
+        yield Block(row, bits), {k: np.frombuffer(b"".join(v), np.uint8) for k, v in codes.items()}
 
 
 _NONE = np.zeros(0, np.uint8)
@@ -386,7 +305,7 @@ _NONE = np.zeros(0, np.uint8)
 
 def _asking(step: int, bits: int, buckets: int):
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, codes in _blocks_with_answers(batches, bits):
+        for block, codes in _blocks(batches, bits):
             rows = block.ask_ranks(buckets)
             if step > 1:
                 block.take_ranks(codes.get(1, _NONE))
@@ -394,28 +313,16 @@ def _asking(step: int, bits: int, buckets: int):
             if step > 2:
                 block.take_runs(codes.get(2, _NONE))
                 rows = block.ask_windows(buckets)
-            c = list(zip(*rows))
-            if c:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, t) for x, t in zip(c, (pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 3))],
-                    names=["bucket", "block", "kind", "a", "b", "c"])
+            yield from ask_batch(rows)
     return ask
 
 
 def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """All that blocks ask of one range of ranks -> a code for each rank that each block named."""
-    asked: dict[int, list[tuple]] = {}
-    for b in batches:
-        for r in zip(*[b.column(c).to_pylist() for c in ("bucket", "block", "kind", "a", "b", "c")]):
-            asked.setdefault(r[2], []).append(r)
-    for kind, rows in asked.items():
+    for kind, rows in asked_rows(batches).items():
         codes, sizes = _CODES[kind](rows)
-        cut = np.concatenate([[0], np.cumsum(sizes)])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[1] for r in rows], pa.int64()), pa.array([r[0] for r in rows], pa.int32()),
-             pa.array([kind] * len(rows), pa.int32()),
-             pa.array([codes[x:y].tobytes() for x, y in zip(cut, cut[1:])], pa.binary())],
-            names=["block", "bucket", "kind", "code"])
+        at = np.concatenate([[0], np.cumsum(sizes)])
+        yield answer_batch(kind, rows, [codes[x:y].tobytes() for x, y in zip(at, at[1:])])
 
 
 def _firsts(*keys: np.ndarray) -> np.ndarray:
@@ -487,7 +394,7 @@ _CODES = {1: _rank_codes, 2: _run_codes, 3: _window_codes, 4: _hot_codes}
 
 def _finishing(bits: int, with_text: bool):
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, codes in _blocks_with_answers(batches, bits):
+        for block, codes in _blocks(batches, bits):
             block.take_ranks(codes.get(1, _NONE))
             block.take_runs(codes.get(2, _NONE))
             gone = block.removed(codes.get(3, _NONE), codes.get(4, _NONE))
@@ -512,27 +419,13 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wit
     spark = docs.sparkSession
     ship_package(spark)
     scratch, buckets = Scratch(spark, "repeats"), parallelism(spark)
-    d = docs.select(F.col(key).cast("long").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    blocks = scratch.write(d.mapInArrow(_pack_blocks, _BLOCKS), "blocks")
+    blocks = scratch.write(pack_blocks(docs, key, text, BLOCK), "blocks")
     bits = rank_bits(blocks.agg(F.sum("n_bytes")).first()[0] or 0)
-    nothing = [F.lit(None).cast(t).alias(c) for c, t in
-               (("ids", "binary"), ("sizes", "binary"), ("valid", "binary"), ("data", "binary"), ("n_bytes", "long"))]
-    own = blocks.select("block", F.lit(0).alias("kind"), F.lit(-1).alias("bucket"), F.lit(None).cast("binary").alias("code"),
-                        "ids", "sizes", "valid", "data", "n_bytes")
     answers: list[DataFrame] = []
-
-    def gathered() -> DataFrame:
-        if not answers:
-            return own      # the first round has nothing to meet
-        rows = own
-        for a in answers:
-            rows = rows.union(a.select("block", "kind", "bucket", "code", *nothing))
-        return rows.repartition(buckets, "block").sortWithinPartitions("block", "kind", "bucket")
-
     for step in (1, 2, 3):
-        asked = gathered().mapInArrow(_asking(step, bits, buckets), _ASK).repartitionById(buckets, "bucket")
-        answers.append(scratch.write(asked.mapInArrow(_answer, _ANSWER), f"answers-{step}"))
-    out = gathered().mapInArrow(_finishing(bits, with_text), "doc long, n_bytes long, n_removed long, n_spans long, "
+        asking = with_answers(blocks, answers, buckets)
+        answers.append(scratch.write(exchange(asking, _asking(step, bits, buckets), _answer, buckets), f"answers-{step}"))
+    out = with_answers(blocks, answers, buckets).mapInArrow(_finishing(bits, with_text), "doc long, n_bytes long, n_removed long, n_spans long, "
                                                              "kept_sha256 string, kept binary")
     return out.select(F.col("doc").alias(key), "n_bytes", "n_removed", "n_spans", "kept_sha256",
                       *(["kept"] if with_text else []))
