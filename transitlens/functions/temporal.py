@@ -48,10 +48,6 @@ def parse_ts(text) -> Column:
     return F.try_to_timestamp(_c(text), F.lit(TS_FORMAT))
 
 
-def date_text(d) -> Column:
-    return F.date_format(_c(d), "yyyy-MM-dd")
-
-
 def day_name(d) -> Column:
     """Three-letter English day name: 'Mon' .. 'Sun'."""
     return F.date_format(_c(d), "EEE")

@@ -109,11 +109,6 @@ def city_distances(spark: SparkSession, road_factor: float = K.ROAD_FACTOR) -> D
     ).select("from_city", "to_city", "road_km"))
 
 
-def city_hub_lookup(spark: SparkSession) -> DataFrame:
-    """city -> hub_id for cities that have a hub (16 rows)."""
-    return hub_master(spark).select("city", "hub_id")
-
-
 # Hard cap on what we ever hint for broadcast, whatever the session threshold.
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
