@@ -76,7 +76,7 @@ def silver_from_tables(spark: SparkSession, sf_dir: str, dedupe: bool = False,
 
 
 def bronze_from_tables(spark: SparkSession, sf_dir: str, with_duplicates: bool = False,
-                       materialized: bool | None = None) -> fixtures.Fixture:
+                       materialized: bool | None = None) -> fixtures.Fixture | Bronze:
     """Shipments and scans derived from the star-schema tables (the bronze layer).
 
     Stored once per input version when materialization is on, so every
@@ -89,10 +89,29 @@ def bronze_from_tables(spark: SparkSession, sf_dir: str, with_duplicates: bool =
         return fixtures.build(spark, sf_dir, with_duplicates=with_duplicates)
     vs = store.materialize(spark, lambda: fixtures.visit_rows(spark, sf_dir), "bronze_visits",
                            silver_key(spark, sf_dir))
-    fx = fixtures.build(spark, sf_dir, with_duplicates=with_duplicates, visit_frame=vs)
-    key = silver_key(spark, sf_dir, with_duplicates=with_duplicates)
-    return fx._replace(shipments=store.materialize(spark, fx.shipments, "bronze_shipments", key),
-                       scans=store.materialize(spark, fx.scans, "bronze_scans", key))
+    return Bronze(spark, sf_dir, fixtures.build(spark, sf_dir, with_duplicates=with_duplicates, visit_frame=vs), with_duplicates)
+
+
+class Bronze:
+    """The stored bronze layer; a table is written when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, fixture: fixtures.Fixture, with_duplicates: bool):
+        self._spark, self._fixture = spark, fixture
+        # duplicates are of scans only, so both landings share one table of shipments
+        self._keys = {"shipments": silver_key(spark, sf_dir),
+                      "scans": silver_key(spark, sf_dir, with_duplicates=with_duplicates)}
+        self.hubs, self.cities, self.distances = fixture.hubs, fixture.cities, fixture.distances
+
+    def _stored(self, name: str) -> DataFrame:
+        return store.materialize(self._spark, getattr(self._fixture, name), f"bronze_{name}", self._keys[name])
+
+    @property
+    def shipments(self) -> DataFrame:
+        return self._stored("shipments")
+
+    @property
+    def scans(self) -> DataFrame:
+        return self._stored("scans")
 
 
 def silver_key(spark: SparkSession, sf_dir: str, dedupe: bool = False, with_duplicates: bool = False,
