@@ -49,14 +49,18 @@ def parallelism(spark: SparkSession) -> int:
 
 
 _SHIPPED: set[str] = set()
+BATCH_ROWS = 2_000       # rows of an Arrow batch at most: they hold whole texts
 
 
 def ship_package(spark: SparkSession) -> None:
     """Give the executors this package's source, once per application, by way of the shared folder.
 
     Python tasks import the package; on a cluster it need not be installed.
+    Arrow batches are kept small, so that a Python worker holds few texts at a time.
     """
-    sc = spark.sparkContext
+    sc, key = spark.sparkContext, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
     if sc.applicationId in _SHIPPED:
         return
     package = Path(__file__).resolve().parent.parent

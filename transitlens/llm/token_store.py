@@ -41,13 +41,14 @@ from pyspark.sql import functions as F
 from transitlens.llm.scratch import Scratch, parallelism, ship_package
 from transitlens.llm.shared_files import new_file, open_fs
 from transitlens.llm.word_arrays import pieces
+from transitlens.llm.worker_cache import held
 
 MAGIC = b"TPF1"
 BLOCK = 8_192            # ids in a block; at most 65,536
 PERCENTILE = 90
 READ_BYTES = 4 << 20     # a reader asks for runs of blocks of about this size
-CACHE = 800_000          # entries of a worker's cache of encoded pre-tokens
-RECENT = 8               # batches whose pre-tokens stay when the cache is full
+CACHE = 600_000          # entries of a worker's cache of encoded pre-tokens
+RECENT = 2               # batches whose pre-tokens stay when the cache is full
 TEXTS = 1_024            # texts in a batch, of
 TEXT_BYTES = 4 << 20     # bytes at most, a text at least
 LONGEST = 64             # longer pre-tokens aren't cached
@@ -55,7 +56,6 @@ LONGEST = 64             # longer pre-tokens aren't cached
 _HEAD = struct.Struct("<IBBHI")
 _FOOT = struct.Struct("<QQQQ4s")
 _TOKENIZERS: dict[str, object] = {}
-_SEEN: dict[str, tuple[dict[str, bytes], deque]] = {}
 _SPACED: dict[str, np.ndarray] = {}
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 
@@ -70,13 +70,19 @@ def _pack(v: np.ndarray, width: int) -> bytes:
     return np.packbits(bits.ravel(), bitorder="little").tobytes()
 
 
+_PLACES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
 def _unpack(raw: bytes, n: int, width: int) -> np.ndarray:
     if not width or not n:
         return np.zeros(n, np.uint64)
-    bits = np.unpackbits(np.frombuffer(raw, np.uint8), bitorder="little", count=n * width).reshape(n, width)
-    out = np.zeros((n, 4), np.uint8)
-    out[:, :-(-width // 8)] = np.packbits(bits, axis=1, bitorder="little")
-    return out.view("<u4").ravel().astype(np.uint64)
+    if width not in _PLACES:
+        at = np.arange(1 << 16, dtype=np.int64) * width
+        _PLACES[width] = at >> 3, (at & 7).astype(np.uint64)
+    byte, shift = _PLACES[width]
+    # the 8 bytes from each byte on, as numbers; a value of up to 32 bits lies in those from its first byte on
+    numbers = np.ndarray(len(raw), "<u8", raw + bytes(8), strides=(1,))
+    return (numbers[byte[:n]] >> shift[:n]) & ((np.uint64(1) << np.uint64(width)) - np.uint64(1))
 
 
 def encode_block(ids: np.ndarray) -> bytes:
@@ -250,67 +256,75 @@ def _newline(path: str) -> int:
     return int(ids[0]) if len(ids) == 1 else -1
 
 
-def _encode_units(path: str, units: list[str]) -> dict[str, bytes]:
+def _encode_units(path: str, plain: set[str], other: set[str]) -> dict[str, bytes]:
     """The ids of each unit: after a space, or as it is where it starts with a newline.
 
-    Units without further white space are encoded many to a call, and cut at
-    the tokens that start with the space or the newline.
+    ``plain`` units have no white space but that newline. They are encoded many
+    to a call, and cut at the tokens that start with the space or the newline.
     """
     out: dict[str, bytes] = {}
-    lines = [u for u in units if u[:1] == "\n"]
+    rest = list(other)
+    lines = [u for u in plain if u[0] == "\n"]
+    words = list(plain.difference(lines))
     spaced, newline = _starts(path), _newline(path)
-    for some, joint in (([u for u in units if u[:1] != "\n"], " "), (lines, "")):
-        plain = [u for u in some if len(u) > 1 and u.split() == [u.lstrip("\n")]]
-        chunks = [plain[i:i + 512] for i in range(0, len(plain), 512)]
+    for some, joint in ((words, " "), (lines, "")):
+        chunks = [some[i:i + 512] for i in range(0, len(some), 512)]
         for chunk, raw in zip(chunks, _ids(path, [joint + joint.join(c) for c in chunks])):
             ids = np.frombuffer(raw, "<u4")
-            at = np.flatnonzero(spaced[ids] if joint else ids == newline) * 4
-            if len(at) == len(chunk):
-                cut = at.tolist()
+            cut = (np.flatnonzero(spaced[ids] if joint else ids == newline) * 4).tolist()
+            if len(cut) == len(chunk):
                 out.update(zip(chunk, map(raw.__getitem__, map(slice, cut, [*cut[1:], len(raw)]))))
-    rest = [u for u in units if u not in out]
+            else:
+                rest += chunk
     out.update(zip(rest, _ids(path, [u if u[:1] == "\n" else " " + u for u in rest])))
     return out
 
 
-def _units(text: str) -> list[str]:
-    """The text cut at its lone spaces and newlines: the first unit, then units as :func:`_encode_units` takes them."""
+def _units(text: str) -> tuple[list[str], bool]:
+    """The text cut at its lone spaces and newlines: the first unit, then units as :func:`_encode_units` takes them.
+
+    And whether all but the first are plain.
+    """
     if text.replace("\n", "").isprintable():
         text_ = text.replace("\n", " \n")
         if "  " not in text_ and "\n " not in text_ and text_[:1] != " " and text_[-1:] not in (" ", "\n"):
-            return text_.split(" ")
-    return _BETWEEN.split(text)      # no unit after the first starts with white space
+            return text_.split(" "), True
+    return _BETWEEN.split(text), False      # no unit after the first starts with white space
 
 
 def encode_texts(path: str, texts: list[str], cut: bool) -> list[bytes]:
     """Each text's ids as little-endian unsigned 32-bit integers, as the tokenizer gives them for the whole text.
 
     With ``cut``, a text falls into pre-tokens at its lone spaces and newlines;
-    their ids come from a cache that lives as long as the Python worker, and
+    their ids come from a cache that a Python worker keeps between tasks, and
     distinct missing ones are encoded a batch at a time. A full cache keeps
     what the last RECENT batches used.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     if not cut:
         return _ids(path, texts)
-    seen, recent = _SEEN.setdefault(path, ({}, deque(maxlen=RECENT)))
-    units = [_units(x) for x in texts]
+    seen, recent = held(f"ids:{path}", lambda: ({}, deque(maxlen=RECENT)))
+    units, plain = zip(*map(_units, texts)) if texts else ((), ())
     heads = _ids(path, [u[0] for u in units])
     for u in units:
         del u[0]
     got = [list(map(seen.get, u)) for u in units]
     gaps = [[i for i, r in enumerate(g) if r is None] if None in g else [] for g in got]
-    found = _encode_units(path, list({u[i] for u, gap in zip(units, gaps) for i in gap}))
+    missing: tuple[set[str], set[str]] = (set(), set())
+    for u, gap, p in zip(units, gaps, plain):
+        missing[0 if p else 1].update(map(u.__getitem__, gap))
+    found = _encode_units(path, missing[0], missing[1] - missing[0])
     for u, g, gap in zip(units, got, gaps):
         for i in gap:
             g[i] = found[u[i]]
     recent.append(units)
-    new = {u: r for u, r in found.items() if len(u) <= LONGEST}
-    if len(seen) + len(new) > CACHE:
+    if len(seen) + len(found) > CACHE:
         kept = {u: seen[u] for batch in recent for some in batch for u in some if u in seen}
         seen.clear()
         seen.update(kept)
-    seen.update(new)
+    for u in [u for u in found if len(u) > LONGEST]:
+        del found[u]
+    seen.update(found)
     return [h + b"".join(g) for h, g in zip(heads, got)]
 
 

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-PIECE = 2 << 20          # bytes tokenised at a time; a longer word is a piece of its own
+PIECE = 256 << 10        # bytes hashed at a time; a longer word is a piece of its own
 
 _rng = np.random.Generator(np.random.PCG64(20240501))
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64)
