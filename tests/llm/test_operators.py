@@ -397,3 +397,31 @@ def test_empty_tables(spark, empty):
                 quality_rules.judge(empty.select("doc_id", "text")), ngram_join.near_duplicates(empty),
                 token_counts.count_tokens(empty, PIECES), quality_mil.score(empty, quality_mil.train(empty, labels))):
         assert out.count() == 0
+
+
+# ---- helpers ----------------------------------------------------------------
+
+def test_idle_caches_are_dropped(monkeypatch):
+    import time
+
+    from transitlens.llm import worker_cache
+
+    monkeypatch.setattr(worker_cache, "IDLE_S", 0.2)
+    first = worker_cache.held("x", dict)
+    assert worker_cache.held("x", dict) is first
+    time.sleep(1.0)
+    assert worker_cache.held("x", dict) is not first
+
+
+def test_words_of_long_texts_in_pieces(monkeypatch):
+    """Hashes don't depend on where a text lies or on how it is cut."""
+    from transitlens.llm import word_arrays as wa
+
+    texts = [b"one two", b"", b" x" * 500, "Über größe ÜBER".encode(), b"y" * 2_000 + b" one"]
+    whole = wa.words(texts)
+    h = whole.hashes()
+    monkeypatch.setattr(wa, "PIECE", 64)
+    assert (wa.words(texts).hashes() == h).all()
+    alone = np.concatenate([wa.words([t]).hashes() for t in texts])
+    assert (alone == h).all()
+    assert [whole.word(i) for i in (0, 1)] == [b"one", b"two"] and h[0] == h[-1]

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from transitlens.llm import text_blocks as B
-from transitlens.llm.scratch import Scratch, parallelism, ship_package
+from transitlens.llm.scratch import Scratch, ranges_for, ship_package
 from transitlens.llm.word_arrays import SPACED, mix64, words
 
 BLOCK = 4 << 20
@@ -383,8 +383,9 @@ def score_texts(docs: DataFrame, folds: int = 7, held_out: int = 2, key: str = "
     """key, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
     spark = docs.sparkSession
     ship_package(spark)
-    scratch, parts = Scratch(spark, "lm"), parallelism(spark)
+    scratch = Scratch(spark, "lm")
     blocks = scratch.write(B.pack_blocks(docs, key, text, BLOCK), "blocks")
+    parts = ranges_for(spark, blocks.agg(F.sum("n_bytes")).first()[0])
     counts = B.exchange(B.with_answers(blocks, [], parts), _ask_counts(folds, held_out, parts), _answer_counts, parts)
     counts = scratch.write(counts, "counts")
     model = fit(blocks, vocabulary(counts, parts), folds, held_out, parts)

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from transitlens.llm.components import components
-from transitlens.llm.scratch import Scratch, parallelism, ship_package
+from transitlens.llm.scratch import Scratch, parallelism, ranges_for, ship_package
 from transitlens.llm.word_arrays import SPACED, mix64, pieces, shingle_hashes, utf8, words
 
 SHINGLE = 5
@@ -411,11 +411,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """key, n_shingles and component_id (the smallest key reachable by links) of every row."""
     spark = docs.sparkSession
     ship_package(spark)
-    scratch, buckets = Scratch(spark, "jaccard"), parallelism(spark)
+    scratch = Scratch(spark, "jaccard")
     all_docs = docs.select(F.col(key).cast("long").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     known = all_docs.filter("doc is not null")
 
     sizes = scratch.write(all_docs.mapInArrow(_sizes, _SIZES), "sizes")
+    buckets = ranges_for(spark, 8 * (sizes.agg(F.sum("n")).first()[0] or 0))
     last = spark.sparkContext.broadcast(frequent_shingles(sizes))
     blobs = known.mapInArrow(_deal(last, buckets), _BLOB).repartitionById(buckets, "bucket")
     shared = scratch.write(blobs.select("shingle", "owner", "place", "docs")

@@ -48,6 +48,12 @@ def parallelism(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def ranges_for(spark: SparkSession, text_bytes: int | None) -> int:
+    """How many ranges work on so much text is dealt to: the session's partitions, or more if those would be too large."""
+    return max(parallelism(spark), -(-(text_bytes or 0) // RANGE_BYTES))
+
+
+RANGE_BYTES = 64 << 20   # text that one task of an exchange answers for, at most about
 _SHIPPED: set[str] = set()
 BATCH_ROWS = 2_000       # rows of an Arrow batch at most: they hold whole texts
 

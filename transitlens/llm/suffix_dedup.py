@@ -46,7 +46,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from transitlens.llm.scratch import Scratch, parallelism, ship_package
+from transitlens.llm.scratch import Scratch, ranges_for, ship_package
 from transitlens.llm.text_blocks import (  # noqa: F401
     NULL_ID, TextBlock, answer_batch, ask_batch, asked_rows, bucket_of, cut, exchange, pack, pack_blocks, pack_sorted,
     read_blocks, unpack, unpack_sorted, with_answers)
@@ -418,9 +418,10 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wit
     """key, n_bytes, n_removed, n_spans, kept_sha256 and, where asked for, the kept bytes of every row."""
     spark = docs.sparkSession
     ship_package(spark)
-    scratch, buckets = Scratch(spark, "repeats"), parallelism(spark)
+    scratch = Scratch(spark, "repeats")
     blocks = scratch.write(pack_blocks(docs, key, text, BLOCK), "blocks")
-    bits = rank_bits(blocks.agg(F.sum("n_bytes")).first()[0] or 0)
+    total = blocks.agg(F.sum("n_bytes")).first()[0] or 0
+    bits, buckets = rank_bits(total), ranges_for(spark, total)
     answers: list[DataFrame] = []
     for step in (1, 2, 3):
         asking = with_answers(blocks, answers, buckets)
