@@ -45,3 +45,14 @@ def test_lazy_path_matches_oracle(spark, con, name):
     finally:
         spark.conf.set("spark.transitlens.materialize", "true")
     assert r["ok"], r
+
+
+@pytest.mark.parametrize("name", ["worst_routes", "dark_periods_by_extra_hours", "shipments_by_zone", "worst_hub_days_top5",
+                                  "worst_day_each_hub"])
+def test_order_of_sorted_reports(spark, con, name):
+    """The rows come in the statement's order, not only as the same set."""
+    got = QUERIES[name](spark, SF_SMALL)
+    want = con.execute(SQL[name])
+    columns = [c[0] for c in want.description]
+    rows = [tuple(r[c] for c in columns) for r in got.collect()]
+    assert [tuple(map(str, r)) for r in rows] == [tuple(map(str, r)) for r in want.fetchall()]
