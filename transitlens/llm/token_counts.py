@@ -3,8 +3,8 @@
 A piece model of this kind never merges across a space or a newline, so a text
 falls into pre-tokens whose token counts add up. The lengths of frequent
 pre-tokens (found in a bounded sample of rows, at most ``FREQUENT`` of them)
-are broadcast; a pre-token that isn't among them goes through a cache that
-lives as long as the Python worker and starts anew at ``CACHE`` entries, and
+are broadcast; a pre-token that isn't among them goes through a cache that a
+Python worker keeps between tasks and that starts anew at ``CACHE`` entries, and
 only what misses both is encoded, a batch of distinct ones at a time. Texts
 with runs of spaces, and all texts of a model for which the rule doesn't hold
 (tested on its vocabulary), are encoded whole.
@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from transitlens.llm.scratch import ship_package
+from transitlens.llm.worker_cache import held
 
 FREQUENT = 32_768        # entries of the broadcast table, each of at most LONGEST characters
 LONGEST = 64             # longer pre-tokens are neither broadcast nor cached
@@ -35,7 +36,6 @@ SAMPLE_CHARS = 50_000    # longest text taken into that sample
 BLOCK = "▁"
 
 _MODELS: dict[str, object] = {}
-_SEEN: dict[str, dict[str, int]] = {}
 
 
 def model(path: str):
@@ -74,7 +74,7 @@ def _length(m, tokens: list[str]) -> list[int]:
 
 def count_batch(path: str, texts: list[str], frequent: dict[str, int], split: bool) -> list[int]:
     """Token counts of texts."""
-    m, seen = model(path), _SEEN.setdefault(path, {})
+    m, seen = model(path), held(f"lengths:{path}", dict)
     if len(seen) > CACHE:
         seen.clear()
     out, pending, whole = [0] * len(texts), [], []
@@ -114,7 +114,7 @@ def frequent_lengths(texts: DataFrame, path: str) -> dict[str, int]:
     """Token counts of the most frequent pre-tokens in a bounded sample of the rows."""
     counts: Counter[str] = Counter()
     sample = texts.filter(F.length("text") <= SAMPLE_CHARS).limit(SAMPLE_ROWS)
-    for r in sample.toLocalIterator():
+    for r in sample.collect():
         counts.update(u for u in pre_tokens(r["text"]) or [] if u and len(u) <= LONGEST and r["text"][0] != "\n")
     top = [u for u, n in counts.most_common(FREQUENT) if n > 1]
     return dict(zip(top, _length(model(path), top))) if top else {}
