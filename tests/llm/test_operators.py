@@ -4,6 +4,7 @@ import base64
 import hashlib
 import math
 import zlib
+from types import SimpleNamespace
 
 import brute
 import numpy as np
@@ -173,6 +174,15 @@ def test_lm_probabilities_sum_to_one():
     assert abs(np.exp(m.log_probabilities(np.arange(lm.OUTPUTS), context)).sum() - 1) < 1e-5
 
 
+def test_lm_learns_from_every_training_text(docs, rows):
+    """Each task passes over all texts outside the fold, repeated ids and null ones included."""
+    blocks = lm.B.pack_blocks(docs, "doc_id", "text", 20_000)
+    batches = lm.B.with_answers(blocks, [], 2).toArrow().to_batches()
+    v = lm.Vocabulary(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.ones(lm.OUTPUTS, np.int64), np.ones(lm.CLASSES, np.int64), 1, 1)
+    out = list(lm._refining(SimpleNamespace(value=lm.Model.new(v)), 7, 2)(iter(batches)))
+    assert sum(b.column("n")[0].as_py() for b in out) == brute.lm_base(pairs(rows))[0][4]
+
+
 # ---- 4 ----------------------------------------------------------------------
 
 @pytest.fixture(scope="session")

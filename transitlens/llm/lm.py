@@ -14,8 +14,7 @@ each weighted by a vector of its place, add up to a prediction; its products
 with all output embeddings, plus biases, are the scores of the outputs. They
 are trained by noise-contrastive estimation against the unigram noise: first
 on a sample of about ``INIT_TOKENS`` tokens in the driver, then by every task
-on its share of the training texts (one text in ``SHARE``, by a hash of its
-id, so the work grows with the corpus), the results being averaged by tokens.
+on all training texts of its blocks, the results being averaged by tokens.
 For scoring, batched matrix products give all outputs of every context, so
 each token's log probability is normalised exactly.
 
@@ -48,7 +47,6 @@ HEAD, CLASSES = 255, 128        # the end is one of HEAD
 OUTPUTS = HEAD + CLASSES
 CONTEXT, WIDTH = 4, 20
 INIT_TOKENS, INIT_EPOCHS = 300_000, 3
-SHARE = 8
 BATCH, NOISE = 256, 48
 RATE = 0.08
 ROWS = 4_096                    # contexts in one matrix product
@@ -244,7 +242,8 @@ class Model:
                 k = order[i:i + BATCH]
                 t, c = target[k], context[k]
                 noise = np.minimum(np.searchsorted(draw, r.random(NOISE)), OUTPUTS - 1)
-                q = self.predictions(c)
+                near = p["in"][c]
+                q = (near * p["place"]).sum(1)
                 own = (q * p["out"][t]).sum(1) + p["bias"][t] - log_noise[t]
                 other = q @ p["out"][noise].T + p["bias"][noise] - log_noise[noise]
                 g = (1 / (1 + np.exp(np.clip(own, -30, 30)))).astype(np.float32)             # towards the target
@@ -252,15 +251,16 @@ class Model:
                 dq = g[:, None] * p["out"][t] + h @ p["out"][noise]
                 steps = {"out": (np.concatenate([t, noise]), np.concatenate([g[:, None] * q, h.T @ q])),
                          "bias": (np.concatenate([t, noise]), np.concatenate([g, h.sum(0)])),
-                         "in": (c.T.ravel(), np.concatenate([dq * p["place"][j] for j in range(CONTEXT)]))}
-                place = np.stack([(dq * p["in"][c[:, j]]).sum(0) for j in range(CONTEXT)])
+                         "in": (c.ravel(), (dq[:, None] * p["place"]).reshape(-1, WIDTH))}
+                place = (dq[:, None] * near).sum(0)
                 for name, (rows, grad) in steps.items():
                     self._step(name, *_summed(rows, grad), rate)
                 self._step("place", slice(None), place, rate)
 
     def _step(self, name: str, rows, grad: np.ndarray, rate: float) -> None:
-        self.seen[name][rows] += grad * grad
-        self.p[name][rows] += rate * grad / np.sqrt(self.seen[name][rows])
+        seen = self.seen[name][rows] + grad * grad
+        self.seen[name][rows] = seen
+        self.p[name][rows] += rate * grad / np.sqrt(seen)
 
     def flat(self) -> np.ndarray:
         return np.concatenate([self.p[k].ravel() for k in sorted(self.p)]).astype(np.float64)
@@ -290,12 +290,13 @@ def contexts(out: np.ndarray, first: np.ndarray) -> np.ndarray:
     return c
 
 
-def _learning(v, folds: int, held_out: int, pick):
-    """Outputs and text borders of the picked training texts of each block."""
+def _learning(v, folds: int, held_out: int, pick=None):
+    """Outputs and text borders of the training texts of each block, or of the picked ones among them."""
     def each(batches: Iterator[pa.RecordBatch]):
         for row, _ in B.read_blocks(batches):
             b = B.TextBlock(row)
-            chosen = np.flatnonzero(~in_fold(b.ids, b.valid, folds, held_out) & pick(mix64(b.ids.view(np.uint64))))
+            learn = ~in_fold(b.ids, b.valid, folds, held_out)
+            chosen = np.flatnonzero(learn & pick(mix64(b.ids.view(np.uint64))) if pick else learn)
             if len(chosen):
                 texts = b.texts()
                 name, kind, first = tokens([texts[i] for i in chosen])
@@ -317,7 +318,7 @@ def _refining(model, folds: int, held_out: int):
         m, n = model.value.with_flat(model.value.flat()), 0
         m.seen = {k: x.copy() for k, x in m.seen.items()}
         v = type("", (), {"value": m.vocabulary})
-        for out, first in _learning(v, folds, held_out, lambda h: h % np.uint64(SHARE) == 0)(batches):
+        for out, first in _learning(v, folds, held_out)(batches):
             m.train(out, contexts(out, first), 1, len(out), RATE / 2)
             n += len(out)
         if n:
