@@ -331,6 +331,22 @@ def test_near_duplicates_in_small_tiles(spark, monkeypatch):
     assert got(ngram_join.near_duplicates(df), "doc_id", "n_shingles", "component_id") == ordered(brute.components(out))
 
 
+@pytest.mark.parametrize("shift", [0, 2**63 - 1 - 30])
+def test_near_duplicates_of_ids_with_several_texts(spark, shift):
+    """Each text of an id keeps its own links, also if another one is a copy or has as many shingles."""
+    import random
+
+    rng = random.Random(5)
+    text = lambda: [f"v{rng.randrange(10**6)}" for _ in range(70)]
+    near = lambda w: [*w[:-1], "changed"]
+    a, b, c, d, e, f = (text() for _ in range(6))
+    out = [(3, a), (5, a), (5, b), (7, near(b)), (9, c), (9, d), (11, near(d)), (12, near(c)), (12, c), (20, e), (21, near(e)),
+           (30, f), (30, f), (30, []), (2, near(f)), (2, near(d))]
+    out = [(i + shift, " ".join(w)) for i, w in out] + [(None, " ".join(b))]
+    df = spark.createDataFrame(out, "doc_id long, text string")
+    assert got(ngram_join.near_duplicates(df), "doc_id", "n_shingles", "component_id") == ordered(brute.components(out))
+
+
 def test_one_of_each(docs, rows):
     out = ngram_join.one_of_each(docs)
     found = brute.components(pairs(rows))

@@ -26,7 +26,9 @@ Nothing is capped: every pair that could link two components is decided.
 
 Defined cases: documents without words have an empty set, 0 shingles, and are
 linked with nothing; fewer words than a shingle are one shingle, their whole
-sequence; rows that share a doc_id are one node with the links of all; a row
+sequence; rows that share a doc_id are one node with the links of all (while
+pairs are sought, each different set of such an id is a node of its own, with
+an unused number, of which there must be enough above or below all ids); a row
 with a null doc_id has no links and a null component; repeated rows are
 copies; an empty table gives an empty result; other columns are not read.
 """
@@ -160,6 +162,46 @@ def frequent_shingles(sizes: DataFrame) -> np.ndarray:
     return np.sort(np.array([r[0] for r in rows], np.int64).view(np.uint64))
 
 
+# ---- ids of several sets ----------------------------------------------------
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows with the size and digest of their sets."""
+    for batch in batches:
+        own = pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("text")], names=["doc", "text"])
+        at = 0
+        for s in _sizes(iter([own])):
+            part = own.slice(at, s.num_rows)
+            at += s.num_rows
+            yield pa.RecordBatch.from_arrays([*[s.column(c) for c in ("doc", "n", "d1", "d2")], part.column("text")],
+                                             names=["doc", "n", "d1", "d2", "text"])
+
+
+def numbered_sets(live: DataFrame, scratch: Scratch) -> tuple[DataFrame, int, int] | None:
+    """A number (node) for each different set of the ids that have several, and the first and last number; None if no id has."""
+    digest = ("n", "d1", "d2")
+    ends = live.groupBy("doc").agg(*[f(c).alias(f"{f.__name__}_{c}") for c in digest for f in (F.min, F.max)])
+    torn = scratch.write(ends.filter(" or ".join(f"min_{c} < max_{c}" for c in digest)).select("doc"), "torn")
+    if torn.isEmpty():
+        return None
+    sets = live.join(_small(torn), "doc").select("doc", *digest).distinct().withColumn("part", F.spark_partition_id()) \
+        .withColumn("at", F.monotonically_increasing_id() - F.shiftleft(F.col("part").cast("long"), 33))
+    sets = scratch.write(sets, "torn-sets")
+    start, total = [], 0
+    for part, n in sets.groupBy("part").count().collect():
+        start.append((part, total))
+        total += n
+    low, high = live.agg(F.min("doc"), F.max("doc")).first()
+    if high + total < 2**63:
+        base = high + 1
+    elif low - total >= -2**63:
+        base = low - total
+    else:
+        raise ValueError(f"{total} unused numbers are needed above or below all ids")
+    starts = live.sparkSession.createDataFrame(start, "part int, start long")
+    node = (F.lit(base).cast("long") + F.col("start") + F.col("at")).alias("node")
+    return scratch.write(sets.join(F.broadcast(starts), "part").select("doc", *digest, node), "nodes"), base, base + total - 1
+
+
 # ---- 2. prefixes by shingle -------------------------------------------------
 
 _BLOB = "bucket int, shingle binary, owner binary, place binary, docs binary"
@@ -418,15 +460,24 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     sizes = scratch.write(all_docs.mapInArrow(_sizes, _SIZES), "sizes")
     buckets = ranges_for(spark, 8 * (sizes.agg(F.sum("n")).first()[0] or 0))
     last = spark.sparkContext.broadcast(frequent_shingles(sizes))
+    live = sizes.filter("n > 0 and doc is not null").select("doc", "n", "d1", "d2", "bits")
+    numbered, own = numbered_sets(live, scratch), None
+    if numbered:
+        nodes, low, high = numbered
+        key_, ids = ["doc", "n", "d1", "d2"], _small(scratch.write(nodes.select("doc").distinct(), "torn-ids"))
+        torn = known.join(ids, "doc").select("doc", "text").mapInArrow(_digests, "doc long, n long, d1 long, d2 long, text string")
+        torn = scratch.write(torn.join(_small(nodes), key_).select(F.col("node").alias("doc"), "text"), "torn-texts")
+        known = known.join(ids, "doc", "left_anti").union(torn)
+        live = live.join(_small(nodes), key_, "left").withColumn("doc", F.coalesce("node", "doc")).drop("node")
+        own = nodes.select(F.col("node").alias("u"), F.col("doc").alias("v"))
     blobs = known.mapInArrow(_deal(last, buckets), _BLOB).repartitionById(buckets, "bucket")
     shared = scratch.write(blobs.select("shingle", "owner", "place", "docs")
                            .mapInArrow(_share, "shingle long, doc long, n long, place long, next array<long>"), "shared")
 
-    live = sizes.filter("n > 0 and doc is not null").select("doc", "n", "d1", "d2", "bits")
     groups = live.groupBy("n", "d1", "d2").agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("size"))
     copies = live.join(groups.filter("size > 1"), ["n", "d1", "d2"]).filter("doc != rep").select("doc", "rep").distinct()
     copies = scratch.write(copies, "copies")
-    # the row that stands for a class, of which there may be more than one if ids repeat
+    # the row that stands for a class, of which there may be more than one if rows repeat
     reps = live.join(_small(copies), "doc", "left_anti").groupBy("doc", "n").agg(F.first("bits").alias("bits"))
     reps = scratch.write(reps, "reps")
 
@@ -445,6 +496,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     chain = scratch.write(bounded(chain), "chain")
     same = copies.select(F.col("doc").alias("u"), F.col("rep").alias("v"))
     links = decided(known, chain, scratch, "first")
+    links = links.union(own) if own else links
     found = scratch.write(components(links, scratch, "c1"), "first-components")
 
     narrow = scratch.write(reps.mapInArrow(_narrowed, "doc long, n long, bits binary"), "narrow")
@@ -465,6 +517,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         tried = tried.union(pairs)
         found = scratch.write(components(links, scratch, f"{name}-c"), f"{name}-components")
 
+    if numbered:    # components by their smallest id, without the numbers of sets
+        real = found.filter((F.col("node") < low) | (F.col("node") > high))
+        least = real.groupBy("component").agg(F.min("node").alias("least"))
+        found = real.join(least, "component").select("node", F.col("least").alias("component"))
     out = sizes.select("doc", "n").join(found, F.col("doc") == F.col("node"), "left")
     return out.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"),
                       F.coalesce("component", "doc").alias("component_id"))
