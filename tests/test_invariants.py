@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from oracle_util import SF_SMALL
 from transitlens import constants as K
 from transitlens import schemas
 from transitlens.operators import dark as D

@@ -3,7 +3,7 @@
 import pytest
 
 from oracle_util import compare, duckdb_conn
-from conftest import SF_SMALL
+from oracle_util import SF_SMALL
 
 import __spark_entry__ as entry
 from transitlens.plans import catalog

@@ -1,6 +1,6 @@
 """Physical-plan properties the design relies on (regression guards)."""
 
-from conftest import SF_SMALL
+from oracle_util import SF_SMALL
 
 from transitlens.plans.catalog import QUERIES
 from transitlens.plans.layers import silver_from_tables
