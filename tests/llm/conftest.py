@@ -6,7 +6,8 @@ import pyarrow.parquet as pq
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-SMALL = "/root/testdata/sf0.001"
+
+from rows_util import SMALL  # noqa: E402
 
 SCHEMA = "doc_id long, text string, source string, n_words string, bits string, taken string, score string, block string"
 
@@ -42,12 +43,3 @@ def docs(spark, rows):
 @pytest.fixture(scope="session")
 def empty(spark):
     return spark.createDataFrame([], SCHEMA)
-
-
-def got(df, *columns):
-    """Rows as sorted tuples, nulls first."""
-    return ordered([tuple(r) for r in df.select(*columns).collect()])
-
-
-def ordered(rows):
-    return sorted(rows, key=lambda r: [(x is not None, x) for x in r])

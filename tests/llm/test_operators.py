@@ -10,7 +10,7 @@ import brute
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import got, ordered
+from rows_util import got, ordered
 from pyspark.sql import functions as F
 
 from transitlens.llm import (

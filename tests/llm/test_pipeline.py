@@ -4,7 +4,7 @@ import brute
 import corpus_pipeline
 import pyarrow.parquet as pq
 import pytest
-from conftest import SMALL, got, ordered
+from rows_util import SMALL, got, ordered
 
 import __spark_entry__
 from transitlens.llm import mixing, quality_rules

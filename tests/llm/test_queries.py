@@ -2,7 +2,7 @@
 
 import duckdb
 import pytest
-from conftest import SMALL, ordered
+from rows_util import SMALL, ordered
 
 from transitlens.llm.queries import ORACLE_SQL, QUERIES
 
