@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transitlens.llm import decontaminate, lm, mixing, ngram_join, quality_mil, quality_rules, suffix_dedup, token_counts, token_store, warc
+from transitlens.llm import (decontaminate, lm, merkle, mixing, ngram_join, piece_codec, quality_mil, quality_rules, suffix_dedup, token_counts,
+                             token_store, vector_codes, warc)
 from transitlens.llm.oracle import ORACLE_SQL  # noqa: F401
 
 
@@ -75,6 +76,33 @@ def op10_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of all embeddings, with their errors."""
+    codes, books = vector_codes.encode_vectors(_table(spark, sf_dir, "embeddings"))
+    return vector_codes.with_label_error(codes).select(
+        "vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(books.digest() if books else "").alias("codebooks_sha256"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, proof and what its tampered or own row folds to."""
+    docs = _table(spark, sf_dir, "documents")
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    # a null doc_id has no remainder and is not tampered with
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.translate("text", upper, lower)).otherwise(F.col("text"))
+    out = merkle.manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], changed={"text": tampered})
+    return out.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root",
+                      (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op13_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and the text they decode to."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    ids = piece_codec.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    return piece_codec.decode(ids, path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_mixing, op3_lm_scoring, op4_decontamination, op5_warc, op6_token_store, op7_quality_rules, op8_ngram_join,
-    op9_token_counts, op10_quality_mil)}
+    op9_token_counts, op10_quality_mil, op11_vector_codes, op12_merkle, op13_piece_codec)}
