@@ -14,7 +14,7 @@ def _plain(x):
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query(spark, name):
     db = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "embeddings"):
         db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
     want = db.execute(ORACLE_SQL[name])
     columns = sorted(c[0] for c in want.description)

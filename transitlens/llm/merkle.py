@@ -38,7 +38,6 @@ from transitlens.llm.scratch import Scratch, parallelism, ship_package
 
 ARITY = 8
 LEVELS = 3               # levels that one task folds: blocks of 512 nodes
-BLOCK = ARITY ** LEVELS
 PATH = "array<struct<left:string,right:string>>"
 NODE_PATHS = f"g string, pos long, subroot string, root string, path {PATH}"
 
@@ -129,22 +128,22 @@ def _positions(scratch: Scratch, rows: DataFrame, order: list[str], name: str) -
     return placed.withColumn("pos", F.col("_at") + F.col("_shift")).drop("_at", "_range", "_shift")
 
 
-def _in_blocks(nodes: DataFrame) -> DataFrame:
-    return nodes.withColumn("block", F.expr(f"pos div {BLOCK}"))
+def _in_blocks(nodes: DataFrame, levels: int) -> DataFrame:
+    return nodes.withColumn("block", F.expr(f"pos div {ARITY ** levels}"))
 
 
-def _subtree(block: pa.Table) -> tuple[Subtree, np.ndarray, list[bytes]]:
+def _subtree(block: pa.Table, levels: int) -> tuple[Subtree, np.ndarray, list[bytes]]:
     """A block's subtree, the order of its rows and their digests in that order."""
     order = np.argsort(block.column("pos").to_numpy(), kind="stable")
     digests = [d.encode() for d in block.column("digest").take(pa.array(order)).to_pylist()]
-    return Subtree(digests, min(LEVELS, depth(block.column("total")[0].as_py()))), order, digests
+    return Subtree(digests, min(levels, depth(block.column("total")[0].as_py()))), order, digests
 
 
-def _raised(block: pa.Table) -> pa.Table:
-    tree, _, _ = _subtree(block)
+def _raised(block: pa.Table, levels: int) -> pa.Table:
+    tree, _, _ = _subtree(block, levels)
     total = block.column("total")[0].as_py()
     return pa.table({"g": block.column("g").slice(0, 1), "pos": block.column("block").slice(0, 1),
-                     "total": pa.array([-(-total // BLOCK)], pa.int64()), "digest": [d.decode() for d in tree.top]})
+                     "total": pa.array([-(-total // ARITY ** levels)], pa.int64()), "digest": [d.decode() for d in tree.top]})
 
 
 def _path_column(paths: list[list[tuple[bytes, bytes]]]) -> pa.Array:
@@ -152,9 +151,9 @@ def _path_column(paths: list[list[tuple[bytes, bytes]]]) -> pa.Array:
     return pa.array([[{"left": a.decode(), "right": b.decode()} for a, b in p] for p in paths], kind)
 
 
-def _lowered(block: pa.Table, above: pa.Table) -> pa.Table:
+def _lowered(block: pa.Table, above: pa.Table, levels: int) -> pa.Table:
     """Nodes of a block with the siblings up to the root, from those of the block's own top."""
-    tree, order, digests = _subtree(block)
+    tree, order, digests = _subtree(block, levels)
     n, up = len(digests), _path_of(above)
     taken = block.take(pa.array(order))
     return pa.table({"g": taken.column("g"), "pos": taken.column("pos"), "subroot": above.column("subroot").take(pa.array([0] * n)),
@@ -166,9 +165,9 @@ def _path_of(above: pa.Table) -> list[tuple[bytes, bytes]]:
     return [(x["left"].encode(), x["right"].encode()) for x in above.column("path")[0].as_py()]
 
 
-def _proven(block: pa.Table, above: pa.Table) -> pa.Table:
+def _proven(block: pa.Table, above: pa.Table, levels: int) -> pa.Table:
     """Leaves of a block with their proofs and what folding their replacements gives."""
-    tree, order, digests = _subtree(block)
+    tree, order, digests = _subtree(block, levels)
     taken, up = block.take(pa.array(order)), _path_of(above)
     shared = b"".join(left + right for left, right in up)
     states = [(sha256(left), right) for left, right in up]
@@ -185,32 +184,32 @@ def _proven(block: pa.Table, above: pa.Table) -> pa.Table:
                      "folded_root": pa.array(folded, pa.binary()).cast(pa.string())})
 
 
-def _tower(scratch: Scratch, leaves: DataFrame, name: str) -> list[DataFrame]:
+def _tower(scratch: Scratch, leaves: DataFrame, levels: int, name: str) -> list[DataFrame]:
     """Tables of nodes (g, pos, total, digest), the leaves in blocks first, the last with one node a group."""
-    out = [scratch.write(_in_blocks(leaves), f"{name}-0")]
+    out = [scratch.write(_in_blocks(leaves, levels), f"{name}-0")]
     while (out[-1].agg(F.max("total")).first()[0] or 0) > 1:
         up = out[-1].select("g", "block", "pos", "total", "digest").groupBy("g", "block") \
-            .applyInArrow(_raised, "g string, pos long, total long, digest string")
-        out.append(scratch.write(_in_blocks(up), f"{name}-{len(out)}"))
+            .applyInArrow(lambda block: _raised(block, levels), "g string, pos long, total long, digest string")
+        out.append(scratch.write(_in_blocks(up, levels), f"{name}-{len(out)}"))
     return out
 
 
-def _descend(scratch: Scratch, tower: list[DataFrame], tops: DataFrame, name: str) -> DataFrame:
+def _descend(scratch: Scratch, tower: list[DataFrame], tops: DataFrame, levels: int, name: str) -> DataFrame:
     """The siblings above every block of the lowest table, from those above each group's top (g, subroot, root, path)."""
     above = tops.withColumn("pos", F.lit(0).cast("long"))
     for k in range(len(tower) - 2, 0, -1):     # the nodes of a table are the blocks of the table below
         nodes = tower[k].select("g", "block", "pos", "total", "digest")
-        above = scratch.write(_under(nodes, above, _lowered, NODE_PATHS), f"{name}-paths-{k}")
+        above = scratch.write(_under(nodes, above, _lowered, levels, NODE_PATHS), f"{name}-paths-{k}")
     return above
 
 
-def _under(nodes: DataFrame, above: DataFrame, task, schema: str) -> DataFrame:
+def _under(nodes: DataFrame, above: DataFrame, task, levels: int, schema: str) -> DataFrame:
     tops = above.withColumnRenamed("pos", "block")
-    return nodes.groupBy("g", "block").cogroup(tops.groupBy("g", "block")).applyInArrow(task, schema)
+    return nodes.groupBy("g", "block").cogroup(tops.groupBy("g", "block")).applyInArrow(lambda a, b: task(a, b, levels), schema)
 
 
 def manifest(docs: DataFrame, fields: list[str], group: str = "lang", key: str = "doc_id",
-             changed: dict[str, Column] | None = None) -> DataFrame:
+             changed: dict[str, Column] | None = None, levels: int = LEVELS) -> DataFrame:
     """key, leaf, subroot, root, proof and folded_root of every row.
 
     A leaf is the digest of ``fields`` (texts or integers) in their order.
@@ -228,16 +227,16 @@ def manifest(docs: DataFrame, fields: list[str], group: str = "lang", key: str =
     shown = [(changed or {}).get(f, F.col(f)) for f in fields]
     leaves = scratch.write(docs.select(named.alias("g"), F.col(key).alias("key"), leaf_digest([F.col(f) for f in fields]).alias("digest"),
                                        leaf_digest(shown).alias("shown")), "leaves")
-    tower = _tower(scratch, _positions(scratch, leaves, ["key", "digest", "shown"], "leaves"), "groups")
+    tower = _tower(scratch, _positions(scratch, leaves, ["key", "digest", "shown"], "leaves"), levels, "groups")
     scratch.drop("leaves")
     scratch.drop("leaves-dealt")
     subroots = tower[-1].select(F.lit("").alias("g"), F.col("g").alias("name"), "digest")
-    crown = _tower(scratch, _positions(scratch, subroots, ["name"], "subroots"), "subroots")
+    crown = _tower(scratch, _positions(scratch, subroots, ["name"], "subroots"), levels, "subroots")
     root = crown[-1].select("g", F.lit("").alias("subroot"), F.col("digest").alias("root"), F.expr(f"cast(array() as {PATH})").alias("path"))
-    paths = _under(crown[0].select("g", "block", "pos", "total", "digest"), _descend(scratch, crown, root, "subroots"), _lowered, NODE_PATHS)
+    paths = _under(crown[0].select("g", "block", "pos", "total", "digest"), _descend(scratch, crown, root, levels, "subroots"), _lowered, levels, NODE_PATHS)
     names = crown[0].select("g", "pos", "name", F.col("digest").alias("own"))
     tops = scratch.write(paths.join(names, ["g", "pos"]).select(F.col("name").alias("g"), F.col("own").alias("subroot"), "root", "path"), "tops")
     kind = leaves.schema["key"].dataType.simpleString()
-    proven = _under(tower[0].select("g", "block", "pos", "total", "key", "digest", "shown"), _descend(scratch, tower, tops, "groups"), _proven,
+    proven = _under(tower[0].select("g", "block", "pos", "total", "key", "digest", "shown"), _descend(scratch, tower, tops, levels, "groups"), _proven, levels,
                     f"key {kind}, leaf string, subroot string, root string, proof string, folded_root string")
     return proven.withColumnRenamed("key", key)

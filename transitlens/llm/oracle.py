@@ -136,5 +136,67 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(m, d
 FROM words LEFT JOIN sizes USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS m FROM reach GROUP BY a) USING (doc_id)
 """
 
+
+def _op11(rounds: int = 6, parts: int = 8, entries: int = 16) -> str:
+    """Rounds of assignment and means, written out; a component's row is (rid, p, c, x), an entry's (p, e, c, x)."""
+    out = [f"""kept AS (SELECT row_number() OVER (ORDER BY vec_id) AS rid, vec_id, label, embedding FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+x AS MATERIALIZED (SELECT rid, i // (len(embedding) // {parts}) AS p, i % (len(embedding) // {parts}) AS c,
+  floor(4096 * embedding[i + 1]::DOUBLE)::BIGINT AS x FROM kept, unnest(range(len(embedding))) AS u(i)),
+b0 AS MATERIALIZED (SELECT p, rid - 1 AS e, c, x FROM x WHERE rid <= {entries})"""]
+    for r in range(rounds + 1):
+        # the nearest entry and the distance in one number: entries are few
+        out.append(f"""a{r} AS MATERIALIZED (SELECT rid, p, min(d * {entries} + e) % {entries} AS e, min(d * {entries} + e) // {entries} AS d FROM (
+  SELECT rid, x.p, e, sum((x.x - b.x) * (x.x - b.x))::BIGINT AS d FROM x JOIN b{r} b ON x.p = b.p AND x.c = b.c GROUP BY rid, x.p, e) GROUP BY rid, p)""")
+        if r < rounds:
+            out.append(f"""b{r + 1} AS MATERIALIZED (SELECT b.p, b.e, b.c, CASE WHEN n IS NULL THEN b.x ELSE (s - ((s % n) + n) % n) // n END AS x
+  FROM b{r} b LEFT JOIN (SELECT x.p, e, c, sum(x)::BIGINT AS s, count(*) AS n FROM x JOIN a{r} a ON x.rid = a.rid AND x.p = a.p GROUP BY x.p, e, c) m
+  ON b.p = m.p AND b.e = m.e AND b.c = m.c)""")
+    return "WITH " + ",\n".join(out) + f""",
+codes AS (SELECT rid, string_agg('0' || substr('0123456789abcdef', e::INT + 1, 1), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a{rounds} GROUP BY rid),
+book AS (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY p, e, c)) AS h FROM b{rounds})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, (SELECT h FROM book) AS codebooks_sha256
+FROM kept JOIN codes USING (rid)
+"""
+
+
+def _op12(levels: int = 8, arity: int = 8) -> str:
+    """Levels of both trees written out: node tables (g, pos, d), and rows on their way up (rid, g, pos, d, proof)."""
+    def part(c: str) -> str:
+        return f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')"
+
+    def leaf(text: str) -> str:
+        return f"sha256({' || '.join(part(c) for c in ('doc_id', 'source', 'lang', 'n_chars'))} || {part(text)})"
+
+    def tree(n: str, f: str) -> list[str]:
+        sql = []
+        for k in range(levels):
+            sql.append(f"""{n}{k}c AS MATERIALIZED (SELECT *, count(*) OVER (PARTITION BY g) AS size FROM {n}{k}),
+{n}{k + 1} AS MATERIALIZED (SELECT g, pos // {arity} AS pos, CASE WHEN any_value(size) = 1 THEN any_value(d)
+  ELSE sha256(string_agg(d, '' ORDER BY pos)) END AS d FROM {n}{k}c GROUP BY g, pos // {arity}),
+{f}{k + 1} AS MATERIALIZED (SELECT f.rid, any_value(f.g) AS g, any_value(f.pos) // {arity} AS pos, CASE WHEN any_value(size) = 1 THEN any_value(f.d)
+  ELSE sha256(string_agg(CASE WHEN n.pos = f.pos THEN f.d ELSE n.d END, '' ORDER BY n.pos)) END AS d,
+  any_value(f.proof) || coalesce(string_agg(n.d, '' ORDER BY n.pos) FILTER (WHERE n.pos <> f.pos), '') AS proof
+  FROM {f}{k} f JOIN {n}{k}c n ON f.g = n.g AND f.pos // {arity} = n.pos // {arity} GROUP BY f.rid)""")
+        return sql
+
+    crc = ("xor(list_reduce([4294967295] || flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: [ascii(c), 0, 0, 0, 0, 0, 0, 0])), "
+           "lambda a, e: xor(xor(a, e) >> 1, 3988292384 * (xor(a, e) & 1))), 4294967295)")
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return ",\n".join([
+        f"""WITH t AS (SELECT *, CASE WHEN {crc} % 3 = 0 THEN {lower} ELSE text END AS other FROM documents),
+h AS MATERIALIZED (SELECT doc_id, lang, {leaf('text')} AS leaf, {leaf('other')} AS shown FROM t),
+r AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY lang, doc_id, leaf, shown) AS rid, coalesce('=' || lang, '-') AS g,
+  row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, shown) - 1 AS pos FROM h),
+n0 AS MATERIALIZED (SELECT g, pos, leaf AS d FROM r), f0 AS MATERIALIZED (SELECT rid, g, pos, shown AS d, '' AS proof FROM r)""",
+        *tree("n", "f"),
+        f"""m0 AS MATERIALIZED (SELECT 0 AS g, row_number() OVER (ORDER BY g) - 1 AS pos, d, g AS own FROM n{levels}),
+e0 AS MATERIALIZED (SELECT f.rid, 0 AS g, m0.pos, f.d, f.proof FROM f{levels} f JOIN m0 ON f.g = m0.own)""",
+        *tree("m", "e")]) + f"""
+SELECT doc_id, leaf, n.d AS subroot, m.d AS root, sha256(e.proof) AS proof_sha256, e.d AS folded_root, e.d = m.d AS verified
+FROM r JOIN e{levels} e USING (rid) JOIN n{levels} n ON r.g = n.g CROSS JOIN m{levels} m
+"""
+
+
 ORACLE_SQL = {"op1_suffix_dedup": _OP1, "op2_mixing": _OP2, "op4_decontamination": _OP4, "op5_warc": _OP5,
-              "op7_quality_rules": _OP7, "op8_ngram_join": _OP8}
+              "op7_quality_rules": _OP7, "op8_ngram_join": _OP8, "op11_vector_codes": _op11(), "op12_merkle": _op12()}

@@ -26,7 +26,8 @@ zeros to the least multiple that holds the longest; an empty vector is all
 zeros; with fewer than ENTRIES vectors the codebooks have as many entries;
 rows with equal ids stay apart, those first in the order of their vectors
 start the codebooks; components too large for 64-bit squares are worked on as
-unbounded integers, without pivots; errors beyond a long are null; an empty
+unbounded integers, without pivots; errors beyond a
+long are null, and so is their label's; an empty
 table gives an empty result; other columns are not read.
 """
 
@@ -260,8 +261,9 @@ def encode_vectors(rows: DataFrame, key: str = "vec_id", vector: str = "embeddin
 def with_label_error(codes: DataFrame, label: str = "label", into: str = "label_error") -> DataFrame:
     """The rows with the error summed over all rows of their label; null labels are one."""
     own = F.struct(F.col(label).alias("l"))
-    sums = codes.groupBy(own.alias("_own")).agg(F.sum(F.col("error").cast("decimal(38,0)")).alias("_sum"))
-    sums = sums.select("_own", F.col("_sum").try_cast("long").alias(into))
+    sums = codes.groupBy(own.alias("_own")).agg(
+        F.sum(F.col("error").cast("decimal(38,0)")).alias("_sum"), F.every(F.col("error").isNotNull()).alias("_whole"))
+    sums = sums.select("_own", F.when(F.col("_whole"), F.col("_sum").try_cast("long")).alias(into))
     out = codes.withColumn("_own", own)
     if sums.count() <= LABELS:
         return out.join(F.broadcast(sums), "_own").drop("_own")
