@@ -82,7 +82,7 @@ def test_neighbours():
 
 def test_worker_starts_anew(monkeypatch):
     monkeypatch.setattr(piece_codec, "KEPT_UNITS", 3)
-    monkeypatch.setattr(piece_codec, "KEPT_PAIRS", 3)
+    monkeypatch.setattr(piece_codec, "PAIR_SLOTS", 3)
     p = piece_codec.Pieces(PATH)
     for text in ("one two three four", "five six seven", "one two", ""):
         ids, stops = p.encode([text, text])

@@ -8,7 +8,8 @@ the longest piece at its position (found for all positions at once by an
 Aho-Corasick automaton of the reversed pieces), checks each piece against its
 neighbour, tries shorter pieces where they don't go together, and steps back
 where none does. A prefix has one encoding, so a position that has failed once
-has failed for good: a bitfield remembers it, and the work is linear.
+has failed for good: a bitfield remembers it, and the work is linear. Many
+units take their steps together, as numpy arrays.
 
 Characters that no piece holds become byte pieces. No piece goes on across a
 space that follows another character, nor across a newline (checked on the
@@ -34,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from transitlens.llm.aho_corasick import LongestMatch
 from transitlens.llm.scratch import ship_package
 from transitlens.llm.word_arrays import pieces as slices
 from transitlens.llm.worker_cache import held
@@ -41,7 +43,8 @@ from transitlens.llm.worker_cache import held
 SPACE = "▁"              # stands for a space in pieces
 KEPT_UNITS = 400_000     # units of which a worker keeps the ids; beyond, it starts anew
 KEPT_IDS = 4_000_000     # ids that it keeps
-KEPT_PAIRS = 1_000_000   # neighbours of which it keeps whether they go together
+PAIR_SLOTS = 1 << 21     # neighbours of which it keeps whether they go together
+PAIR_MULTIPLIER = 0x9E3779B97F4B
 PIECE_CHARS = 2 << 20    # characters of texts worked on at a time
 
 
@@ -49,7 +52,6 @@ class Pieces:
     """The vocabulary of a model's file, its merges and what a worker has seen."""
 
     def __init__(self, path: str):
-        import ahocorasick
         import sentencepiece
 
         m = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -71,19 +73,21 @@ class Pieces:
             own[c] = len(ids) + n
             self.text[len(ids) + n] = c
         self.lone = {i: self._byte_ids(t) for i, t in self.text.items() if i >= len(ids)}
-        self.size = {i: len(t) for t, i in own.items()}
-        self.shorter = {}        # the longest piece that starts a piece and isn't all of it
-        self.matcher = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        self.span = len(ids) + len(self.lone)     # numbers of pieces lie below
+        self.size = np.zeros(self.span, np.int64)
+        self.shorter = np.full(self.span, -1)     # the longest piece that starts a piece and isn't all of it
         for t, i in own.items():
-            self.matcher.add_word(t[::-1], i)
+            self.size[i] = len(t)
             self.shorter[i] = next((own[t[:k]] for k in range(len(t) - 1, 0, -1) if t[:k] in own), -1)
-        self.matcher.make_automaton()
+        self.longest_at = LongestMatch(own)
+        self.pair = np.full(PAIR_SLOTS, -1)       # neighbours seen, each at the slot of its hash
+        self.pair_fits = np.zeros(PAIR_SLOTS, bool)
         self.gap = next(c for c in map(chr, range(1, 0x110000)) if c not in chars)
         self.by_units = not any(SPACE in t.lstrip(SPACE) or "\n" in t for t in own)
-        self.pairs: dict[tuple[int, int], bool] = {}
         self.surface = [b" \xe2\x81\x87 " if m.is_unknown(i) else b"" if m.is_control(i) else
                         bytes([int(m.id_to_piece(i)[3:5], 16)]) if m.is_byte(i) else m.id_to_piece(i).replace(SPACE, " ").encode()
                         for i in ids]
+        self.surfaces = pa.array(self.surface, pa.large_binary())
         self.is_byte = np.array([m.is_byte(i) for i in ids])
         self.opens = np.array([not special[i] and m.id_to_piece(i)[:1] == SPACE for i in ids])
         self.forget()
@@ -112,70 +116,92 @@ class Pieces:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def together(self, last: int, token: int) -> bool:
-        """Whether two neighbours merge to themselves; of the first piece (``last`` -1), whether it does."""
-        ok = self.pairs.get((last, token))
-        if ok is None:
-            if len(self.pairs) >= KEPT_PAIRS:
-                self.pairs.clear()
-            b = self.text[token]
-            want = [b] if last < 0 else [self.text[last], b]
-            ok = self.pairs[last, token] = self.remerge("".join(want)) == want
-        return ok
-
-    def backtrack(self, a: int, e: int, longest: list[int]) -> list[int]:
-        """The pieces of the characters a to e - 1, all of which pieces hold."""
-        size, shorter, together, pairs = self.size, self.shorter, self.together, self.pairs
-        tokens: list[int] = []
-        failed = bytearray(((e - a) >> 3) + 1)
-        pos, token, last = a, longest[a], -1
-        while True:
-            while token >= 0:
-                k = pos + size[token] - a
-                if not failed[k >> 3] >> (k & 7) & 1:
-                    ok = pairs.get((last, token))
-                    if together(last, token) if ok is None else ok:
-                        break
-                token = shorter[token]
-            if token >= 0:
-                tokens.append(token)
-                pos += size[token]
-                if pos == e:
-                    return tokens
-                last, token = token, longest[pos]
-            else:
-                k = pos - a
-                failed[k >> 3] |= 1 << (k & 7)
-                back = tokens.pop()
-                pos -= size[back]
-                token, last = shorter[back], tokens[-1] if tokens else -1
-
-    def encode_units(self, units: list[str]) -> list[list[int]]:
-        """The ids of texts that start with nothing before them."""
-        joined = self.gap.join(units)
-        n = len(joined)
-        longest = [-1] * n
-        for end, i in self.matcher.iter(joined[::-1]):
-            if longest[n - 1 - end] < 0:     # of the matches at a place the automaton gives the longest first
-                longest[n - 1 - end] = i
-        out, at, lone = [], 0, self.lone
-        for u in units:
-            ids: list[int] = []
-            a, stop = at, at + len(u)
-            while a < stop:
-                if longest[a] < 0:
-                    ids += self._byte_ids(joined[a])
-                    a += 1
-                    continue
-                e = a + 1
-                while e < stop and longest[e] >= 0:
-                    e += 1
-                ids += self.backtrack(a, e, longest)
-                a = e
-            out.append([j for i in ids for j in lone.get(i, (i,))] if lone else ids)
-            at = stop + 1
+    def together(self, last: np.ndarray, token: np.ndarray) -> np.ndarray:
+        """Whether neighbours merge to themselves; of first pieces (``last`` -1), whether they do."""
+        key = (last + 1) * self.span + token
+        slot = (key * PAIR_MULTIPLIER & 0xFFFFFFFFFFFF) % PAIR_SLOTS
+        out, new = self.pair_fits[slot], self.pair[slot] != key
+        if new.any():
+            some, first, which = np.unique(key[new], return_index=True, return_inverse=True)
+            fits = np.zeros(len(some), bool)
+            for k, pair in enumerate(some.tolist()):
+                a, b = pair // self.span - 1, pair % self.span
+                want = [self.text[b]] if a < 0 else [self.text[a], self.text[b]]
+                fits[k] = self.remerge("".join(want)) == want
+            out[new] = fits[which]
+            at = slot[new][first]
+            self.pair[at], self.pair_fits[at] = some, fits
         return out
 
+    def walk(self, start: np.ndarray, size: np.ndarray, longest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pieces of many stretches of a text, all of whose characters pieces hold: their places and numbers.
+
+        All stretches take a step at a time. A stretch has a place, a piece to
+        try there and a bitfield of the places that failed; the piece that ends
+        at a place is noted, which is all that a step back needs.
+        """
+        ending = np.full(len(longest) + 1, -1)
+        words = int(size.max(initial=0) // 64) + 1
+        failed = np.zeros((len(start), words), np.uint64)
+        active, pos, token = np.arange(len(start)), np.zeros(len(start), np.int64), longest[start]
+        while len(active):
+            there = start[active] + pos
+            tried = token >= 0
+            stuck = active[~tried], pos[~tried]
+            np.bitwise_or.at(failed, (stuck[0], stuck[1] >> 6), np.uint64(1) << (stuck[1] & 63).astype(np.uint64))
+            last = np.where(pos > 0, ending[there], -1)
+            end = pos + np.where(tried, self.size[token], 0)
+            fits = tried & (failed[active, end >> 6] >> (end & 63).astype(np.uint64) & np.uint64(1) == 0)
+            fits[fits] = self.together(last[fits], token[fits])
+            ending[start[active][fits] + end[fits]] = token[fits]
+            back = np.where(tried, token, last)                       # what a shorter piece takes the place of
+            pos = np.where(fits, end, np.where(tried, pos, pos - self.size[back]))
+            go = ~fits | (end < size[active])
+            token = np.where(fits, longest[np.minimum(start[active] + pos, len(longest) - 1)], self.shorter[back])
+            active, pos, token = active[go], pos[go], token[go]
+        places, tokens, left, at = [], [], start, start + size
+        while len(at):
+            t = ending[at]
+            at = at - self.size[t]
+            places.append(at)
+            tokens.append(t)
+            left, at = left[at > left], at[at > left]
+        return np.concatenate([np.zeros(0, np.int64), *places]), np.concatenate([np.zeros(0, np.int64), *tokens])
+
+    def encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts that start with nothing before them, one after the other, and how many each has."""
+        text = self.gap.join(units)
+        sizes = np.fromiter(map(len, units), np.int64, len(units))
+        stops = np.cumsum(sizes + 1) - 1
+        longest = self.longest_at(text)
+        outside = np.zeros(len(text) + 1, bool)
+        outside[stops] = True
+        held_ = np.concatenate([[False], (longest >= 0) & ~outside[:-1], [False]])
+        edges = np.flatnonzero(np.diff(held_.astype(np.int8)))
+        start, size = edges[::2], edges[1::2] - edges[::2]
+        places, tokens = [], []
+        for some in (size <= 63, size > 63):       # few stretches are long: their bitfields have more words
+            p, t = self.walk(start[some], size[some], longest)
+            places.append(p)
+            tokens.append(t)
+        at = np.concatenate(places)
+        token = np.full(len(text), -1)
+        token[at] = np.concatenate(tokens)
+        # pieces count one, characters that no piece holds as many as their bytes
+        count = (token >= 0).astype(np.int64)
+        odd = {p: self._byte_ids(text[p]) for p in np.flatnonzero(~held_[1:-1] & ~outside[:-1]).tolist()}
+        odd |= {p: self.lone[token[p]] for p in np.flatnonzero(token >= self.span - len(self.lone)).tolist()} if self.lone else {}
+        for p, ids in odd.items():
+            count[p] = len(ids)
+        before = np.concatenate([[0], np.cumsum(count)])
+        out = np.empty(before[-1], np.int64)
+        plain = np.flatnonzero(token >= 0)
+        out[before[plain]] = token[plain]
+        for p, ids in odd.items():
+            out[before[p]:before[p] + len(ids)] = ids
+        ends = before[stops]
+        return out, np.diff(ends, prepend=0)
+
     def units_of(self, text: str) -> list[str]:
         """Keys of a text's units: a key that starts with a newline or a space mark is the unit, to others belongs a mark."""
         if not self.by_units:
@@ -196,17 +222,14 @@ class Pieces:
             stops[i] = len(keys)
         if len(self.unit) > KEPT_UNITS or len(self.flat) > KEPT_IDS:
             self.forget()
-        at = list(map(self.unit.get, keys))
-        new = list({k: None for k, i in zip(keys, at) if i is None})
+        new = list(set(keys).difference(self.unit))
         if new:
-            found = self.encode_units([k if k[:1] in ("\n", SPACE) and k else SPACE + k for k in new])
-            for k, ids in zip(new, found):
-                self.unit[k] = len(self.start)
-                self.start.append(len(self.flat))
-                self.count.append(len(ids))
-                self.flat.extend(ids)
-            at = list(map(self.unit.get, keys))
-        which = np.array(at, np.int64)
+            found, counts = self.encode_units([k if k[:1] in ("\n", SPACE) and k else SPACE + k for k in new])
+            self.unit.update(zip(new, range(len(self.start), len(self.start) + len(new))))
+            self.start.frombytes((len(self.flat) + np.cumsum(counts) - counts).astype(np.int64).tobytes())
+            self.count.frombytes(counts.astype(np.int32).tobytes())
+            self.flat.frombytes(found.astype(np.int32).tobytes())
+        which = np.fromiter(map(self.unit.__getitem__, keys), np.int64, len(keys))
         start, count = np.array(self.start, np.int64)[which], np.array(self.count, np.int64)[which]
         before = np.concatenate([[0], np.cumsum(count)])
         ids = np.array(self.flat, np.int32)[np.repeat(start - before[:-1], count) + np.arange(before[-1])]
@@ -245,16 +268,16 @@ class Pieces:
         """The texts of lists of ids."""
         if len(ids) and not 0 <= ids.min() <= ids.max() < len(self.surface):
             raise ValueError("an id is outside the vocabulary")
-        sizes = np.array([len(s) for s in self.surface], np.int64)[ids]
-        data = b"".join(map(self.surface.__getitem__, ids.tolist()))
-        place = np.concatenate([[0], np.cumsum(sizes)])
+        taken = self.surfaces.take(pa.array(ids))
+        place = np.frombuffer(taken.buffers()[1], np.int64)[:len(ids) + 1] if len(ids) else np.zeros(1, np.int64)
+        data, sizes = taken.buffers()[2] or b"", np.diff(place)
         out, a = [], 0
         for stop in stops.tolist():
             first = a
             while first < stop and not sizes[first]:
                 first += 1
             try:
-                text = data[place[a]:place[stop]].decode()
+                text = str(data[place[a]:place[stop]], "utf-8")
                 out.append(text[1:] if first < stop and self.opens[ids[first]] else text)
             except UnicodeDecodeError:
                 out.append(self.decode_slowly(ids[a:stop].tolist()))
