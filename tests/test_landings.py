@@ -40,21 +40,21 @@ C = [_scan("c1", "C", "Delhi", "PICKED_UP", "2026-04-05 03:00:00"), _scan("c2",
 
 
 def _stays(spark, lake):
-    return sorted(r.event_id for r in spark.read.parquet(f"{lake}/silver/stays").collect())
+    return sorted(r.event_id for r in daily.tables(spark, lake)[0].read().collect())
 
 
 def test_two_landings(spark, tmp_dir):
     """A journey over two days is rebuilt whole, other journeys' stays of the same dates stay, reruns change nothing."""
     raw, lake = f"{tmp_dir}/raw", f"{tmp_dir}/lake"
     _land(spark, raw, "2026-04-05", ["A", "C"], A + C)
-    daily.run_daily(spark, raw, lake, "2026-04-05", json_multiline=False)
+    daily.run_daily(spark, raw, lake, "2026-04-05")
     assert _stays(spark, lake) == ["a1", "c1"]
     _land(spark, raw, "2026-04-07", ["B"], B + A_LATER + A[:1])
-    daily.run_daily(spark, raw, lake, "2026-04-07", json_multiline=False)
+    daily.run_daily(spark, raw, lake, "2026-04-07")
     whole = ["a1", "a3", "a5", "b1", "c1"]
     assert _stays(spark, lake) == whole
     for ds in ("2026-04-05", "2026-04-07", "2026-04-05"):
-        daily.run_daily(spark, raw, lake, ds, json_multiline=False)
+        daily.run_daily(spark, raw, lake, ds)
         assert _stays(spark, lake) == whole
     assert not os.path.exists(f"{lake}/_work/2026-04-05")
 
@@ -62,10 +62,10 @@ def test_two_landings(spark, tmp_dir):
 def test_landing_replaced_by_a_smaller_one(spark, tmp_dir):
     raw, lake = f"{tmp_dir}/raw", f"{tmp_dir}/lake"
     _land(spark, raw, "2026-04-05", ["A", "B"], A + B)
-    daily.run_daily(spark, f"{raw}/2026-04-05", lake, "2026-04-05", json_multiline=False)
+    daily.run_daily(spark, f"{raw}/2026-04-05", lake, "2026-04-05")
     assert _stays(spark, lake) == ["a1", "b1"]
     _land(spark, f"{raw}/again", "2026-04-05", ["A"], A)
-    daily.run_daily(spark, f"{raw}/again", lake, "2026-04-05", json_multiline=False)
+    daily.run_daily(spark, f"{raw}/again", lake, "2026-04-05")
     assert _stays(spark, lake) == ["a1"]
     assert not os.path.exists(f"{lake}/silver/stays/timestamp_date=2026-04-05")
 
@@ -74,13 +74,13 @@ def test_quarantine_of_the_date_that_ran(spark, tmp_dir):
     raw, lake = f"{tmp_dir}/raw", f"{tmp_dir}/lake"
     broken = _scan("a9", "A", "Mumbai", "ARRIVED", "not a time")
     _land(spark, raw, "2026-04-05", ["A"], [*A, broken])
-    out = daily.run_daily(spark, raw, lake, "2026-04-05", json_multiline=False, count_rejects=True)
+    out = daily.run_daily(spark, raw, lake, "2026-04-05", count_rejects=True)
     assert out["rejected"] == {"shipment_master": 0, "hub_master": 0, "checkpoint_scan_events": 1}
     row = spark.read.parquet(f"{lake}/quarantine/checkpoint_scan_events").first()
     assert (row.event_id, row._reject_reason) == ("a9", "scan_timestamp")
     assert _stays(spark, lake) == ["a1"]
     _land(spark, raw, "2026-04-07", ["B"], B)
-    daily.run_daily(spark, raw, lake, "2026-04-07", json_multiline=False)
+    daily.run_daily(spark, raw, lake, "2026-04-07")
     assert daily.rejected_counts(spark, lake, "2026-04-05")["checkpoint_scan_events"] == 1
     assert daily.rejected_counts(spark, lake, "2026-04-07")["checkpoint_scan_events"] == 0
 
@@ -116,7 +116,7 @@ def test_json_keys_in_any_case_and_broken_records(spark, tmp_dir):
     assert [(r.event_id, r.shipment_id, r._rejected) for r in df.collect()] == [("e1", "S", False), ("7", None, False)]
     with open(f"{tmp_dir}/b.json", "w") as f:
         f.write('{"event_id": "e1"}\nno json\n\n{"Event_ID": "e2"}\n')
-    df = RD.enforce_schema(RD.read_raw(spark, f"{tmp_dir}/b.json", "json", schemas.SCAN_EVENTS, multiline=False), schemas.SCAN_EVENTS)
+    df = RD.enforce_schema(RD.read_raw(spark, f"{tmp_dir}/b.json", "json", schemas.SCAN_EVENTS), schemas.SCAN_EVENTS)
     assert sorted((r.event_id or "", r._reject_reason) for r in df.collect()) == [("", "_corrupt_record"), ("e1", None), ("e2", None)]
 
 

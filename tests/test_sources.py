@@ -54,7 +54,7 @@ def test_multiline_json_array_and_json_lines(spark, tmp_dir):
     lines = os.path.join(tmp_dir, "b", "checkpoint_scan_events.json")
     write_text(lines, "\n".join(json.dumps(r) for r in recs))
     a = RD.enforce_schema(RD.read_raw(spark, arr, "json", schemas.SCAN_EVENTS), schemas.SCAN_EVENTS)
-    b = RD.enforce_schema(RD.read_raw(spark, lines, "json", schemas.SCAN_EVENTS, multiline=False),
+    b = RD.enforce_schema(RD.read_raw(spark, lines, "json", schemas.SCAN_EVENTS),
                           schemas.SCAN_EVENTS)
     cols = [f.name for f in schemas.SCAN_EVENTS.fields]
     assert sorted(a.select(cols).collect()) == sorted(b.select(cols).collect())
@@ -151,9 +151,9 @@ def test_run_daily_from_raw_files(spark, tmp_dir):
     fx.hubs.write.option("header", "true").csv(f"{raw}/hub_master")
     as_text(fx.scans).write.json(f"{raw}/checkpoint_scan_events")
     lake = os.path.join(tmp_dir, "lake")
-    out = run_daily(spark, raw, lake, "2026-05-02", json_multiline=False, count_rejects=True)
+    out = run_daily(spark, raw, lake, "2026-05-02", count_rejects=True)
     assert out["rejected"] == {"shipment_master": 0, "hub_master": 0, "checkpoint_scan_events": 0}
-    again = run_daily(spark, raw, lake, "2026-05-02", json_multiline=False)   # retry: same result
+    again = run_daily(spark, raw, lake, "2026-05-02")   # retry: same result
     assert again["gold"].keys() == out["gold"].keys()
     bronze_rows = spark.read.parquet(f"{lake}/bronze/checkpoint_scan_events").count()
     assert bronze_rows == fx.scans.count()

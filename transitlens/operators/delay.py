@@ -50,8 +50,17 @@ def hub_day_gold(silver: DataFrame, min_hrs: int = K.GOLD_DELAY_MIN_HRS) -> Data
 
 def total_time_by_hub(silver: DataFrame, min_hrs: int = K.GOLD_DELAY_MIN_HRS) -> DataFrame:
     """A4: hub-day rollup + bottleneck score + day name (the TOTAL_TIME_BY_HUB view)."""
-    agg = silver.groupBy("hub_name", "timestamp_date").agg(*_delay_measures(min_hrs))
-    return _with_avg_and_score(agg).withColumn("day_of_week", day_name("timestamp_date"))
+    return total_time_of(silver.groupBy("hub_name", "timestamp_date").agg(*_delay_measures(min_hrs)))
+
+
+def total_time_of(sums: DataFrame) -> DataFrame:
+    """A4 from the measures of each (hub, date)."""
+    return _with_avg_and_score(sums).withColumn("day_of_week", day_name("timestamp_date"))
+
+
+def delay_sums(silver: DataFrame, key: str, min_hrs: int = K.GOLD_DELAY_MIN_HRS) -> DataFrame:
+    """A3-A5 by date: the delay measures of each (key, scan date); they add up over dates."""
+    return silver.groupBy(key, "timestamp_date").agg(*_delay_measures(min_hrs))
 
 
 def carrier_delay(silver: DataFrame, grain: str = "overall",
@@ -68,8 +77,18 @@ def carrier_delay(silver: DataFrame, grain: str = "overall",
         keys, part = ["carrier_name", "timestamp_date"], ["timestamp_date"]
     else:
         raise ValueError(f"grain must be 'overall' or 'daily', got {grain!r}")
-    agg = _with_avg_and_score(silver.groupBy(*keys).agg(*_delay_measures(min_hrs)))
-    if grain == "daily":
+    return _ranked_carriers(silver.groupBy(*keys).agg(*_delay_measures(min_hrs)), part, null_scores)
+
+
+def carrier_delay_of(sums: DataFrame, null_scores: str = "last") -> DataFrame:
+    """A5 + W5 overall, from the measures of each (carrier, date)."""
+    measures = ["total_shipment_of_day", "total_delay_shipments_of_day", "total_delay_hrs_of_day"]
+    return _ranked_carriers(sums.groupBy("carrier_name").agg(*[F.sum(m).alias(m) for m in measures]), ["carrier_name"], null_scores)
+
+
+def _ranked_carriers(sums: DataFrame, part: list[str], null_scores: str) -> DataFrame:
+    agg = _with_avg_and_score(sums)
+    if "timestamp_date" in part:
         agg = agg.withColumn("day_of_week", day_name("timestamp_date"))
     return rank_by(agg, part, "bottleneck_score", null_scores, out="rnk")
 
@@ -139,12 +158,28 @@ def hub_bottleneck_ranking(stays: DataFrame) -> DataFrame:
     delay = max(avg dwell - expected, 0) in hours (2 decimals);
     score = delay x stays delayed by more than 1 h.
     """
-    over_sec = K.NORMAL_MAX_HRS * 3600
-    agg = (stays.groupBy("hub_name")
-                .agg(F.sum("duration_seconds").alias("_dwell_sec"),
-                     F.count("duration_seconds").alias("stays"),
-                     F.max("expected_dwell_hrs").alias("expected_dwell_hrs"),
-                     F.count(F.when(F.col("delay_seconds") > over_sec, True)).alias("delayed_stays")))
+    return _bottlenecks(stays.groupBy("hub_name").agg(*_dwell_measures()))
+
+
+def dwell_sums(stays: DataFrame) -> DataFrame:
+    """A10 by date: dwell measures of each (hub, scan date); they add up over dates, the expected dwell by its maximum."""
+    return stays.groupBy("hub_name", "timestamp_date").agg(*_dwell_measures())
+
+
+def hub_bottleneck_of(sums: DataFrame) -> DataFrame:
+    """A10 from the measures of each (hub, date)."""
+    return _bottlenecks(sums.groupBy("hub_name").agg(
+        F.sum("_dwell_sec").alias("_dwell_sec"), F.sum("stays").alias("stays"),
+        F.max("expected_dwell_hrs").alias("expected_dwell_hrs"), F.sum("delayed_stays").alias("delayed_stays")))
+
+
+def _dwell_measures() -> list:
+    return [F.sum("duration_seconds").alias("_dwell_sec"), F.count("duration_seconds").alias("stays"),
+            F.max("expected_dwell_hrs").alias("expected_dwell_hrs"),
+            F.count(F.when(F.col("delay_seconds") > K.NORMAL_MAX_HRS * 3600, True)).alias("delayed_stays")]
+
+
+def _bottlenecks(agg: DataFrame) -> DataFrame:
     avg_cents = round_div_int(F.col("_dwell_sec") * 100, F.col("stays") * 3600)
     delay_cents = F.greatest(avg_cents - F.col("expected_dwell_hrs").cast("bigint") * 100, F.lit(0))
     return (agg.withColumn("avg_dwell_hrs", from_cents(avg_cents))
@@ -156,4 +191,5 @@ def hub_bottleneck_ranking(stays: DataFrame) -> DataFrame:
 __all__ = [
     "with_total_time", "hub_day_gold", "total_time_by_hub", "carrier_delay", "worst_carrier",
     "hub_day_averages", "worst_day_each_hub", "worst_hub_days", "hub_bottleneck_ranking",
+    "delay_sums", "dwell_sums", "total_time_of", "carrier_delay_of", "hub_bottleneck_of",
 ]

@@ -9,7 +9,7 @@ keeps the clustering for the gold windows that follow.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +17,7 @@ from transitlens import constants as K
 from transitlens.functions.classify import delay_category, is_stay_pair
 from transitlens.functions.numeric import ratio2
 from transitlens.functions.temporal import parse_ts, seconds_between
+from transitlens.operators.dedup import dedup
 from transitlens.sources.reference import bounded_broadcast, estimated_bytes
 
 SHIPMENT_COLUMNS = [
@@ -93,8 +94,33 @@ def hub_dim(hubs: DataFrame) -> DataFrame:
                        F.col("expected_dwell_hrs").cast("int").alias("expected_dwell_hrs"))
 
 
+def hub_versions(hubs: DataFrame, landed: str = "ingest_date", newest_by: str = "file_modification_time") -> DataFrame:
+    """The hub masters of all landing dates as versions: one row per hub and date, valid from that date to the next.
+
+    Of several rows of a hub in a landing the newest file's counts. The first
+    version also holds for all time before it.
+    """
+    one = dedup(hubs.filter(F.col("hub_id").isNotNull()), ["hub_id", landed], newest_by)
+    w = Window.partitionBy("hub_id").orderBy(landed)
+    return one.withColumns({
+        "valid_from": F.when(F.lag(landed).over(w).isNull(), F.lit("0001-01-01").cast("date")).otherwise(F.col(landed)),
+        "valid_to": F.coalesce(F.lead(landed).over(w), F.lit("9999-12-31").cast("date"))})
+
+
 def with_expected_dwell(stays: DataFrame, hubs: DataFrame) -> DataFrame:
-    """J2 + P7: left join on hub_id; no hub (or NULL hub_id) -> expected dwell 0."""
+    """J2 + P7: left join on hub_id; no hub (or NULL hub_id) -> expected dwell 0.
+
+    With versions (see :func:`hub_versions`) a stay takes the one that is valid
+    on its scan date, so that a later hub master leaves earlier stays alone; a
+    stay without a date takes the first.
+    """
+    if "valid_from" in hubs.columns:
+        dim = hubs.select(F.col("hub_name").alias("primary_hub"), F.col("hub_id").alias("_hub"),
+                          F.col("expected_dwell_hrs").cast("int").alias("expected_dwell_hrs"), "valid_from", "valid_to")
+        day = F.coalesce("timestamp_date", F.lit("0001-01-01").cast("date"))
+        on = (F.col("hub_id") == F.col("_hub")) & (day >= F.col("valid_from")) & (day < F.col("valid_to"))
+        return (stays.join(bounded_broadcast(dim), on, "left").drop("_hub", "valid_from", "valid_to")
+                     .withColumn("expected_dwell_hrs", F.coalesce("expected_dwell_hrs", F.lit(0))))
     return (stays.join(bounded_broadcast(hub_dim(hubs)), "hub_id", "left")
                  .withColumn("expected_dwell_hrs", F.coalesce("expected_dwell_hrs", F.lit(0))))
 

@@ -223,7 +223,7 @@ def q_daily_run_worst_routes(spark, sf_dir):
         as_text(fx.shipments).write.mode("overwrite").option("header", "true").csv(f"{raw}/shipment_master")
         fx.hubs.write.mode("overwrite").option("header", "true").csv(f"{raw}/hub_master")
         as_text(fx.scans).write.mode("overwrite").json(f"{raw}/checkpoint_scan_events")
-        daily.run_daily(spark, raw, f"{root}/lake", "2026-05-02", json_multiline=False)
+        daily.run_daily(spark, raw, f"{root}/lake", "2026-05-02")
     return spark.read.parquet(gold)
 
 
@@ -300,7 +300,7 @@ def _two_landings(spark, sf_dir):
             ship.write.mode("overwrite").option("header", "true").csv(f"{raw}/shipment_master")
             fx.hubs.write.mode("overwrite").option("header", "true").csv(f"{raw}/hub_master")
             scan.toDF(*[case(c) for c in scan.columns]).write.mode("overwrite").json(f"{raw}/checkpoint_scan_events")
-            daily.run_daily(spark, f"{root}/raw", lake, ds, json_multiline=False)
+            daily.run_daily(spark, f"{root}/raw", lake, ds)
         spark.range(1).write.mode("overwrite").parquet(f"{root}/done")
     return lake
 
@@ -312,11 +312,11 @@ def q_daily_run_two_landings(spark, sf_dir):
 
 def q_daily_run_rejects(spark, sf_dir):
     """Quarantined rows of the second landing by dataset and reason."""
-    from transitlens.sources.sinks import _listed
+    from transitlens.sources.files import listed
 
     root, out = f"{_two_landings(spark, sf_dir)}/quarantine", None
     for name in ("shipment_master", "hub_master", "checkpoint_scan_events"):
-        if _listed(spark, f"{root}/{name}"):
+        if listed(spark, f"{root}/{name}"):
             one = spark.read.parquet(f"{root}/{name}").filter("ingest_date = date'2026-05-02'") \
                 .groupBy(F.lit(name).alias("dataset"), F.col("_reject_reason").alias("reason")).agg(F.count(F.lit(1)).alias("rejected"))
             out = one if out is None else out.union(one)
