@@ -164,7 +164,7 @@ def test_stream_counts_every_batch(spark, tmp_dir):
                                  max_files_per_trigger=1)
     finally:
         spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
-    assert got["batches"] > 3 and got["rows"] == spark.read.parquet(f"{tmp_dir}/t").count()
+    assert got["batches"] > 3 and got["rows"] == 12 == spark.read.parquet(f"{tmp_dir}/t").count()
 
 
 def test_all_distances_equal_an_independent_geodesic(spark):

@@ -8,6 +8,8 @@ measures, a few rows a date. Silver is read for the touched dates alone.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from transitlens.operators import dark as D
@@ -17,6 +19,8 @@ from transitlens.sources.files import names
 from transitlens.sources.journeys import DATE, NO_DATE, in_dates, remove_date
 from transitlens.sources.sinks import write_gold, write_silver
 
+JOBS = 4                 # Spark jobs at a time
+
 
 def measures(stays: DataFrame, dark: DataFrame) -> dict[str, DataFrame]:
     """The measures of each scan date, by table."""
@@ -48,8 +52,10 @@ def reports(by_date: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 def _replace_dates(spark: SparkSession, df: DataFrame, path: str, dates: list) -> DataFrame:
     """The table's rows of ``dates`` become ``df``; a date has one file."""
-    write_silver(df.repartition(DATE), path)
-    fresh = {r[DATE] for r in df.select(DATE).distinct().collect()}
+    rows = df.persist()
+    write_silver(rows.repartition(DATE), path)
+    fresh = {r[DATE] for r in rows.select(DATE).distinct().collect()}
+    rows.unpersist()
     for d in dates:
         if d not in fresh:
             remove_date(spark, path, d)
@@ -59,14 +65,15 @@ def _replace_dates(spark: SparkSession, df: DataFrame, path: str, dates: list) -
 
 def refresh(spark: SparkSession, lake: str, stays: DataFrame, dark: DataFrame, dates: list) -> dict[str, str]:
     """Bring the gold tables up to date for scan dates whose stays or dark periods may have changed. Their paths."""
-    base, own, out = f"{lake}/gold", f"{lake}/gold_by_date", {}
+    base, own = f"{lake}/gold", f"{lake}/gold_by_date"
     stays, dark = stays.filter(in_dates(dates)), dark.filter(in_dates(dates))
-    stored = {n: _replace_dates(spark, df, f"{own}/{n}", dates) for n, df in measures(stays, dark).items()}
-    _replace_dates(spark, S.sla_status(stays), f"{base}/sla_status", dates)
-    out["sla_status"] = f"{base}/sla_status"
-    for name, df in reports(stored).items():
-        out[name] = write_gold(df, f"{base}/{name}")
-    return out
+    with ThreadPoolExecutor(JOBS) as pool:      # the tables don't depend on each other
+        status = pool.submit(_replace_dates, spark, S.sla_status(stays), f"{base}/sla_status", dates)
+        stored = {n: pool.submit(_replace_dates, spark, df, f"{own}/{n}", dates) for n, df in measures(stays, dark).items()}
+        stored = {n: job.result() for n, job in stored.items()}
+        out = {n: pool.submit(write_gold, df, f"{base}/{n}") for n, df in reports(stored).items()}
+        status.result()
+        return {"sla_status": f"{base}/sla_status", **{n: job.result() for n, job in out.items()}}
 
 
 def rebuild(spark: SparkSession, lake: str, stays: DataFrame, dark: DataFrame, path: str) -> dict[str, str]:

@@ -19,6 +19,10 @@ from transitlens.sources import fixtures
 from transitlens.sources import reference as R
 
 
+# Journeys' tables are stored in buckets of the journey, in the order of the windows over them.
+CLUSTER = ("shipment_id", ["shipment_id", "scan_timestamp", "event_id"])
+
+
 class Silver(NamedTuple):
     shipments: DataFrame | None   # None when the stays were read from the store
     scans: DataFrame | None
@@ -71,7 +75,8 @@ def silver_from_tables(spark: SparkSession, sf_dir: str, dedupe: bool = False,
     if not materialized:
         return build()
     key = silver_key(spark, sf_dir, dedupe, with_duplicates, hot_top)
-    stays = store.materialize(spark, lambda: build().stays, "silver_stays", key)
+    # hot journeys would make a bucket too large: with them the stays are not clustered
+    stays = store.materialize(spark, lambda: build().stays, "silver_stays", key, None if hot_top else CLUSTER)
     return Silver(None, None, stays, R.hub_master(spark), R.city_distances(spark))
 
 
@@ -132,7 +137,7 @@ def dark_from_tables(spark: SparkSession, sf_dir: str, leg: str = "inbound") ->
     if not store.enabled(spark):
         return D.dark_periods(sv.stays, sv.distances, leg=leg)
     key = silver_key(spark, sf_dir) + f"-{leg}"
-    return store.materialize(spark, lambda: D.dark_periods(sv.stays, sv.distances, leg=leg), "dark_periods", key)
+    return store.materialize(spark, lambda: D.dark_periods(sv.stays, sv.distances, leg=leg), "dark_periods", key, CLUSTER)
 
 
 def as_text(df: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from transitlens.session import checkpoint_dir
+from transitlens.sources import clustered
 
 _LOCK = threading.RLock()
 CONF_ENABLED = "spark.transitlens.materialize"
@@ -73,12 +74,14 @@ def fingerprint(spark: SparkSession, paths: list[str], *extra: str) -> str:
 
 
 def materialize(spark: SparkSession, build, layer: str, key: str,
-                partition_by: list[str] | None = None) -> DataFrame:
+                cluster: tuple[str, list[str]] | None = None) -> DataFrame:
     """Write ``build()`` once to <checkpoint>/transitlens/<layer>/<key>; read it back.
 
     ``build`` is a DataFrame or a zero-argument callable returning one; the
     callable is only invoked (and its plan only constructed) when the layer
-    is not stored yet.
+    is not stored yet. ``cluster`` (key, sort columns) stores it in hash
+    buckets of the key, so that joins and windows over the key read it without
+    an exchange.
     """
     root = f"{checkpoint_dir(spark).rstrip('/')}/transitlens/{namespace(spark)}/{layer}/{key}"
     with _LOCK:
@@ -86,10 +89,10 @@ def materialize(spark: SparkSession, build, layer: str, key: str,
         if not fs.exists(_fs(spark, root + "/_SUCCESS")[1]):
             df = build() if callable(build) else build
             tmp = f"{root}.tmp-{uuid.uuid4().hex[:8]}"
-            w = df.write.mode("overwrite").option("compression", "snappy")
-            if partition_by:
-                w = w.partitionBy(*partition_by)
-            w.parquet(tmp)
+            if cluster:
+                clustered.write(df, tmp, *cluster)
+            else:
+                df.write.mode("overwrite").option("compression", "snappy").parquet(tmp)
             tfs, tp = _fs(spark, tmp)
             fs.mkdirs(p.getParent())
             # a table is moved as a whole and never replaced: if another thread or driver was first, its table holds
@@ -97,4 +100,4 @@ def materialize(spark: SparkSession, build, layer: str, key: str,
                 tfs.delete(tp, True)
                 if not fs.exists(_fs(spark, root + "/_SUCCESS")[1]):
                     raise OSError(f"could not move {tmp} to {root}")
-    return spark.read.parquet(root)
+    return clustered.read(spark, root) if cluster else spark.read.parquet(root)
