@@ -342,6 +342,64 @@ def q_incremental_load_counts(spark, sf_dir):
     return spark.createDataFrame(out, "run int, loaded long")
 
 
+def q_intake_worst_routes(spark, sf_dir):
+    """Worst routes of a lake that file streams feed: shipments, then arrivals, then departures as JSON.
+
+    Every batch rebuilds the journeys it names, so the last state equals that
+    of one daily run over all files.
+    """
+    import uuid
+
+    from transitlens.plans import daily
+    from transitlens.session import checkpoint_dir
+    from transitlens.streaming.ingest import feed_lake
+
+    root = f"{checkpoint_dir(spark).rstrip('/')}/transitlens/fed/{uuid.uuid4().hex}"
+    fx = bronze_from_tables(spark, sf_dir)
+    hubs = fx.hubs.withColumn("file_modification_time", F.lit("2026-05-01 00:00:00").cast("timestamp"))
+    daily.land_rows(spark, hubs, f"{root}/lake", "hub_master", "2026-05-01")
+    scans, arrival = as_text(fx.scans), F.col("event_id").endswith("A")
+    as_text(fx.shipments).write.parquet(f"{root}/in/shipment_master")
+    feed_lake(spark, f"{root}/in/shipment_master", f"{root}/lake", "shipment_master", f"{root}/ck/shipments")
+    for part, rows in enumerate((scans.filter(arrival), scans.filter(~arrival))):
+        rows.write.json(f"{root}/in/scans/{part}")
+        feed_lake(spark, f"{root}/in/scans", f"{root}/lake", "checkpoint_scan_events", f"{root}/ck/scans", "json", "*.json")
+    return spark.read.parquet(f"{root}/lake/gold/worst_routes")
+
+
+def q_json_layouts(spark, sf_dir):
+    """Rows and broken records of JSON landings in three layouts: lines, array elements, pretty-printed objects."""
+    import uuid
+
+    from transitlens import schemas
+    from transitlens.session import checkpoint_dir
+    from transitlens.sources.readers import enforce_schema, read_raw
+
+    root = f"{checkpoint_dir(spark).rstrip('/')}/transitlens/layouts/{uuid.uuid4().hex}"
+    scans, n = bronze_from_tables(spark, sf_dir).scans, _order_key()
+    record = F.to_json(F.struct(*scans.columns))
+    pretty = F.regexp_replace(F.regexp_replace(record, r',"', ',\n  "'), r"\}$", "\n}")
+    out = None
+    for k, (layout, text) in enumerate({"lines": record, "elements": F.concat(record, F.lit(",")), "pretty": pretty}.items()):
+        own = as_text(scans).filter(n % 3 == k).withColumn("value", text)
+        # a copy of every fiftieth order without the end of its last value
+        broken = own.filter(n % 50 == 0).withColumn("value", F.regexp_replace("value", r'"\s*\},?$', "}"))
+        own.unionByName(broken).select("value").write.text(f"{root}/{layout}")
+        typed = enforce_schema(read_raw(spark, f"{root}/{layout}", "json", schemas.SCAN_EVENTS), schemas.SCAN_EVENTS)
+        one = typed.groupBy(F.lit(layout).alias("layout")).agg(
+            F.count(F.when(~F.col("_rejected"), True)).alias("loaded"), F.count(F.when(F.col("_rejected"), True)).alias("rejected"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def q_published_views(spark, sf_dir):
+    """The worst-carrier view that a daily run publishes, over gold merged from two landings."""
+    from transitlens.plans.layers import persist_views
+
+    persist_views(spark, f"{_two_landings(spark, sf_dir)}/gold", "transitlens_gold")
+    return spark.table("transitlens_gold.worst_carrier")
+
+
 QUERIES: dict[str, Query] = {
     "shipment_zone_sla": q_shipment_zone_sla,
     "shipment_profile": q_shipment_profile,
@@ -382,4 +440,7 @@ QUERIES: dict[str, Query] = {
     "daily_run_two_landings": q_daily_run_two_landings,
     "daily_run_rejects": q_daily_run_rejects,
     "incremental_load_counts": q_incremental_load_counts,
+    "intake_worst_routes": q_intake_worst_routes,
+    "json_layouts": q_json_layouts,
+    "published_views": q_published_views,
 }

@@ -175,13 +175,18 @@ VIEWS = {
 
 
 def persist_views(spark: SparkSession, gold: str, database: str = "default") -> list[str]:
-    """Gold tables as external tables, and views over them, in the session's catalog."""
+    """Gold tables as external tables, and views over them, in a database of the session's catalog."""
+    from transitlens.sources.files import listed
     from transitlens.sources.sinks import register_table
 
-    tables = {}
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    base, sources = gold.rstrip("/"), {}
     for name in ("carrier_delay", "dark_periods"):
-        tables[name] = f"{database}.{name}"
-        register_table(spark, tables[name], f"{gold.rstrip('/')}/{name}")
+        sources[name] = f"{database}.{name}"
+        register_table(spark, sources[name], f"{base}/{name}")
+    if listed(spark, f"{base}/dark_periods_hot"):      # hot journeys lie beside the others
+        register_table(spark, f"{database}.dark_periods_hot", f"{base}/dark_periods_hot")
+        sources["dark_periods"] = f"(SELECT * FROM {database}.dark_periods UNION ALL SELECT * FROM {database}.dark_periods_hot)"
     for name, sql in VIEWS.items():
-        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {sql.format(**tables)}")
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {sql.format(**sources)}")
     return [f"{database}.{name}" for name in VIEWS]

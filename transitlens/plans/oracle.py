@@ -486,5 +486,11 @@ SELECT 1 AS run, count(*) FILTER (CAST(substr(shipment_id, 5) AS BIGINT) % 3 = 0
 UNION ALL SELECT 2, count(*) FILTER (CAST(substr(shipment_id, 5) AS BIGINT) % 3 <> 0) FROM scans
 UNION ALL SELECT 3, 0""")
     q["daily_run_worst_routes"] = q["worst_routes"]
+    q["intake_worst_routes"] = q["worst_routes"]
+    q["json_layouts"] = _with("""
+SELECT layout, count(*) AS loaded, count(*) FILTER (n % 50 = 0) AS rejected
+FROM (SELECT CAST(substr(shipment_id, 5) AS BIGINT) AS n FROM scans) JOIN (VALUES (0, 'lines'), (1, 'elements'), (2, 'pretty')) l(k, layout) ON n % 3 = k
+GROUP BY layout""")
+    q["published_views"] = q["carrier_delay"]
     q["worst_routes_hot_split"] = q["worst_routes"]
     return q
