@@ -192,7 +192,7 @@ def items(spark, rows):
 
 
 def test_contamination(spark, docs, rows, items):
-    out = decontaminate.find_benchmark(docs.drop("n_words"), spark.createDataFrame(items, "item_id long, text string"))
+    out = decontaminate.find_benchmark(docs.withColumns({"HITS": F.lit("x"), "item_ids": F.lit(1)}), spark.createDataFrame(items, "item_id long, text string"))
     mine = got(out, "doc_id", *decontaminate.hit_digest(out))
     assert mine == ordered(brute.contamination(pairs(rows), items))
 
@@ -200,7 +200,7 @@ def test_contamination(spark, docs, rows, items):
 def test_contamination_in_slices(spark, docs, rows, items, monkeypatch):
     monkeypatch.setattr(decontaminate, "SLICE_BYTES", 20)
     bench = spark.createDataFrame(items, "item_id long, text string")
-    out = decontaminate.find_benchmark(docs.drop("n_words"), bench)
+    out = decontaminate.find_benchmark(docs, bench)
     assert got(out, "doc_id", *decontaminate.hit_digest(out)) == ordered(brute.contamination(pairs(rows), items))
     clean = decontaminate.drop_contaminated(docs, bench)
     assert clean.columns == docs.columns
@@ -419,7 +419,7 @@ def test_empty_tables(spark, empty):
     bench = spark.createDataFrame([], "item_id long, text string")
     labels = spark.createDataFrame([], "doc_id long, quality int")
     for out in (suffix_dedup.remove_repeats(empty), mixing.mix(mixing.sized(empty)), mixing.mixed_documents(empty),
-                lm.score_texts(empty), decontaminate.find_benchmark(empty.drop("n_words"), bench), token_store.store_tokens(empty, BPE),
+                lm.score_texts(empty), decontaminate.find_benchmark(empty, bench), token_store.store_tokens(empty, BPE),
                 quality_rules.judge(empty.select("doc_id", "text")), ngram_join.near_duplicates(empty),
                 token_counts.count_tokens(empty, PIECES), quality_mil.score(empty, quality_mil.train(empty, labels))):
         assert out.count() == 0
@@ -451,3 +451,34 @@ def test_words_of_long_texts_in_pieces(monkeypatch):
     alone = np.concatenate([wa.words([t]).hashes() for t in texts])
     assert (alone == h).all()
     assert [whole.word(i) for i in (0, 1)] == [b"one", b"two"] and h[0] == h[-1]
+
+
+def test_fit_takes_one_row_of_a_repeated_id(spark, monkeypatch):
+    """The bound on the labelled documents is one on rows: a hot id brings one text."""
+    rows = [(i, f"text of document {i} " * 9) for i in range(1, 9)] + [(3, f"other {k}") for k in range(200)]
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, i % 2) for i in range(1, 9)], "doc_id long, quality int")
+    seen = []
+    real = quality_mil.Model.fit
+    monkeypatch.setattr(quality_mil.Model, "fit", lambda self, bags, target: (seen.append(len(target)), real(self, bags, target))[1])
+    quality_mil.train(docs.repartition(4), labels)
+    assert seen == [sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(1, 9))]
+
+
+def test_score_of_a_bag_by_hand():
+    """The forward pass, passage by passage, in plain Python."""
+    texts = [b"one two three. " * 40, b"", b"four | five # 6 " * 9]
+    bags, m = quality_mil.passages(texts), quality_mil.Model()
+    m.fitted = True
+    p = {k: v.astype(float) for k, v in m.p.items()}
+    for b, got_ in enumerate(m.score(bags)):
+        states, logits = [], []
+        for x in bags.x[bags.first[b]:bags.first[b + 1]]:
+            h = [math.tanh(sum(float(np.clip(x[i], -6, 6)) * p["We"][i, j] for i in range(len(x))) + p["be"][j]) for j in range(len(p["be"]))]
+            gate = [math.tanh(sum(h[i] * p["V"][i, g] for i in range(len(h)))) / (1 + math.exp(-sum(h[i] * p["U"][i, g] for i in range(len(h)))))
+                    for g in range(p["V"].shape[1])]
+            states.append(h)
+            logits.append(sum(gate[g] * p["w"][g, 0] for g in range(len(gate))))
+        top = [math.exp(v) for v in logits]
+        z = [sum(w * h[j] for w, h in zip(top, states)) / sum(top) for j in range(len(states[0]))]
+        want = 1 / (1 + math.exp(-(sum(z[j] * p["c"][j, 0] for j in range(len(z))) + p["d"][0])))
+        assert abs(got_ - want) < 1e-4

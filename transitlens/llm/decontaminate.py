@@ -16,7 +16,9 @@ Defined cases: null and empty texts have no words, no hits and no items, and
 a null or empty item has no pattern; an item id that occurs in several rows
 is one item with the patterns of all; a null item id stands as "null"; an
 empty benchmark or an empty table of documents gives no hits or no rows;
-columns of the documents pass through, whatever their names.
+columns of the documents pass through, but those named like a result (n_words,
+hits, item_ids, in any letter case), which the result replaces;
+``drop_contaminated`` keeps all columns.
 """
 
 from __future__ import annotations
@@ -136,6 +138,9 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+RESULTS = ("n_words", "hits", "item_ids")
+
+
 def _slices(items: DataFrame) -> Iterator[tuple[list[str], list[bytes]]]:
     """The benchmark in slices that are small enough to broadcast, one after the other."""
     ids, texts, held = [], [], 0
@@ -152,7 +157,7 @@ def _slices(items: DataFrame) -> Iterator[tuple[list[str], list[bytes]]]:
 
 
 def find_benchmark(docs: DataFrame, items: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
-    """``docs`` with n_words, hits (stretches of hit words) and item_ids (of the items that occur, sorted)."""
+    """``docs`` with n_words, hits (stretches of hit words) and item_ids (of the items that occur, sorted) for any columns of these names."""
     ship_package(docs.sparkSession)
     names, sc = docs.columns, docs.sparkSession.sparkContext
     at = names.index(text)
@@ -184,7 +189,7 @@ def find_benchmark(docs: DataFrame, items: DataFrame, text: str = "text", window
 
         d = d.mapInArrow(scan, T.StructType(fields + result))
     hits = F.transform("hits", lambda s: F.struct(s[0].alias("start"), s[1].alias("end")))
-    return d.select(*[F.col(f.name).alias(n) for f, n in zip(fields, names)],
+    return d.select(*[F.col(f.name).alias(n) for f, n in zip(fields, names) if n.lower() not in RESULTS],
                     "n_words", hits.alias("hits"), F.col("items").alias("item_ids"))
 
 

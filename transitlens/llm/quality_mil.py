@@ -10,7 +10,8 @@ document labels alone, on at most ``TRAIN_DOCS`` labelled documents of at most
 all documents, a few MB at a time, with the weights broadcast (about 25 kB).
 
 Defined cases: a null or empty text is a bag of one passage without words;
-several labels of a document count as their mean, null labels not at all;
+several labels of a document count as their mean, null labels not at all; of a
+repeated id the fit takes the smallest text;
 with no usable label all scores are 0.5; repeated rows are scored each; an
 empty table gives an empty result; a document's label, lang, source and id
 are never features; other columns are not read.
@@ -184,7 +185,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCS)
     # at most TRAIN_DOCS ids and numbers: small enough to broadcast by construction
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")) \
-        .filter(F.octet_length("text") <= TRAIN_BYTES).join(F.broadcast(chosen), "doc_id").select("doc_id", "target", "text")
+        .filter(F.octet_length("text") <= TRAIN_BYTES).join(F.broadcast(chosen), "doc_id") \
+        .groupBy("doc_id", "target").agg(F.min("text").alias("text"))     # of a repeated id one row, so the bound holds
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
