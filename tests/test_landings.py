@@ -14,6 +14,15 @@ from transitlens.sources import reference as R
 from transitlens.sources.sinks import by_date
 
 
+@pytest.fixture(scope="module", autouse=True)
+def few_partitions(spark):
+    """A few rows need no more tasks and buckets."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def _ship(sid):
     t = dt.datetime(2026, 4, 1)
     return (sid, "O" + sid, "C", "DHL", "Standard", "Delhi", "Pune", 1200.0, "Zone C", 1.0, t, 96, t + dt.timedelta(hours=96))
