@@ -106,7 +106,7 @@ def test_scan_sequence_of_hot_keys(spark):
 
 
 def test_one_hour_journey_split(spark):
-    """All rows in one bucket: correct, just not split."""
+    """All rows within two minutes, fewer than a segment holds."""
     start = dt.datetime(2026, 4, 1, 0, 0)
     rows = [(f"e{k:03d}", "HOT", CITIES[k % 6], None, "ARRIVED", start + dt.timedelta(seconds=k // 2), "SUCCESS", "minor") for k in range(200)]
     df = spark.createDataFrame(rows, schemas.SCAN_EVENTS)
@@ -114,3 +114,53 @@ def test_one_hour_journey_split(spark):
     plain = with_neighbors(df, *args).select("event_id", "n", "p")
     split = with_neighbors(df, *args, hot_key_frame(spark, "shipment_id", ["HOT"])).select("event_id", "n", "p")
     assert sorted(map(str, plain.collect())) == sorted(map(str, split.collect()))
+
+
+def one_instant(spark):
+    """A journey of 6,000 scans within one hour, a third at one instant, a third without a time, and a small journey."""
+    start = dt.datetime(2026, 4, 1, 9, 0)
+    when = [None, start + dt.timedelta(minutes=30), None]
+    rows = [(f"e{(k * 7919) % 6000:05d}", "HOT", CITIES[k % 6], None, "ARRIVED", start + dt.timedelta(milliseconds=k * 500) if k % 3 == 0 else when[k % 3],
+             "SUCCESS", "minor") for k in range(6000)]
+    rows += [(f"n{k}", "N", CITIES[k % 6], None, "ARRIVED", start + dt.timedelta(seconds=k), "SUCCESS", "minor") for k in range(5)]
+    return spark.createDataFrame(rows, schemas.SCAN_EVENTS).repartition(8)
+
+
+def test_segments_of_one_hour_are_even_and_ordered(spark):
+    """Segments follow the order, also among equal and missing times, and none holds much more than its share."""
+    from transitlens.operators.skew import with_segment
+
+    order = ["scan_timestamp", "event_id"]
+    df = one_instant(spark)
+    out = with_segment(df, "shipment_id", order, "seg", segment_rows=50)
+    got = [(r["scan_timestamp"] or dt.datetime.min, r["event_id"], r["seg"]) for r in out.filter("shipment_id = 'HOT'").collect()]
+    assert len(got) == 6000 and out.columns == [*df.columns, "seg"]
+    segs = [s for _, _, s in sorted(got)]
+    assert segs == sorted(segs)
+    sizes = [segs.count(s) for s in set(segs)]
+    assert len(sizes) > 80 and max(sizes) < 200          # more than FAN borders, both levels are used
+    assert {r["seg"] for r in out.filter("shipment_id = 'N'").collect()} == {0}
+
+
+def test_one_hour_journey_is_spread_and_equals_plain(spark):
+    from transitlens.operators.skew import with_sequence
+
+    df, hot = one_instant(spark), hot_key_frame(spark, "shipment_id", ["HOT"])
+    args = ("shipment_id", ["scan_timestamp", "event_id"], {"n": "hub_name", "nts": "scan_timestamp"}, {"p": "hub_name"})
+    cols = ["event_id", "n", "nts", "p"]
+    plain = with_neighbors(df, *args).select(*cols)
+    split = with_neighbors(df, *args, hot=hot, segment_rows=100).select(*cols)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, split.collect()))
+    seq = with_sequence(df, "shipment_id", ["scan_timestamp", "event_id"], "n").select("event_id", "n")
+    seq_split = with_sequence(df, "shipment_id", ["scan_timestamp", "event_id"], "n", hot, segment_rows=100).select("event_id", "n")
+    assert sorted(map(tuple, seq.collect())) == sorted(map(tuple, seq_split.collect()))
+
+
+def test_segments_of_nothing_and_of_repeated_rows(spark):
+    from transitlens.operators.skew import with_segment
+
+    order = ["scan_timestamp", "event_id"]
+    none = spark.createDataFrame([], schemas.SCAN_EVENTS)
+    assert with_segment(none, "shipment_id", order, "seg", segment_rows=10).collect() == []
+    same = spark.createDataFrame([("e", "HOT", "Agra", None, "ARRIVED", dt.datetime(2026, 4, 1), "SUCCESS", "minor")] * 500, schemas.SCAN_EVENTS)
+    assert {r["seg"] for r in with_segment(same, "shipment_id", order, "seg", segment_rows=10).collect()} == {1}

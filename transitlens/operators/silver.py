@@ -68,7 +68,7 @@ def shipment_scans(shipments: DataFrame, scans: DataFrame, hot: DataFrame | None
     return normal.unionByName(hot_part)
 
 
-def with_next_scan(df: DataFrame, hot: DataFrame | None = None, bucket_seconds: int = 3600) -> DataFrame:
+def with_next_scan(df: DataFrame, hot: DataFrame | None = None, bucket_seconds: int | None = None) -> DataFrame:
     """Next scan type/time, dwell seconds and hours, scan date and hour."""
     from transitlens.operators.skew import with_neighbors
 

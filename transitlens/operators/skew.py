@@ -6,27 +6,40 @@ space), so a single id may carry a large share of all scans. For such keys:
 
 * detection is a Bernoulli sample counted per key (partial aggregation); the
   returned list is bounded by ``1 / min_share`` keys;
-* their rows are windowed per (key, time bucket) instead of per key, so one
-  hot journey is spread over many tasks;
-* rows without a time form a bucket of their own before all others, as NULLs
-  come first in the plain window;
-* the rows at bucket edges get their neighbour from a segment table that
-  holds, per (key, bucket), only the first and last row (a few rows per
-  bucket, not per scan), stitched with a lead/lag over buckets.
-
-The result is identical to the plain window (``tests/test_skew.py`` checks
-it against the plain path on a journey with thousands of scans). Keys whose
-rows all fall into one bucket stay in one task: still correct, just not split.
+* their rows are windowed per (key, segment) instead of per key, so one hot
+  journey is spread over many tasks;
+* segments end at quantiles of the rows' own order, taken from a sample of
+  about ``SAMPLED`` rows a segment, so they are even however the scans lie in
+  time: a journey with all its scans in one hour, or at one instant, is split
+  by the columns that follow the time; rows without a time come first, as in
+  the plain window;
+* the rows at segment edges get their neighbour from a table that holds, per
+  (key, segment), only the first and last row (two rows per segment, not per
+  scan), stitched with a lead/lag over segments.
+
+Any borders give the plain window's result (``tests/test_skew.py`` checks it
+against the plain path), the sample only decides how even the segments are.
+The borders are checkpointed, so both branches of a plan and a task that is
+run again see the same ones. Rows equal in all columns of the order, which the
+plain window can't tell apart either, share a segment (de-duplicate first).
+A caller who knows how scans lie in time may name ``bucket_seconds`` instead;
+then no sample is taken.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from transitlens.session import checkpoint_dir
 from transitlens.sources.reference import bounded_broadcast, local_frame
 
+SEGMENT_ROWS = 1_000_000  # rows of a hot key that one task windows, about
+SAMPLED = 16              # sampled rows for each of its segments
+MAX_SEGMENTS = 4_096      # segments of all hot keys, which bounds the broadcast borders
+FAN = 64                  # borders that a row is compared with on each of two levels
+
 
 def detect_hot_keys(df: DataFrame, key: str, min_share: float = 0.01, fraction: float = 0.01,
                     seed: int = 17, top: int | None = None, min_sampled_rows: int = 100) -> list:
@@ -69,18 +82,65 @@ def _bucket(ts_col: str, seconds: int):
     return F.coalesce(F.floor(F.unix_timestamp(ts_col) / F.lit(seconds)), F.lit(-(2 ** 62)))
 
 
+def _place(order: list[str]) -> Column:
+    """The row's place in the order as one comparable value (NULLs first, as in the window)."""
+    return F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
+
+
+def segment_borders(rows: DataFrame, key: str, order: list[str], segment_rows: int = SEGMENT_ROWS, seed: int = 29) -> DataFrame:
+    """(key, _nb_borders): for each key of ``rows`` the ascending first places of its segments but the first.
+
+    One pass over the key and the order's columns. A key of fewer than about
+    ``segment_rows`` rows has no row here. Beyond MAX_SEGMENTS segments they
+    hold more rows each.
+    """
+    checkpoint_dir(rows.sparkSession)    # sets one in tests, where there is none
+    sample = rows.select(key, _place(order).alias("_at")).sample(fraction=min(1.0, SAMPLED / segment_rows), seed=seed)
+    sample = sample.withColumn("_rn", F.row_number().over(Window.partitionBy(key).orderBy("_at"))).checkpoint()
+    step = max(SAMPLED, -(-sample.count() // MAX_SEGMENTS))
+    return sample.filter(F.col("_rn") % step == 0).groupBy(key).agg(F.sort_array(F.collect_set("_at")).alias("_nb_borders")).checkpoint()
+
+
+def _not_after(borders: Column, order: list[str]) -> Column:
+    return F.size(F.filter(borders, lambda b: b <= _place(order)))
+
+
+def with_segment(rows: DataFrame, key: str, order: list[str], out: str, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
+    """Number the segments of every key from 0, in the order's direction.
+
+    A row is compared with every FAN-th border first and then with the FAN
+    borders that follow the last one not after it.
+    """
+    borders = segment_borders(rows, key, order, segment_rows)
+    # at most MAX_SEGMENTS places in all
+    placed = rows.join(F.broadcast(borders), key, "left")
+    every = F.col("_nb_borders")
+    coarse = F.filter(every, lambda b, i: i % FAN == 0)
+    block = F.col("_nb_block")
+    inside = block * FAN + _not_after(F.slice(every, block * FAN + 1, F.lit(FAN)), order)
+    return placed.withColumn("_nb_block", _not_after(coarse, order) - 1) \
+        .withColumn(out, F.when(every.isNull() | (block < 0), 0).otherwise(inside)) \
+        .select(*rows.columns, out)
+
+
+def _segmented(rows: DataFrame, key: str, order: list[str], out: str, bucket_seconds: int | None, ts_col: str, segment_rows: int) -> DataFrame:
+    if bucket_seconds is not None:
+        return rows.withColumn(out, _bucket(ts_col, bucket_seconds))
+    return with_segment(rows, key, order, out, segment_rows)
+
+
 def with_sequence(df: DataFrame, key: str, order: list[str], out: str, hot: DataFrame | None = None,
-                  bucket_seconds: int = 3600) -> DataFrame:
+                  bucket_seconds: int | None = None, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
     """Add the 1-based position of every row in its key, ordered by ``order``.
 
-    Hot keys are numbered per time bucket, plus the rows of the buckets before.
+    Hot keys are numbered per segment, plus the rows of the segments before.
     """
     plain = F.row_number().over(Window.partitionBy(key).orderBy(*order))
     if hot is None:
         return df.withColumn(out, plain)
     normal, rows = split_hot(df, hot, key)
     b = "_nb_bucket"
-    rows = rows.withColumn(b, _bucket(order[0], bucket_seconds))
+    rows = _segmented(rows, key, order, b, bucket_seconds, order[0], segment_rows)
     before = F.sum("_nb_n").over(Window.partitionBy(key).orderBy(b).rowsBetween(Window.unboundedPreceding, -1))
     sizes = rows.groupBy(key, b).agg(F.count(F.lit(1)).alias("_nb_n")) \
         .select(key, b, F.coalesce(before, F.lit(0)).alias("_nb_before"))
@@ -91,7 +151,7 @@ def with_sequence(df: DataFrame, key: str, order: list[str], out: str, hot: Data
 
 def with_neighbors(df: DataFrame, key: str, order: list[str], leads: dict[str, str],
                    lags: dict[str, str], hot: DataFrame | None = None, ts_col: str | None = None,
-                   bucket_seconds: int = 3600) -> DataFrame:
+                   bucket_seconds: int | None = None, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
     """Add lead(1)/lag(1) columns over ``key`` ordered by ``order``.
 
     ``leads`` / ``lags`` map output column -> source column. Without ``hot``
@@ -108,11 +168,10 @@ def with_neighbors(df: DataFrame, key: str, order: list[str], leads: dict[str, s
 
     if hot is None:
         return plain(df)
-    ts_col = ts_col or order[0]
     normal, hot_rows = split_hot(df, hot, key)
 
     b = "_nb_bucket"
-    hot_rows = hot_rows.withColumn(b, _bucket(ts_col, bucket_seconds))
+    hot_rows = _segmented(hot_rows, key, order, b, bucket_seconds, ts_col or order[0], segment_rows)
     wb = Window.partitionBy(key, b).orderBy(*order)
     wb_all = wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     inner = hot_rows.withColumns({
@@ -122,7 +181,7 @@ def with_neighbors(df: DataFrame, key: str, order: list[str], leads: dict[str, s
         "_nb_n": F.count(F.lit(1)).over(wb_all),
     })
 
-    # per (key, bucket): first and last row of the bucket, in window order
+    # per (key, segment): its first and last row, in window order
     srcs_first = sorted(set(leads.values()))
     srcs_last = sorted(set(lags.values()))
     seg = hot_rows.groupBy(key, b).agg(
