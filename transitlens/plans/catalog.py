@@ -400,6 +400,80 @@ def q_published_views(spark, sf_dir):
     return spark.table("transitlens_gold.worst_carrier")
 
 
+def q_late_files_worst_routes(spark, sf_dir):
+    """Worst routes of a lake whose runs load what the file ledger hasn't seen.
+
+    The first day lacks the shipments and scans of every third order and the
+    hub departures of every fifth; the files that hold them come a day later
+    into the first day's folder, beside a second day's folder with copies.
+    """
+    import uuid
+
+    from transitlens.plans import daily
+    from transitlens.session import checkpoint_dir
+
+    root = f"{checkpoint_dir(spark).rstrip('/')}/transitlens/late/{uuid.uuid4().hex}"
+    fx, n = bronze_from_tables(spark, sf_dir), _order_key()
+    ships, scans = as_text(fx.shipments), as_text(fx.scans)
+    late = (n % 3 == 0) | (n % 5 == 0) & F.col("event_id").endswith("D")
+
+    def csv(df, name):
+        df.write.mode("append").option("header", "true").csv(f"{root}/raw/{name}")
+
+    def json(df, name):
+        df.write.mode("append").json(f"{root}/raw/{name}")
+
+    csv(fx.hubs, "2026-05-01/hub_master")
+    csv(ships.filter(n % 3 != 0), "2026-05-01/shipment_master")
+    json(scans.filter(~late), "2026-05-01/checkpoint_scan_events")
+    daily.run_daily(spark, f"{root}/raw", f"{root}/lake", "2026-05-01", ledger=True)
+    csv(ships.filter(n % 3 == 0), "2026-05-01/shipment_master")
+    json(scans.filter(late), "2026-05-01/checkpoint_scan_events")
+    json(scans.filter(n % 7 == 0), "2026-05-02/checkpoint_scan_events")
+    daily.run_daily(spark, f"{root}/raw", f"{root}/lake", "2026-05-02", ledger=True)
+    return spark.read.parquet(f"{root}/lake/gold/worst_routes")
+
+
+def q_evolved_table(spark, sf_dir):
+    """The gold rollup over a catalogued table whose older partitions lack total_time.
+
+    Dates of odd days were written before the column came, with the delay
+    under an older name, which a rename mends on landing; the others hold it.
+    """
+    import uuid
+
+    from transitlens.operators.dedup import append_by_name
+    from transitlens.session import checkpoint_dir
+    from transitlens.sources.sinks import publish_partitions, rename_columns
+
+    run = uuid.uuid4().hex
+    path, name = f"{checkpoint_dir(spark).rstrip('/')}/transitlens/evolved/{run}", f"transitlens_evolved_{run}"
+    cols = ["hub_name", "shipment_id", "delay_profile", "delay_seconds", "timestamp_date"]
+    stays = silver_from_tables(spark, sf_dir).stays
+    odd = F.coalesce(F.dayofmonth("timestamp_date") % 2 == 1, F.lit(True))
+    older = stays.filter(odd).select(*cols).withColumnRenamed("delay_seconds", "delay_secs")
+    publish_partitions(rename_columns(older, {"delay_secs": "delay_seconds"}), name, path, "timestamp_date")
+    table = publish_partitions(stays.filter(~odd).select(*cols[:-1], "total_time", "timestamp_date"), name, path, "timestamp_date")
+    missing = F.col("total_time").isNull()
+    filled = append_by_name(table.filter(~missing), G.with_total_time(table.filter(missing).drop("total_time")))
+    return as_text(G.hub_day_gold(filled))
+
+
+def q_one_hour_journey(spark, sf_dir):
+    """All scans of the table as one journey within an hour, split at quantiles and stitched."""
+    from transitlens.operators.skew import hot_key_frame, with_neighbors, with_sequence
+
+    second = F.pmod(_order_key() * 7919, F.lit(3600))
+    scans = bronze_from_tables(spark, sf_dir).scans.select(
+        F.lit("ALL").alias("journey"), "event_id", "scan_type",
+        F.timestamp_seconds(F.lit(1_775_001_600) + second).alias("scan_timestamp"))
+    hot = hot_key_frame(spark, "journey", ["ALL"])
+    order = ["scan_timestamp", "event_id"]
+    joined = with_neighbors(scans, "journey", order, {"next_event_id": "event_id", "next_scan_type": "scan_type"},
+                            {"prev_event_id": "event_id"}, hot, segment_rows=10_000)
+    return as_text(with_sequence(joined, "journey", order, "scan_seq", hot, segment_rows=10_000).drop("journey"))
+
+
 QUERIES: dict[str, Query] = {
     "shipment_zone_sla": q_shipment_zone_sla,
     "shipment_profile": q_shipment_profile,
@@ -443,4 +517,7 @@ QUERIES: dict[str, Query] = {
     "intake_worst_routes": q_intake_worst_routes,
     "json_layouts": q_json_layouts,
     "published_views": q_published_views,
+    "late_files_worst_routes": q_late_files_worst_routes,
+    "evolved_table": q_evolved_table,
+    "one_hour_journey": q_one_hour_journey,
 }

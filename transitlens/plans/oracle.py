@@ -493,4 +493,13 @@ FROM (SELECT CAST(substr(shipment_id, 5) AS BIGINT) AS n FROM scans) JOIN (VALUE
 GROUP BY layout""")
     q["published_views"] = q["carrier_delay"]
     q["worst_routes_hot_split"] = q["worst_routes"]
+    q["late_files_worst_routes"] = q["worst_routes"]
+    q["evolved_table"] = q["hub_day_gold"]
+    q["one_hour_journey"] = _with(f"""
+SELECT event_id, scan_type, {_ts('scan_timestamp')},
+       lead(event_id) OVER w AS next_event_id, lead(scan_type) OVER w AS next_scan_type, lag(event_id) OVER w AS prev_event_id,
+       CAST(row_number() OVER w AS INTEGER) AS scan_seq
+FROM (SELECT event_id, scan_type,
+             TIMESTAMP '2026-04-01 00:00:00' + to_seconds((CAST(substr(shipment_id, 5) AS BIGINT) * 7919) % 3600) AS scan_timestamp FROM scans)
+WINDOW w AS (ORDER BY scan_timestamp, event_id)""")
     return q
