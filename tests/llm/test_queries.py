@@ -23,3 +23,21 @@ def test_query(spark, name):
     assert sorted(out.columns) == columns
     mine = [tuple(_plain(r[c]) for c in columns) for r in out.collect()]
     assert ordered(mine) == ordered([tuple(_plain(r[c]) for c in columns) for r in rows])
+
+
+def test_frequent_pre_tokens_come_from_all_over_the_table(spark):
+    """Words of a source that stands last are found, however the rows are ordered; the limit holds."""
+    import public_tokenizers
+    from pyspark.sql import functions as F
+
+    from transitlens.llm import token_counts
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    rows = spark.range(0, 30_000, 1, 6).select(
+        F.col("id").alias("key"), F.when(F.col("id") < 25_000, "first words here").otherwise("zebra quagga okapi").alias("text"))
+    got = token_counts.frequent_lengths(rows, path)
+    assert set(got) == set("first words here zebra quagga okapi".split())
+    assert all(n == len(token_counts.model(path).encode(u)) for u, n in got.items())
+    odd = spark.createDataFrame([(1, ""), (2, "\nzebra zebra"), (3, "  "), (4, "x" * 100 + " x x")], "key long, text string")
+    assert set(token_counts.frequent_lengths(odd, path)) == {"x"}
+    assert token_counts.frequent_lengths(odd.limit(0), path) == {}

@@ -2,8 +2,8 @@
 
 A piece model of this kind never merges across a space or a newline, so a text
 falls into pre-tokens whose token counts add up. The lengths of frequent
-pre-tokens (found in a bounded sample of rows, at most ``FREQUENT`` of them)
-are broadcast; a pre-token that isn't among them goes through a cache that a
+pre-tokens (counted by Spark in a random sample of about ``SAMPLE_ROWS`` rows
+from all over the table, at most ``FREQUENT`` of them) are broadcast; a pre-token that isn't among them goes through a cache that a
 Python worker keeps between tasks and that starts anew at ``CACHE`` entries, and
 only what misses both is encoded, a batch of distinct ones at a time. Texts
 with runs of spaces, and all texts of a model for which the rule doesn't hold
@@ -31,8 +31,9 @@ from transitlens.llm.worker_cache import held
 FREQUENT = 32_768        # entries of the broadcast table, each of at most LONGEST characters
 LONGEST = 64             # longer pre-tokens are neither broadcast nor cached
 CACHE = 1_000_000        # entries of a worker's cache
-SAMPLE_ROWS = 1_000      # rows that the frequent pre-tokens are looked for in
+SAMPLE_ROWS = 10_000     # rows that the frequent pre-tokens are looked for in; counts don't depend on them
 SAMPLE_CHARS = 50_000    # longest text taken into that sample
+TALLY = 200_000          # distinct pre-tokens that a task of the sample holds at most
 BLOCK = "▁"
 
 _MODELS: dict[str, object] = {}
@@ -110,13 +111,33 @@ def count_batch(path: str, texts: list[str], frequent: dict[str, int], split: bo
     return out
 
 
-def frequent_lengths(texts: DataFrame, path: str) -> dict[str, int]:
-    """Token counts of the most frequent pre-tokens in a bounded sample of the rows."""
+def _tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pre-tokens of the texts with how often they occur, summed up per task."""
     counts: Counter[str] = Counter()
-    sample = texts.filter(F.length("text") <= SAMPLE_CHARS).limit(SAMPLE_ROWS)
-    for r in sample.collect():
-        counts.update(u for u in pre_tokens(r["text"]) or [] if u and len(u) <= LONGEST and r["text"][0] != "\n")
-    top = [u for u, n in counts.most_common(FREQUENT) if n > 1]
+
+    def flushed() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["u", "n"])
+
+    for b in batches:
+        for t in b.column("text").to_pylist():
+            # a text that starts with a newline is encoded whole
+            if t[0] != "\n":
+                counts.update(u for u in pre_tokens(t) or [] if u and len(u) <= LONGEST)
+            if len(counts) > TALLY:
+                yield flushed()
+                counts.clear()
+    if counts:
+        yield flushed()
+
+
+def frequent_lengths(texts: DataFrame, path: str) -> dict[str, int]:
+    """Token counts of the most frequent pre-tokens in a sample of the rows, spread over all of them."""
+    n = texts.count()
+    if not n:
+        return {}
+    sample = texts.sample(fraction=min(1.0, SAMPLE_ROWS / n), seed=11).filter((F.col("text") != "") & (F.length("text") <= SAMPLE_CHARS))
+    counts = sample.select("text").mapInArrow(_tallied, "u string, n long").groupBy("u").agg(F.sum("n").alias("n"))
+    top = [r["u"] for r in counts.filter("n > 1").orderBy(F.desc("n"), "u").limit(FREQUENT).collect()]
     return dict(zip(top, _length(model(path), top))) if top else {}
 
 
@@ -125,7 +146,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 4096, key: str = "doc_
     ship_package(docs.sparkSession)
     d = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     split = splits_at_spaces(path)
-    table = d.sparkSession.sparkContext.broadcast(frequent_lengths(d.filter("text != ''"), path) if split else {})
+    table = d.sparkSession.sparkContext.broadcast(frequent_lengths(d, path) if split else {})
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
