@@ -1,4 +1,4 @@
-"""Exact token counts by a map-side two-tier lookup, without a pre-token shuffle.
+"""Exact token counts by a map-side two-tier lookup: no pre-token of the texts is shuffled, only the sample's tallies are.
 
 A piece model of this kind never merges across a space or a newline, so a text
 falls into pre-tokens whose token counts add up. The lengths of frequent
