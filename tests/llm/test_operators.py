@@ -295,7 +295,25 @@ def test_rule_order_doesnt_change_verdicts(docs):
     two = quality_rules.judge(d, rules=quality_rules.text_rules()[::-1])
     assert got(one, "doc_id", "kept") == got(two, "doc_id", "kept")
     kept = quality_rules.keep_good(docs)
-    assert kept.columns == docs.columns and kept.count() == one.filter("kept").count()
+    assert kept.columns == docs.columns
+    assert got(kept, "doc_id", "text") == got(quality_rules.judge(docs.select("doc_id", "text")).filter("kept"), "doc_id", "text")
+
+
+def test_each_text_rule_agrees_with_the_statistics(docs):
+    words = F.inline(F.array(F.struct(quality_rules.words_of(F.col("text")).alias("__words"))))
+    d = quality_rules.with_stats(docs.select("doc_id", "text").select("doc_id", "text", words))
+    few, repeated = (r.reject for r in quality_rules.all_rules("text", F.col("__words"))[:2])
+    few_, repeated_ = (r.reject for r in quality_rules.base_rules())
+    assert d.filter((few != few_) | (repeated != repeated_) | repeated.isNull()).count() == 0
+    assert d.filter(repeated).count() > 0
+
+
+def test_cascade_order_is_greedy_over_what_is_left():
+    # rule 1 rejects most per cost; of the rest, rule 2 rejects nothing that rule 1 has left
+    patterns = [((False, True, True), 60), ((True, False, False), 10), ((False, False, False), 30)]
+    assert quality_rules.greedy_order(patterns, [1.0, 1.0, 1.0]) == [1, 0, 2]
+    assert quality_rules.greedy_order(patterns, [1.0, 100.0, 2.0]) == [2, 0, 1]
+    assert quality_rules.greedy_order([], [1.0, 2.0]) == [0, 1]
 
 
 def test_rules_by_rejections_per_cost(spark):
