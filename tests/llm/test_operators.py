@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import math
+import random
 import zlib
 from types import SimpleNamespace
 
@@ -135,6 +136,22 @@ def test_apportionment_is_highest_quotients(spark):
         assert won == {i: sum(b == i for _, b in bids) for _, i, _ in votes}
 
 
+@pytest.mark.parametrize("bands", [3, 1_000])
+def test_apportionment_in_bands(spark, bands):
+    rng = random.Random(bands)
+    groups = {0: [rng.randrange(1, 10**6) for _ in range(150)], 1: [500] * 90, 2: [0] * 5,        # many votes, all equal, none
+              3: [rng.choice([1, 10, 10, 1_000]) for _ in range(80)], None: [7]}
+    parts = spark.createDataFrame([(g, i, v) for g, votes in groups.items() for i, v in enumerate(votes)], "g int, i int, votes long")
+    for seats in (0, 1_234):
+        out = mixing.apportion(parts.repartition(3), ["g"], "votes", F.lit(seats), "i", "won", bands).collect()
+        for g, votes in groups.items():
+            bids = sorted((-v / (2 * j - 1), i) for i, v in enumerate(votes) if v for j in range(1, seats + 2))[:seats]
+            want = [0] * len(votes)
+            for _, i in bids:
+                want[i] += 1
+            assert [r["won"] for r in sorted((r for r in out if r["g"] == g), key=lambda r: r["i"])] == want
+
+
 def test_mixed_documents(docs):
     plan = mixing.mix(mixing.sized(docs)).groupBy("source").agg(F.sum("taken").alias("n"))
     out = mixing.mixed_documents(docs)

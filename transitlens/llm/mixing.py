@@ -15,6 +15,10 @@
    blocks once more, from a seeded place on, round the end. A document's
    taken words are its overlap with the taken blocks, repeats counted.
 
+Quotients aren't ranked in one window: they are counted in bands between the
+quantiles of their group's quotients, and only the band in which the last seat
+falls is ranked, so a source of very many shards is no single task.
+
 Only (document, source, size) rows are shuffled, never texts, except to the
 documents' own rows where the caller asks for them back. Everything follows
 from the data and the seed, so reruns agree.
@@ -31,12 +35,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from transitlens.llm.quality_rules import WORD, words_of
+from transitlens.llm.scratch import Scratch
 
 WEIGHTS = (5, 2, 1)
 SHARE_PCT = 150
 MAX_EPOCHS = 2
 BLOCK_WORDS = 32
 SHARD_WORDS = 40_000
+BANDS = 1_000            # quantiles that the quotients of a group are cut at
 
 
 def _digest(key: str, what: str, seed: int) -> Column:
@@ -66,38 +72,77 @@ def targets(sources: DataFrame, share_pct: int = SHARE_PCT, max_epochs: int = MA
         .select("source", "source_size", "rank", "target")
 
 
-def apportion(parts: DataFrame, group: list[str], votes: str, seats: Column, order: str, out: str) -> DataFrame:
+def _same(keys: list[str], left: str, right: str) -> Column:
+    """Rows agree in all keys, nulls being equal."""
+    cond = F.lit(True)
+    for c in keys:
+        cond = cond & F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
+    return cond
+
+
+def highest(bids: DataFrame, group: list[str], bid: str, order: str, seats: str, bands: int = BANDS) -> DataFrame:
+    """The ``seats`` highest bids of each group; equal ones in the order of the whole numbers in ``order``.
+
+    Bids are counted in bands between quantiles of the group, a bid that equals
+    a quantile apart from those between, so that equal bids, however many, are
+    in a band of their own; that one is cut further by ``order``. Bands above
+    the one with the last seat win whole, and rows are ranked in that one alone.
+    At most bands * (bands + 2) counts of a group meet in a window.
+    """
+    cuts = bids.groupBy(*group).agg(
+        F.sort_array(F.array_distinct(F.percentile_approx(bid, [i / bands for i in range(bands + 1)], 10 * bands)), False).alias("__cuts"),
+        F.min(order).alias("__first"), (F.max(order) - F.min(order) + 1).alias("__orders"))
+    b = bids.alias("b").join(cuts.alias("c"), _same(group, "b", "c")).select("b.*", "c.__cuts", "c.__first", "c.__orders")
+    above = F.size(F.filter("__cuts", lambda c: c > F.col(bid)))
+    equal = F.coalesce(F.get(F.col("__cuts"), above) == F.col(bid), F.lit(False))
+    b = b.withColumn("__above", above).withColumn("__band", 2 * F.col("__above") + F.when(equal, 1).otherwise(0)) \
+        .withColumn("__part", F.when(equal, F.floor((F.col(order) - F.col("__first")) * bands / F.col("__orders"))).otherwise(0).cast("long")) \
+        .drop("__cuts", "__first", "__orders", "__above")
+    spot = ["__band", "__part"]
+    counts = b.groupBy(*group, *spot).agg(F.count(F.lit(1)).alias("__in"), F.max(seats).alias("__seats"))
+    counts = counts.withColumn("__before", F.sum("__in").over(Window.partitionBy(*group).orderBy(*spot)) - F.col("__in")) \
+        .filter("__before < __seats")
+    b = b.alias("b").join(counts.alias("k"), _same([*group, *spot], "b", "k")).select("b.*", "k.__before", "k.__in")
+    whole = F.col("__before") + F.col("__in") <= F.col(seats)
+    place = F.row_number().over(Window.partitionBy(*group, *spot).orderBy(F.col(bid).desc(), order))
+    last = b.filter(~whole).withColumn("__place", place).filter(F.col("__before") + F.col("__place") <= F.col(seats))
+    return b.filter(whole).select(*bids.columns).unionByName(last.select(*bids.columns))
+
+
+def apportion(parts: DataFrame, group: list[str], votes: str, seats: Column, order: str, out: str, bands: int = BANDS) -> DataFrame:
     """``parts`` with ``out``: the seats of each part in its group by Sainte-Laguë.
 
     A divisor lies between V / (K + n/2) and V / (K - n/2) for n parts, K seats
     and V votes, so each part surely gets the seats at the first and can't
-    exceed those at the second; only the quotients between, about 2 n, are
-    ranked. Ties go to the part that is first in ``order``.
+    exceed those at the second; only the quotients between, about 2 n, compete
+    (:func:`highest`). Ties go to the part that is first in ``order``, a whole
+    number that names the part in its group. ``seats`` is one number a group.
+    Parts and quotients are stored, as they are read several times over.
     """
-    g = Window.partitionBy(*group)
-    n, v, k = F.count(F.lit(1)).over(g), F.sum(votes).over(g), F.col("__k")
+    k, scratch = F.col("__k"), Scratch(parts.sparkSession, "seats")
+    parts = scratch.write(parts, "parts")
+    per = parts.withColumn("__k", seats.cast("long")).groupBy(*group).agg(
+        F.max("__k").alias("__k"), F.count(F.lit(1)).alias("__n"), F.sum(votes).cast("double").alias("__v"))
     share = F.col(votes) / F.col("__v")
-    est = parts.withColumn("__k", seats.cast("long")).withColumn("__n", n).withColumn("__v", v.cast("double")) \
+    est = parts.alias("p").join(per.alias("g"), _same(group, "p", "g")).select("p.*", "g.__k", "g.__n", "g.__v") \
         .withColumn("__lo", F.when((F.col("__v") > 0) & (k > 0), F.greatest(
             F.floor(share * (k - F.col("__n") / 2)) - 1, F.lit(0))).otherwise(F.lit(0)).cast("long")) \
         .withColumn("__hi", F.when((F.col("__v") > 0) & (k > 0) & (F.col(votes) > 0),
                                    F.ceil(share * (k + F.col("__n") / 2)) + 2).otherwise(F.col("__lo")).cast("long"))
-    rest = F.col("__k") - F.sum("__lo").over(g)
-    est = est.withColumn("__rest", rest)
+    sure = est.groupBy(*group).agg((F.max("__k") - F.sum("__lo")).alias("__rest"))
     bids = est.filter("__hi > __lo").select(
-        *group, order, "__rest", F.col(votes).alias("__votes"),
+        *group, order, F.col(votes).alias("__votes"),
         F.explode(F.sequence(F.col("__lo") + 1, F.col("__hi"))).alias("__j"))
-    place = F.row_number().over(Window.partitionBy(*group).orderBy(
-        (F.col("__votes") / (2 * F.col("__j") - 1)).desc(), order, "__j"))
-    won = bids.withColumn("__p", place).filter("__p <= __rest").groupBy(*group, order).agg(
-        F.count(F.lit(1)).alias("__won"))
-    keys = [F.col(f"e.{c}").eqNullSafe(F.col(f"w.{c}")) for c in [*group, order]]
-    cond = keys[0]
-    for c in keys[1:]:
-        cond = cond & c
-    joined = est.alias("e").join(won.alias("w"), cond, "left")
-    return joined.select(*[F.col(f"e.{c}") for c in parts.columns],
-                         (F.col("e.__lo") + F.coalesce(F.col("w.__won"), F.lit(0))).alias(out))
+    bids = bids.alias("b").join(sure.alias("s"), _same(group, "b", "s")).select(
+        *[f"b.{c}" for c in [*group, order]], "s.__rest", (F.col("b.__votes") / (2 * F.col("b.__j") - 1)).alias("__bid"))
+    bids = scratch.write(bids, "bids")
+    won = highest(bids, group, "__bid", order, "__rest", bands).groupBy(*group, order).agg(F.count(F.lit(1)).alias("__won"))
+    joined = est.alias("e").join(won.alias("w"), _same([*group, order], "e", "w"), "left")
+    out = scratch.write(joined.select(*[F.col(f"e.{c}") for c in parts.columns],
+                                      (F.col("e.__lo") + F.coalesce(F.col("w.__won"), F.lit(0))).alias(out)), "won")
+    for table in ("parts", "bids"):
+        scratch.drop(table)
+    return out
 
 
 def sized(docs: DataFrame) -> DataFrame:
