@@ -325,14 +325,6 @@ def test_each_text_rule_agrees_with_the_statistics(docs):
     assert d.filter(repeated).count() > 0
 
 
-def test_cascade_order_is_greedy_over_what_is_left():
-    # rule 1 rejects most per cost; of the rest, rule 2 rejects nothing that rule 1 has left
-    patterns = [((False, True, True), 60), ((True, False, False), 10), ((False, False, False), 30)]
-    assert quality_rules.greedy_order(patterns, [1.0, 1.0, 1.0]) == [1, 0, 2]
-    assert quality_rules.greedy_order(patterns, [1.0, 100.0, 2.0]) == [2, 0, 1]
-    assert quality_rules.greedy_order([], [1.0, 2.0]) == [0, 1]
-
-
 def test_rules_by_rejections_per_cost(spark):
     d = spark.range(1000)
     r = lambda name, share, cost: quality_rules.Rule(name, F.col("id") < share * 1000, F.lit(cost))

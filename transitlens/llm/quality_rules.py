@@ -2,10 +2,9 @@
 
 A rule is a boolean column over a document. A sample of about ``SAMPLE_ROWS``
 documents is stored; each rule's cost is the time that Spark takes for it over
-the sample, and one aggregation counts the patterns of rules that reject
-together. The rule with the most rejections per cost comes first, the next is
-the best over the documents that the first ones leave, and so on; the rules
-become one CASE expression, which stops at the first that rejects. The order
+the sample, and one aggregation gives the share of documents that it rejects.
+In descending order of rejections per cost the rules become one CASE
+expression, which stops at the first that rejects. The order
 changes what a document costs and which rule is named as its first, never
 whether it is kept: the verdict is the conjunction of all rules.
 
@@ -156,7 +155,7 @@ def all_rules(text: str, words: Column) -> list[Rule]:
 
 
 def order_rules(docs: DataFrame, rules: list[Rule], fraction: float | None = None, seed: int = 7) -> list[Rule]:
-    """``rules`` by rejections per cost on a sample, each among what the earlier ones leave; without ``fraction``, of about SAMPLE_ROWS."""
+    """``rules`` by rejections per cost on a sample, highest first, ties in the given order; without ``fraction``, of about SAMPLE_ROWS."""
     if len(rules) < 2:
         return list(rules)
     if fraction is None:
@@ -164,10 +163,11 @@ def order_rules(docs: DataFrame, rules: list[Rule], fraction: float | None = Non
     scratch = Scratch(docs.sparkSession, "rules")
     sample = scratch.write(docs.sample(False, fraction, seed).repartition(SAMPLE_PARTS), "sample")
     flags = [F.coalesce(r.reject, F.lit(False)).alias(f"r{i}") for i, r in enumerate(rules)]
-    patterns = [(tuple(r[:-1]), r[-1]) for r in sample.select(*flags).groupBy(*[f"r{i}" for i in range(len(rules))]).count().collect()]
+    rejected = sample.agg(*[F.count_if(f).alias(f"r{i}") for i, f in enumerate(flags)]).first()
     costs = [_seconds(sample, f) if r.cost is None else sample.agg(F.avg(r.cost)).first()[0] or 0.0 for r, f in zip(rules, flags)]
     scratch.drop("sample")
-    return [rules[i] for i in greedy_order(patterns, costs)]
+    gain = [n / max(cost, 1e-9) for n, cost in zip(rejected, costs)]
+    return [rules[i] for i in sorted(range(len(rules)), key=lambda i: (-gain[i], i))]
 
 
 def _seconds(sample: DataFrame, flag: Column) -> float:
@@ -180,17 +180,6 @@ def _seconds(sample: DataFrame, flag: Column) -> float:
     return min(took)
 
 
-def greedy_order(patterns: list[tuple[tuple[bool, ...], int]], costs: list[float]) -> list[int]:
-    """Places of the rules in cascade order; ``patterns`` counts the documents by which rules reject them. Ties keep the given order."""
-    rest, out = list(range(len(costs))), []
-    while rest:
-        best = max(rest, key=lambda i: (sum(n for f, n in patterns if f[i]) / max(costs[i], 1e-9), -i))
-        rest.remove(best)
-        out.append(best)
-        patterns = [(f, n) for f, n in patterns if not f[best]]
-    return out
-
-
 def cascade(rules: list[Rule]) -> Column:
     """The name of the first rule in order that rejects, else null; later rules aren't evaluated."""
     out = F.lit(None).cast("string")
