@@ -164,3 +164,19 @@ def test_segments_of_nothing_and_of_repeated_rows(spark):
     assert with_segment(none, "shipment_id", order, "seg", segment_rows=10).collect() == []
     same = spark.createDataFrame([("e", "HOT", "Agra", None, "ARRIVED", dt.datetime(2026, 4, 1), "SUCCESS", "minor")] * 500, schemas.SCAN_EVENTS)
     assert {r["seg"] for r in with_segment(same, "shipment_id", order, "seg", segment_rows=10).collect()} == {1}
+
+
+def test_many_segments_are_found_by_halving(spark):
+    """More borders than a row should be compared with: no expression runs over all of them, and operators can share the segments."""
+    from transitlens.operators.skew import with_segment, with_sequence
+
+    order, df = ["scan_timestamp", "event_id"], one_instant(spark)
+    cut = with_segment(df, "shipment_id", order, "seg", segment_rows=10)
+    assert "lambda" not in cut._jdf.queryExecution().optimizedPlan().toString()
+    hot = hot_key_frame(spark, "shipment_id", ["HOT"])
+    args = ("shipment_id", order, {"n": "hub_name"}, {"p": "hub_name"})
+    cols = ["event_id", "n", "p", "at"]
+    plain = with_sequence(with_neighbors(df, *args), "shipment_id", order, "at").select(*cols)
+    split = with_sequence(with_neighbors(cut, *args, hot, segment="seg"), "shipment_id", order, "at", hot, segment="seg").select(*cols)
+    assert cut.agg(F.count_distinct("seg")).first()[0] > 300
+    assert sorted(map(str, plain.collect())) == sorted(map(str, split.collect()))

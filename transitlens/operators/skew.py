@@ -38,7 +38,6 @@ from transitlens.sources.reference import bounded_broadcast, local_frame
 SEGMENT_ROWS = 1_000_000  # rows of a hot key that one task windows, about
 SAMPLED = 16              # sampled rows for each of its segments
 MAX_SEGMENTS = 4_096      # segments of all hot keys, which bounds the broadcast borders
-FAN = 64                  # borders that a row is compared with on each of two levels
 
 
 def detect_hot_keys(df: DataFrame, key: str, min_share: float = 0.01, fraction: float = 0.01,
@@ -101,46 +100,46 @@ def segment_borders(rows: DataFrame, key: str, order: list[str], segment_rows: i
     return sample.filter(F.col("_rn") % step == 0).groupBy(key).agg(F.sort_array(F.collect_set("_at")).alias("_nb_borders")).checkpoint()
 
 
-def _not_after(borders: Column, order: list[str]) -> Column:
-    return F.size(F.filter(borders, lambda b: b <= _place(order)))
-
-
 def with_segment(rows: DataFrame, key: str, order: list[str], out: str, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
     """Number the segments of every key from 0, in the order's direction.
 
-    A row is compared with every FAN-th border first and then with the FAN
-    borders that follow the last one not after it.
+    A row's segment is found by halving: as many comparisons as the largest
+    number of borders has binary digits, each a projection of its own, so that
+    a row's cost hardly grows with the number of segments.
     """
     borders = segment_borders(rows, key, order, segment_rows)
+    most = borders.agg(F.max(F.size("_nb_borders"))).first()[0] or 0
     # at most MAX_SEGMENTS places in all
-    placed = rows.join(F.broadcast(borders), key, "left")
-    every = F.col("_nb_borders")
-    coarse = F.filter(every, lambda b, i: i % FAN == 0)
-    block = F.col("_nb_block")
-    inside = block * FAN + _not_after(F.slice(every, block * FAN + 1, F.lit(FAN)), order)
-    return placed.withColumn("_nb_block", _not_after(coarse, order) - 1) \
-        .withColumn(out, F.when(every.isNull() | (block < 0), 0).otherwise(inside)) \
-        .select(*rows.columns, out)
-
-
-def _segmented(rows: DataFrame, key: str, order: list[str], out: str, bucket_seconds: int | None, ts_col: str, segment_rows: int) -> DataFrame:
+    placed = rows.join(F.broadcast(borders), key, "left").withColumns({"_nb_at": _place(order), out: F.lit(0)})
+    for step in reversed([1 << i for i in range(int(most).bit_length())]):
+        # the border that follows the next ``step - 1``; null past the end, and for a key without borders
+        border = F.get("_nb_borders", F.col(out) + (step - 1))
+        placed = placed.withColumn(out, F.col(out) + F.when(border <= F.col("_nb_at"), step).otherwise(0))
+    return placed.select(*rows.columns, out)
+
+
+def _segmented(rows: DataFrame, key: str, order: list[str], out: str, bucket_seconds: int | None, ts_col: str, segment_rows: int,
+               segment: str | None) -> DataFrame:
+    if segment is not None:
+        return rows.withColumn(out, F.col(segment))
     if bucket_seconds is not None:
         return rows.withColumn(out, _bucket(ts_col, bucket_seconds))
     return with_segment(rows, key, order, out, segment_rows)
 
 
 def with_sequence(df: DataFrame, key: str, order: list[str], out: str, hot: DataFrame | None = None,
-                  bucket_seconds: int | None = None, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
+                  bucket_seconds: int | None = None, segment_rows: int = SEGMENT_ROWS, segment: str | None = None) -> DataFrame:
     """Add the 1-based position of every row in its key, ordered by ``order``.
 
     Hot keys are numbered per segment, plus the rows of the segments before.
+    ``segment`` names a column of :func:`with_segment` that the rows have already.
     """
     plain = F.row_number().over(Window.partitionBy(key).orderBy(*order))
     if hot is None:
         return df.withColumn(out, plain)
     normal, rows = split_hot(df, hot, key)
     b = "_nb_bucket"
-    rows = _segmented(rows, key, order, b, bucket_seconds, order[0], segment_rows)
+    rows = _segmented(rows, key, order, b, bucket_seconds, order[0], segment_rows, segment)
     before = F.sum("_nb_n").over(Window.partitionBy(key).orderBy(b).rowsBetween(Window.unboundedPreceding, -1))
     sizes = rows.groupBy(key, b).agg(F.count(F.lit(1)).alias("_nb_n")) \
         .select(key, b, F.coalesce(before, F.lit(0)).alias("_nb_before"))
@@ -151,12 +150,14 @@ def with_sequence(df: DataFrame, key: str, order: list[str], out: str, hot: Data
 
 def with_neighbors(df: DataFrame, key: str, order: list[str], leads: dict[str, str],
                    lags: dict[str, str], hot: DataFrame | None = None, ts_col: str | None = None,
-                   bucket_seconds: int | None = None, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
+                   bucket_seconds: int | None = None, segment_rows: int = SEGMENT_ROWS, segment: str | None = None) -> DataFrame:
     """Add lead(1)/lag(1) columns over ``key`` ordered by ``order``.
 
     ``leads`` / ``lags`` map output column -> source column. Without ``hot``
     this is one Window. With ``hot`` (a frame of hot key values) the hot rows
     are windowed per (key, floor(ts / bucket_seconds)) and stitched.
+    ``segment`` names a column of :func:`with_segment` (over ``order`` or its
+    first columns) that the rows have already.
     """
     # rows that are equal in ``order`` follow the neighbour columns, alike on both paths
     order = [*order, *sorted({*leads.values(), *lags.values()} - {*order})]
@@ -171,7 +172,7 @@ def with_neighbors(df: DataFrame, key: str, order: list[str], leads: dict[str, s
     normal, hot_rows = split_hot(df, hot, key)
 
     b = "_nb_bucket"
-    hot_rows = _segmented(hot_rows, key, order, b, bucket_seconds, ts_col or order[0], segment_rows)
+    hot_rows = _segmented(hot_rows, key, order, b, bucket_seconds, ts_col or order[0], segment_rows, segment)
     wb = Window.partitionBy(key, b).orderBy(*order)
     wb_all = wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     inner = hot_rows.withColumns({

@@ -461,7 +461,7 @@ def q_evolved_table(spark, sf_dir):
 
 def q_one_hour_journey(spark, sf_dir):
     """All scans of the table as one journey within an hour, split at quantiles and stitched."""
-    from transitlens.operators.skew import hot_key_frame, with_neighbors, with_sequence
+    from transitlens.operators.skew import hot_key_frame, with_neighbors, with_segment, with_sequence
 
     second = F.pmod(_order_key() * 7919, F.lit(3600))
     scans = bronze_from_tables(spark, sf_dir).scans.select(
@@ -469,9 +469,11 @@ def q_one_hour_journey(spark, sf_dir):
         F.timestamp_seconds(F.lit(1_775_001_600) + second).alias("scan_timestamp"))
     hot = hot_key_frame(spark, "journey", ["ALL"])
     order = ["scan_timestamp", "event_id"]
-    joined = with_neighbors(scans, "journey", order, {"next_event_id": "event_id", "next_scan_type": "scan_type"},
-                            {"prev_event_id": "event_id"}, hot, segment_rows=10_000)
-    return as_text(with_sequence(joined, "journey", order, "scan_seq", hot, segment_rows=10_000).drop("journey"))
+    # one journey, so all rows are hot; both operators share its segments
+    cut = with_segment(scans, "journey", order, "segment", segment_rows=10_000)
+    joined = with_neighbors(cut, "journey", order, {"next_event_id": "event_id", "next_scan_type": "scan_type"},
+                            {"prev_event_id": "event_id"}, hot, segment="segment")
+    return as_text(with_sequence(joined, "journey", order, "scan_seq", hot, segment="segment").drop("journey", "segment"))
 
 
 QUERIES: dict[str, Query] = {
