@@ -191,6 +191,31 @@ def test_lm_probabilities_sum_to_one():
     assert abs(np.exp(m.log_probabilities(np.arange(lm.OUTPUTS), context)).sum() - 1) < 1e-5
 
 
+def _any_model(scale):
+    m = lm.Model.new(lm.Vocabulary(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.ones(lm.OUTPUTS, np.int64), np.ones(lm.CLASSES, np.int64), 1, 1))
+    r = np.random.default_rng(5)
+    m.p = {k: (scale * r.standard_normal(x.shape)).astype(np.float32) for k, x in m.p.items()}
+    return m, r.integers(0, lm.OUTPUTS, 2_000), r.integers(0, lm.OUTPUTS + 1, (2_000, lm.CONTEXT))
+
+
+@pytest.mark.parametrize("scale", [0.3, 4.0])     # large weights: float32 products vanish
+def test_lm_log_probabilities_equal_the_softmax_of_all_scores(scale):
+    m, target, context = _any_model(scale)
+    p = {k: x.astype(np.float64) for k, x in m.p.items()}
+    s = (p["in"][context] * p["place"]).sum(1) @ p["out"].T + p["bias"]
+    s -= s.max(1, keepdims=True)
+    want = s[np.arange(len(s)), target] - np.log(np.exp(s).sum(1))
+    assert np.allclose(m.log_probabilities(target, context), want, rtol=1e-4, atol=1e-4)
+
+
+def test_lm_scoring_takes_exponentials_once_a_place_not_once_a_token(monkeypatch):
+    m, target, context = _any_model(0.3)
+    seen, real = [], np.exp
+    monkeypatch.setattr(np, "exp", lambda x, *a, **k: (seen.append(np.size(x)), real(x, *a, **k))[1])
+    m.log_probabilities(np.tile(target, 10), np.tile(context, (10, 1)))
+    assert sum(seen) <= lm.CONTEXT * (lm.OUTPUTS + 1) * lm.OUTPUTS
+
+
 def test_lm_learns_from_every_training_text(docs, rows):
     """Each task passes over all texts outside the fold, repeated ids and null ones included."""
     blocks = lm.B.pack_blocks(docs, "doc_id", "text", 20_000)

@@ -15,8 +15,10 @@ with all output embeddings, plus biases, are the scores of the outputs. They
 are trained by noise-contrastive estimation against the unigram noise: first
 on a sample of about ``INIT_TOKENS`` tokens in the driver, then by every task
 on all training texts of its blocks, the results being averaged by tokens.
-For scoring, batched matrix products give all outputs of every context, so
-each token's log probability is normalised exactly.
+An output's score is a sum over the places of the context, so for scoring
+matrix products give, once for each place, the exponentials of all outputs
+after every embedding; their products over a context's places, added up,
+normalise each token's log probability exactly.
 
 Words are named by 64-bit hashes; for a corpus of 10^9 distinct words, the
 chance that any two share a name is about 3 %.
@@ -49,7 +51,8 @@ CONTEXT, WIDTH = 4, 20
 INIT_TOKENS, INIT_EPOCHS = 300_000, 3
 BATCH, NOISE = 256, 48
 RATE = 0.08
-ROWS = 4_096                    # contexts in one matrix product
+ROWS = 512                      # contexts scored at once
+LEAST = 1e-30                   # sums below are made anew from the scores: float32 products may have vanished
 END = np.uint64(0x5851F42D4C957F2D)
 _START = OUTPUTS                # stands before the first token
 
@@ -219,15 +222,28 @@ class Model:
 
     def log_probabilities(self, target: np.ndarray, context: np.ndarray) -> np.ndarray:
         """Natural logs of the normalised probabilities of the target outputs."""
+        score = [(self.p["in"] * place) @ self.p["out"].T for place in self.p["place"]]
+        score[0] += self.p["bias"]
+        score = [x - x.max(1, keepdims=True) for x in score]      # falls out of the quotient
+        factor = [np.exp(x) for x in score]
         out = np.empty(len(target), np.float64)
-        side, bias = np.ascontiguousarray(self.p["out"].T), self.p["bias"]
+        product, one = (np.empty((ROWS, OUTPUTS), np.float32) for _ in range(2))
         for i in range(0, len(target), ROWS):
-            t = target[i:i + ROWS]
-            s = self.predictions(context[i:i + ROWS]) @ side
-            s += bias
-            s -= s.max(1, keepdims=True)
-            own = s[np.arange(len(t)), t].astype(np.float64)
-            out[i:i + ROWS] = own - np.log(np.exp(s, out=s).sum(1, dtype=np.float64))
+            t, c = target[i:i + ROWS], context[i:i + ROWS]
+            n = len(t)
+            after = [f.take(c[:, j], 0, out=x[:n], mode="clip") for j, (f, x) in enumerate(zip(factor, (product, one)))]
+            for j in range(2, CONTEXT):
+                after[0] *= after[1]
+                factor[j].take(c[:, j], 0, out=one[:n], mode="clip")
+            own = sum(x[c[:, j], t].astype(np.float64) for j, x in enumerate(score))
+            total = np.einsum("co,co->c", *after).astype(np.float64)
+            few = np.flatnonzero(total < LEAST)
+            logs = np.log(np.maximum(total, LEAST))
+            if len(few):
+                s = sum(x[c[few, j]].astype(np.float64) for j, x in enumerate(score))
+                most = s.max(1)
+                logs[few] = most + np.log(np.exp(s - most[:, None]).sum(1))
+            out[i:i + ROWS] = own - logs
         return out
 
     def train(self, target: np.ndarray, context: np.ndarray, epochs: int, seed: int, rate: float = RATE) -> None:
@@ -236,25 +252,33 @@ class Model:
         share = (v.counts + 0.5) / (v.counts.sum() + 0.5 * OUTPUTS)
         r, log_noise, p = np.random.default_rng(seed), np.log(NOISE * share).astype(np.float32), self.p
         draw = np.cumsum(share)
+        target, context = target.astype(np.int16), context.astype(np.int16)     # sorted by radix
         for _ in range(epochs):
             order = r.permutation(len(target))
             for i in range(0, len(order) - len(order) % BATCH or len(order), BATCH):
                 k = order[i:i + BATCH]
                 t, c = target[k], context[k]
                 noise = np.minimum(np.searchsorted(draw, r.random(NOISE)), OUTPUTS - 1)
-                near = p["in"][c]
-                q = (near * p["place"]).sum(1)
-                own = (q * p["out"][t]).sum(1) + p["bias"][t] - log_noise[t]
-                other = q @ p["out"][noise].T + p["bias"][noise] - log_noise[noise]
-                g = (1 / (1 + np.exp(np.clip(own, -30, 30)))).astype(np.float32)             # towards the target
-                h = (-1 / (1 + np.exp(np.clip(-other, -30, 30)))).astype(np.float32)         # away from the noise
-                dq = g[:, None] * p["out"][t] + h @ p["out"][noise]
-                steps = {"out": (np.concatenate([t, noise]), np.concatenate([g[:, None] * q, h.T @ q])),
-                         "bias": (np.concatenate([t, noise]), np.concatenate([g, h.sum(0)])),
-                         "in": (c.ravel(), (dq[:, None] * p["place"]).reshape(-1, WIDTH))}
-                place = (dq[:, None] * near).sum(0)
-                for name, (rows, grad) in steps.items():
-                    self._step(name, *_summed(rows, grad), rate)
+                side = np.concatenate([t, noise.astype(np.int16)])
+                n = len(t)
+                near = p["in"].take(c, 0)
+                q = np.einsum("bcw,cw->bw", near, p["place"])
+                out, bias = p["out"].take(side, 0), (p["bias"] - log_noise).take(side)
+                own = np.einsum("bw,bw->b", q, out[:n]) + bias[:n]
+                other = q @ out[n:].T + bias[n:]
+                g = 1 / (1 + np.exp(np.clip(own, -30, 30)))              # towards the target
+                h = -1 / (1 + np.exp(np.clip(-other, -30, 30)))          # away from the noise
+                dq = g[:, None] * out[:n] + h @ out[n:]
+                up = np.empty((len(side), WIDTH + 1), np.float32)        # of output embeddings and biases
+                np.multiply(g[:, None], q, out=up[:n, :WIDTH])
+                np.matmul(h.T, q, out=up[n:, :WIDTH])
+                up[:n, WIDTH], up[n:, WIDTH] = g, h.sum(0)
+                place = np.einsum("bw,bcw->cw", dq, near)
+                rows, grad = _summed(side, lambda by: up.take(by, 0))
+                inner, dnear = _summed(c.ravel(), lambda by: dq.take(by // CONTEXT, 0) * p["place"].take(by % CONTEXT, 0))
+                self._step("out", rows, grad[:, :WIDTH], rate)
+                self._step("bias", rows, grad[:, WIDTH], rate)
+                self._step("in", inner, dnear, rate)
                 self._step("place", slice(None), place, rate)
 
     def _step(self, name: str, rows, grad: np.ndarray, rate: float) -> None:
@@ -273,12 +297,12 @@ class Model:
         return Model(self.vocabulary, out, self.seen)
 
 
-def _summed(rows: np.ndarray, grad: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Gradients of equal rows added up."""
+def _summed(rows: np.ndarray, grad) -> tuple[np.ndarray, np.ndarray]:
+    """Gradients of equal rows added up; ``grad`` gives those of the rows at some places."""
     order = np.argsort(rows, kind="stable")
     s = rows[order]
     at = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
-    return s[at], np.add.reduceat(grad[order], at)
+    return s[at], np.add.reduceat(grad(order), at)
 
 
 def contexts(out: np.ndarray, first: np.ndarray) -> np.ndarray:
