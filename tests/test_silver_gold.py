@@ -182,3 +182,16 @@ def test_tied_scan_timestamps_are_ordered_by_event_id(spark):
     ], schemas.SCAN_EVENTS)
     st = build_silver(sh, sc, R.hub_master(spark), R.city_distances(spark)).stays
     assert sorted(r.event_id for r in st.collect()) == ["a1", "a3"]
+
+
+def test_hub_day_silver_takes_the_smallest_hub_id_without_sorting_the_stays(spark):
+    day, none = dt.date(2026, 4, 1), None
+    rows = [("Delhi", "HUB002", "S1", 7200, K.MINOR_DELAY, day), ("Delhi", "HUB001", "S2", 0, none, day), ("Delhi", none, none, none, none, day),
+            ("Delhi", "HUB001", "S3", 9000, K.MAJOR_DELAY, day), (none, none, "S4", 10, none, none)]
+    out = hub_day_silver(spark.createDataFrame(rows, "hub_name string, hub_id string, shipment_id string, delay_seconds long, "
+                                                     "delay_category string, timestamp_date date"))
+    got = {r.hub_name: tuple(r)[2:] for r in out.collect()}
+    assert got == {"Delhi": ("HUB001", 3, 2, 4.5, 2.25), None: (None, 1, 0, 0.0, 0.0)}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # the sums of each hub id are hashed; only they are sorted for the smallest text
+    assert plan.rindex("HashAggregate") > plan.rindex("SortAggregate")

@@ -151,13 +151,15 @@ def hub_day_silver(stays: DataFrame) -> DataFrame:
     """
     over_sec = K.NORMAL_MAX_HRS * 3600
     delayed = F.col("delay_seconds") > over_sec
-    agg = (stays.groupBy("hub_name", "timestamp_date")
-                .agg(F.min("hub_id").alias("hub_id"),
-                     F.count("shipment_id").alias("total_shipments_of_day"),
-                     F.count(F.when(F.col("delay_category").isin(K.MINOR_DELAY, K.MAJOR_DELAY), True))
-                      .alias("delayed_shipments_of_day"),
-                     F.sum(F.when(delayed, F.col("delay_seconds")).otherwise(F.lit(0)))
-                      .alias("_delay_sec")))
+    keys, counts = ["hub_name", "timestamp_date"], ["total_shipments_of_day", "delayed_shipments_of_day", "_delay_sec"]
+    # the smallest text of a group would sort all stays: hub ids are a key of the sums first, the few sums are sorted
+    by_id = (stays.groupBy(*keys, "hub_id")
+                  .agg(F.count("shipment_id").alias("total_shipments_of_day"),
+                       F.count(F.when(F.col("delay_category").isin(K.MINOR_DELAY, K.MAJOR_DELAY), True))
+                        .alias("delayed_shipments_of_day"),
+                       F.sum(F.when(delayed, F.col("delay_seconds")).otherwise(F.lit(0)))
+                        .alias("_delay_sec")))
+    agg = by_id.groupBy(*keys).agg(F.min("hub_id").alias("hub_id"), *[F.sum(c).alias(c) for c in counts])
     return (agg.withColumn("total_delay_hours_of_day", F.col("_delay_sec") / F.lit(3600.0))
                .withColumn("avg_delay_hours_of_day",
                            F.when(F.col("delayed_shipments_of_day") != 0,
