@@ -4,12 +4,12 @@ One shipment per order that has line items; one hub visit per line item,
 two scans (arrival, departure) per visit. The mapping uses integer
 arithmetic only, so the DuckDB oracle can rebuild exactly the same rows.
 
-Layout: the line items are hash-partitioned by ``shipment_id`` once, for the
-visit window (:func:`visit_rows`); shipments and scans are projections of
-that frame. When the bronze layer is stored (plans.layers), the visit rows
-are written once and both tables are derived from the file; downstream, the
-shipment x scan join, the lead/lag windows and the de-duplication all
-cluster on the same key.
+Layout: the line items are hash-partitioned by order once, for the visit
+window (:func:`visit_rows`), as numbers alone; shipments and scans are
+projections of that frame, which add the texts that they need. When the bronze
+layer is stored (plans.layers), the visit rows are written once and both
+tables are derived from the file; downstream, the shipment x scan join, the
+lead/lag windows and the de-duplication all cluster on shipment_id.
 """
 
 from __future__ import annotations
@@ -50,74 +50,66 @@ def _sid(key: str) -> F.Column:
 def visits(lineitem: DataFrame) -> DataFrame:
     """One row per line item = one hub visit, ordered inside its order."""
     li = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
-    w = Window.partitionBy("shipment_id").orderBy("l_linenumber", "l_partkey", "l_suppkey")
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    v = (li.withColumn("shipment_id", _sid("l_orderkey"))
-           .withColumns({
-               "city_ix": (F.col("l_suppkey") % 40).cast("int"),
-               "dwell_h": F.col("l_quantity").cast("bigint") % 20 + 1,
-               "travel_h": F.col("l_partkey") % 30 + 2,
-               "am": F.col("l_suppkey") % 60,
-               "dm": F.col("l_partkey") % 60,
-           }))
-    return v.withColumns({
+    dwell_h, travel_h = F.col("l_quantity").cast("bigint") % 20 + 1, F.col("l_partkey") % 30 + 2
+    city = lambda key: (key % 40).cast("int")
+    # what follows from a row's own columns is computed after the window, so the shuffle carries those columns alone
+    v = li.withColumns({
         "seq": F.row_number().over(w),
         "n": F.count(F.lit(1)).over(whole),
-        "base_min": F.coalesce(F.sum(F.col("dwell_h") * 60 + F.col("travel_h") * 60).over(before), F.lit(0)),
-        "origin_ix": F.first("city_ix").over(whole),
-        "dest_ix": F.last("city_ix").over(whole),
+        "base_min": F.coalesce(F.sum(dwell_h * 60 + travel_h * 60).over(before), F.lit(0)),
+        "_first": F.first("l_suppkey").over(whole),
+        "_last": F.last("l_suppkey").over(whole),
     })
+    return v.select("l_orderkey", "seq", "n", "base_min", (F.col("l_suppkey") % 60).alias("am"), (F.col("l_partkey") % 60).alias("dm"),
+                    dwell_h.alias("dwell_h"), city(F.col("l_suppkey")).alias("city_ix"),
+                    city(F.col("_first")).alias("origin_ix"), city(F.col("_last")).alias("dest_ix"))
 
 
-def order_attributes(orders: DataFrame) -> DataFrame:
-    """Per-order shipment attributes (ids, booking time, carrier, type, profile)."""
-    o = orders.select("o_orderkey", "o_custkey")
+def order_attributes(vs: DataFrame) -> DataFrame:
+    """Add the shipment attributes of each row's order (ids, booking time, carrier, type, profile)."""
     carrier = None
     for i, name in enumerate(K.CARRIERS):
         cond = (F.col("o_custkey") % len(K.CARRIERS)) == i
         carrier = F.when(cond, F.lit(name)) if carrier is None else carrier.when(cond, F.lit(name))
-    m8, m10 = F.col("o_orderkey") % 8, F.col("o_orderkey") % 10
+    m8, m10 = F.col("l_orderkey") % 8, F.col("l_orderkey") % 10
     booking = add_minutes(F.to_timestamp(F.lit(BOOKING_START)),
-                          ((F.col("o_orderkey") * 37) % BOOKING_SPAN_MIN).cast("int"))
-    return o.select(
-        _sid("o_orderkey").alias("shipment_id"),
-        F.concat(F.lit("ORD-"), F.col("o_orderkey").cast("string")).alias("order_id"),
-        F.concat(F.lit("CUST-"), F.col("o_custkey").cast("string")).alias("customer_id"),
-        carrier.alias("carrier_name"),
-        F.when(m8 <= 1, "Express").when(m8 <= 5, "Standard").otherwise("Economy").alias("shipment_type"),
-        F.when(m10 <= 6, "normal").when(m10 <= 8, "minor").otherwise("major").alias("delay_profile"),
-        F.round(F.lit(0.1) + (F.col("o_custkey") % 2990) / F.lit(100.0), 2).alias("weight_kg"),
-        booking.alias("booking_timestamp"),
-    )
+                          ((F.col("l_orderkey") * 37) % BOOKING_SPAN_MIN).cast("int"))
+    return vs.withColumns({
+        "shipment_id": _sid("l_orderkey"),
+        "order_id": F.concat(F.lit("ORD-"), F.col("l_orderkey").cast("string")),
+        "customer_id": F.concat(F.lit("CUST-"), F.col("o_custkey").cast("string")),
+        "carrier_name": carrier,
+        "shipment_type": F.when(m8 <= 1, "Express").when(m8 <= 5, "Standard").otherwise("Economy"),
+        "delay_profile": F.when(m10 <= 6, "normal").when(m10 <= 8, "minor").otherwise("major"),
+        "weight_kg": F.round(F.lit(0.1) + (F.col("o_custkey") % 2990) / F.lit(100.0), 2),
+        "booking_timestamp": booking,
+    })
 
 
 def visit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Visits with their order attributes, city names and hub id (one row per line item).
+    """Visits with the customer of their order (one row per line item of an order that is there), numbers only.
 
-    The single shuffle of the line items (by shipment_id) happens here; shipments
+    The single shuffle of the line items (by order) happens here; shipments
     and scans are both projections of this frame.
     """
     v = visits(read_table(spark, sf_dir, "lineitem"))
-    o = order_attributes(read_table(spark, sf_dir, "orders"))
-    vo = v.join(o, "shipment_id", "inner")
-    names = R.bounded_broadcast(R.cities(spark).select("city_ix", "city"))
-    vo = (vo.join(names.withColumnRenamed("city_ix", "_cix").withColumnRenamed("city", "hub_name"),
-                  F.col("city_ix") == F.col("_cix"), "left")
-            .join(names.withColumnRenamed("city_ix", "_oix").withColumnRenamed("city", "origin_hub"),
-                  F.col("origin_ix") == F.col("_oix"), "left")
-            .join(names.withColumnRenamed("city_ix", "_dix").withColumnRenamed("city", "destination_hub"),
-                  F.col("dest_ix") == F.col("_dix"), "left")
-            .drop("_cix", "_oix", "_dix"))
-    return with_hub_id(vo, R.hub_master(spark), "hub_name", "hub_id").select(
-        "shipment_id", "l_orderkey", "seq", "n", "base_min", "am", "dm", "dwell_h", "hub_name", "hub_id",
-        "origin_hub", "destination_hub", "order_id", "customer_id", "carrier_name", "shipment_type",
-        "delay_profile", "weight_kg", "booking_timestamp")
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return v.join(o, F.col("l_orderkey") == F.col("o_orderkey"), "inner").drop("o_orderkey")
+
+
+def _with_city(vs: DataFrame, index: str, out: str) -> DataFrame:
+    """Add the name of the city with the number in ``index``."""
+    names = R.bounded_broadcast(R.cities(vs.sparkSession).select(F.col("city_ix").alias("_ix"), F.col("city").alias(out)))
+    return vs.join(names, F.col(index) == F.col("_ix"), "left").drop("_ix")
 
 
 def shipments_from_visits(vs: DataFrame, distances: DataFrame) -> DataFrame:
     """One shipment per order: the first visit's row, with distance, zone, SLA, promise."""
-    ship = vs.filter(F.col("seq") == 1).select(
+    first = order_attributes(vs.filter(F.col("seq") == 1))
+    ship = _with_city(_with_city(first, "origin_ix", "origin_hub"), "dest_ix", "destination_hub").select(
         "shipment_id", "order_id", "customer_id", "carrier_name", "shipment_type",
         "origin_hub", "destination_hub", "weight_kg", "booking_timestamp")
     ship = with_road_distance(ship, distances, "origin_hub", "destination_hub", "distance_km")
@@ -148,7 +140,8 @@ def scans_from_visits(vs: DataFrame, with_duplicates: bool = False) -> DataFrame
         scans_arr = F.flatten(F.array_repeat(F.array(arrival, departure), copies))
     else:
         scans_arr = F.array(arrival, departure)
-    return (vs.select("shipment_id", "hub_name", "hub_id", "delay_profile", F.inline(scans_arr))
+    vo = with_hub_id(_with_city(order_attributes(vs), "city_ix", "hub_name"), R.hub_master(vs.sparkSession), "hub_name", "hub_id")
+    return (vo.select("shipment_id", "hub_name", "hub_id", "delay_profile", F.inline(scans_arr))
               .select("event_id", "shipment_id", "hub_name", "hub_id", "scan_type",
                       "scan_timestamp", F.lit("SUCCESS").alias("scan_status"), "delay_profile"))
 
