@@ -29,3 +29,12 @@ def test_shipments_and_scans_of_visits(spark, tables):
     assert sorted(r[0] for r in fx.shipments.select("shipment_id").collect()) == ["SHP-1", "SHP-2"]
     scans = fx.scans.groupBy("shipment_id").agg(F.sort_array(F.collect_list("event_id")).alias("e")).orderBy("shipment_id").collect()
     assert [r["e"] for r in scans] == [[f"EVT-{k}-{n}{x}" for n in (1, 2) for x in "AD"] for k in (1, 2)]
+
+
+def test_hot_split_counts_the_scans_once(spark, tables, monkeypatch):
+    seen, real = [], skew.detect_hot_keys
+    count = lambda *a, **k: (seen.append(a), real(*a, **k))[1]
+    monkeypatch.setattr(skew, "detect_hot_keys", count)
+    monkeypatch.setattr(layers, "detect_hot_keys", count)
+    catalog.q_worst_routes_hot_split(spark, tables).collect()
+    assert len(seen) == 1
