@@ -31,6 +31,28 @@ def test_shipments_and_scans_of_visits(spark, tables):
     assert [r["e"] for r in scans] == [[f"EVT-{k}-{n}{x}" for n in (1, 2) for x in "AD"] for k in (1, 2)]
 
 
+class Landed(Exception):
+    pass
+
+
+def test_intake_lands_compressed_json(spark, tables, monkeypatch):
+    from transitlens.plans import daily
+    from transitlens.sources.files import names
+    from transitlens.streaming import ingest
+
+    def feed(spark_, source, lake, dataset, *rest):
+        if dataset == "checkpoint_scan_events":
+            raise Landed(names(spark_, f"{source}/0"), rest[-1])
+
+    monkeypatch.setattr(daily, "land_rows", lambda *a: None)
+    monkeypatch.setattr(ingest, "feed_lake", feed)
+    with pytest.raises(Landed) as got:
+        catalog.q_intake_worst_routes(spark, tables)
+    files, pattern = got.value.args
+    parts = [n for n in files if n.startswith("part-")]
+    assert parts and all(n.endswith(".json.gz") for n in parts) and pattern == "*.json*"
+
+
 def test_hot_split_counts_the_scans_once(spark, tables, monkeypatch):
     seen, real = [], skew.detect_hot_keys
     count = lambda *a, **k: (seen.append(a), real(*a, **k))[1]

@@ -363,8 +363,8 @@ def q_intake_worst_routes(spark, sf_dir):
     as_text(fx.shipments).write.parquet(f"{root}/in/shipment_master")
     feed_lake(spark, f"{root}/in/shipment_master", f"{root}/lake", "shipment_master", f"{root}/ck/shipments")
     for part, rows in enumerate((scans.filter(arrival), scans.filter(~arrival))):
-        rows.write.json(f"{root}/in/scans/{part}")
-        feed_lake(spark, f"{root}/in/scans", f"{root}/lake", "checkpoint_scan_events", f"{root}/ck/scans", "json", "*.json")
+        rows.write.option("compression", "gzip").json(f"{root}/in/scans/{part}")
+        feed_lake(spark, f"{root}/in/scans", f"{root}/lake", "checkpoint_scan_events", f"{root}/ck/scans", "json", "*.json*")
     return spark.read.parquet(f"{root}/lake/gold/worst_routes")
 
 
