@@ -60,3 +60,18 @@ def test_hot_split_counts_the_scans_once(spark, tables, monkeypatch):
     monkeypatch.setattr(layers, "detect_hot_keys", count)
     catalog.q_worst_routes_hot_split(spark, tables).collect()
     assert len(seen) == 1
+
+
+def test_gzipped_json_is_taken_in_as_a_whole(spark, tables, tmp_path):
+    from transitlens import schemas
+    from transitlens.plans.layers import as_text
+    from transitlens.streaming.ingest import ingest_incremental
+
+    scans = as_text(fixtures.build(spark, tables).scans)
+    for part in (0, 1):
+        scans.filter(F.col("event_id").endswith("AD"[part])).write.option("compression", "gzip").json(f"{tmp_path}/in/{part}")
+        got = ingest_incremental(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/ck", schemas.SCAN_EVENTS, "json", "*.json*")
+        assert got["rows"] == 4
+    out = spark.read.parquet(f"{tmp_path}/out")
+    assert out.filter("_rejected").count() == 0
+    assert sorted(map(tuple, as_text(out.select(*scans.columns)).collect())) == sorted(map(tuple, scans.collect()))
