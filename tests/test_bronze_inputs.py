@@ -16,9 +16,9 @@ def tables(spark, tmp_path):
     return str(tmp_path)
 
 
-def test_visit_rows_shuffle_numbers_only(spark, tables):
+def test_visit_rows_are_numbers_beside_the_id(spark, tables):
     rows = fixtures.visit_rows(spark, tables)
-    assert not [f.name for f in rows.schema if f.dataType.simpleString() in ("string", "timestamp")]
+    assert [f.name for f in rows.schema if f.dataType.simpleString() in ("string", "timestamp")] == ["shipment_id"]
     got = sorted(tuple(r) for r in rows.select("l_orderkey", "seq", "n", "base_min", "city_ix", "origin_ix", "dest_ix", "o_custkey").collect())
     first = (11 + 9) * 60     # dwell of 10 % 20 + 1 hours, travel of 7 % 30 + 2
     assert got == [(1, 1, 2, 0, 3, 3, 3, 5), (1, 2, 2, first, 3, 3, 3, 5), (2, 1, 2, 0, 1, 1, 1, 12), (2, 2, 2, (11 + 22) * 60, 1, 1, 1, 12)]

@@ -4,8 +4,8 @@ One shipment per order that has line items; one hub visit per line item,
 two scans (arrival, departure) per visit. The mapping uses integer
 arithmetic only, so the DuckDB oracle can rebuild exactly the same rows.
 
-Layout: the line items are hash-partitioned by order once, for the visit
-window (:func:`visit_rows`), as numbers alone; shipments and scans are
+Layout: the line items are hash-partitioned by ``shipment_id`` once, for the visit
+window (:func:`visit_rows`), as numbers beside that id; shipments and scans are
 projections of that frame, which add the texts that they need. When the bronze
 layer is stored (plans.layers), the visit rows are written once and both
 tables are derived from the file; downstream, the shipment x scan join, the
@@ -49,8 +49,8 @@ def _sid(key: str) -> F.Column:
 
 def visits(lineitem: DataFrame) -> DataFrame:
     """One row per line item = one hub visit, ordered inside its order."""
-    li = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
+    li = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity").withColumn("shipment_id", _sid("l_orderkey"))
+    w = Window.partitionBy("shipment_id").orderBy("l_linenumber", "l_partkey", "l_suppkey")
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     dwell_h, travel_h = F.col("l_quantity").cast("bigint") % 20 + 1, F.col("l_partkey") % 30 + 2
@@ -63,13 +63,13 @@ def visits(lineitem: DataFrame) -> DataFrame:
         "_first": F.first("l_suppkey").over(whole),
         "_last": F.last("l_suppkey").over(whole),
     })
-    return v.select("l_orderkey", "seq", "n", "base_min", (F.col("l_suppkey") % 60).alias("am"), (F.col("l_partkey") % 60).alias("dm"),
+    return v.select("shipment_id", "l_orderkey", "seq", "n", "base_min", (F.col("l_suppkey") % 60).alias("am"), (F.col("l_partkey") % 60).alias("dm"),
                     dwell_h.alias("dwell_h"), city(F.col("l_suppkey")).alias("city_ix"),
                     city(F.col("_first")).alias("origin_ix"), city(F.col("_last")).alias("dest_ix"))
 
 
 def order_attributes(vs: DataFrame) -> DataFrame:
-    """Add the shipment attributes of each row's order (ids, booking time, carrier, type, profile)."""
+    """Add the other shipment attributes of each row's order (ids, booking time, carrier, type, profile)."""
     carrier = None
     for i, name in enumerate(K.CARRIERS):
         cond = (F.col("o_custkey") % len(K.CARRIERS)) == i
@@ -78,7 +78,6 @@ def order_attributes(vs: DataFrame) -> DataFrame:
     booking = add_minutes(F.to_timestamp(F.lit(BOOKING_START)),
                           ((F.col("l_orderkey") * 37) % BOOKING_SPAN_MIN).cast("int"))
     return vs.withColumns({
-        "shipment_id": _sid("l_orderkey"),
         "order_id": F.concat(F.lit("ORD-"), F.col("l_orderkey").cast("string")),
         "customer_id": F.concat(F.lit("CUST-"), F.col("o_custkey").cast("string")),
         "carrier_name": carrier,
@@ -90,14 +89,14 @@ def order_attributes(vs: DataFrame) -> DataFrame:
 
 
 def visit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Visits with the customer of their order (one row per line item of an order that is there), numbers only.
+    """Visits with the customer of their order (one row per line item of an order that is there): numbers and the id.
 
-    The single shuffle of the line items (by order) happens here; shipments
+    The single shuffle of the line items (by shipment_id) happens here; shipments
     and scans are both projections of this frame.
     """
     v = visits(read_table(spark, sf_dir, "lineitem"))
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return v.join(o, F.col("l_orderkey") == F.col("o_orderkey"), "inner").drop("o_orderkey")
+    o = read_table(spark, sf_dir, "orders").select(_sid("o_orderkey").alias("shipment_id"), "o_custkey")
+    return v.join(o, "shipment_id", "inner")
 
 
 def _with_city(vs: DataFrame, index: str, out: str) -> DataFrame:
