@@ -56,3 +56,15 @@ def test_dedup_uses_partial_aggregation(spark):
 
     p = plan(dedup_scans(fixtures.build(spark, SF_SMALL, with_duplicates=True).scans))
     assert "partial_min" in p
+
+
+def test_scans_are_shuffled_before_dedup_sorts_them(spark, tmp_dir):
+    from transitlens.operators.dedup import dedup_scans
+    from transitlens.sources import fixtures
+
+    fixtures.build(spark, SF_SMALL, with_duplicates=True).scans.write.parquet(f"{tmp_dir}/scans")
+    for newest_by in (None, "scan_status"):
+        p = plan(dedup_scans(spark.read.parquet(f"{tmp_dir}/scans"), newest_by))
+        above, below = p.split("Exchange hashpartitioning(")     # one shuffle
+        assert "Aggregate" in above and "Sort" in above
+        assert "Aggregate" not in below and "Sort" not in below  # a task that reads files keeps no rows

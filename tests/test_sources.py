@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from transitlens import schemas
 from transitlens.sources import readers as RD
 from transitlens.sources import sinks as SK
-from transitlens.operators.dedup import append_by_name, dedup
+from transitlens.operators.dedup import append_by_name, dedup, dedup_scans
 from transitlens.streaming.ingest import ingest_incremental
 
 
@@ -113,6 +113,18 @@ def test_dedup_newest_wins(spark):
     assert out == {"S1": "new", "S2": "x"}
 
 
+def test_dedup_scans_keeps_one_row_of_each_scan(spark):
+    at = dt.datetime(2026, 4, 1, 8)
+    rows = [("E1", "S1", "Pune", "ARRIVED", at, 1), ("E1", "S1", "Pune", "ARRIVED", at, 1), ("E0", "S1", "Pune", "ARRIVED", at, 0),
+            ("E2", "S1", "Pune", "DEPARTED", at, 1), ("E3", "S1", None, "ARRIVED", None, 1), ("E4", "S1", None, "ARRIVED", None, 2),
+            ("E5", None, None, None, None, 1), (None, None, None, None, None, 2)]
+    scans = spark.createDataFrame(rows, "event_id string, shipment_id string, hub_name string, scan_type string, scan_timestamp timestamp, t int")
+    assert dedup_scans(scans).columns == scans.columns
+    assert {r.event_id for r in dedup_scans(scans).collect()} == {"E0", "E2", "E3", None}
+    newest = dedup_scans(scans, newest_by="t").collect()
+    assert len(newest) == 4 and {r.event_id for r in newest} == {"E1", "E2", "E4", None}
+
+
 def test_silver_sink_and_table(spark, tmp_dir):
     df = spark.createDataFrame([("S1", dt.date(2026, 4, 1)), ("S2", dt.date(2026, 4, 2))],
                                "shipment_id string, timestamp_date date")

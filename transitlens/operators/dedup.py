@@ -5,6 +5,10 @@ than a ``row_number`` window: the aggregate is combined map-side, so even a
 key that holds a large share of all copies is collapsed before the shuffle
 instead of landing whole in one task. The choice of survivor is
 deterministic (smallest remaining columns, or newest ``newest_by``).
+
+Such an aggregate sorts all rows of a task. Scans are many and a scan has few
+copies, so they are shuffled by their keys first: a task then sorts its shuffle
+partition, not the whole file split that it reads.
 """
 
 from __future__ import annotations
@@ -34,7 +38,7 @@ def dedup(df: DataFrame, keys: list[str], newest_by: str | None = None) -> DataF
 
 def dedup_scans(scans: DataFrame, newest_by: str | None = None) -> DataFrame:
     """Scan events keyed by what was scanned, where and when (event ids restart per run); newest file wins."""
-    return dedup(scans, SCAN_KEYS, newest_by)
+    return dedup(scans.repartition(*SCAN_KEYS), SCAN_KEYS, newest_by)
 
 
 def dedup_shipments(shipments: DataFrame, newest_by: str | None = None) -> DataFrame:
