@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from transitlens.plans import daily
+from transitlens.session import tidy_shuffles
 from transitlens.sources.files import delete, hadoop, listed, read_text
 from transitlens.sources.journeys import forget_landing, index_landing
 from transitlens.sources.json_records import LINEAGE, by_keys, records
@@ -114,16 +115,17 @@ def feed_lake(spark: SparkSession, source: str, lake_root: str, dataset: str, ch
     def take(batch: DataFrame, stream: str, number: int) -> None:
         ds = f"{stream}-{number}"
         work, target = f"{lake}/_work/{dataset}-{ds}", f"{lake}/bronze/{name}/ingest_date={ds}"
-        daily.recover(spark, lake)
-        daily.intend(spark, lake, ds, work, [name])
-        forget_landing(spark, lake, name, ds)
-        rows = _rows(batch, fmt, schema)
-        rows.withColumns({f.name: F.col(f.name).cast("string") for f in schema.fields}).write.mode("overwrite").parquet(target)
-        index_landing(daily.bronze(spark, lake, name, dates=[ds]), lake, name, ds)
-        daily.intend(spark, lake, ds, work, [name])
-        daily.update_journeys(spark, lake, daily.intended(spark, work), work, hot_keys)
-        daily.publish(spark, lake, daily.recover(spark, lake))
-        delete(spark, work)
+        with tidy_shuffles(spark):
+            daily.recover(spark, lake)
+            daily.intend(spark, lake, ds, work, [name])
+            forget_landing(spark, lake, name, ds)
+            rows = _rows(batch, fmt, schema)
+            rows.withColumns({f.name: F.col(f.name).cast("string") for f in schema.fields}).write.mode("overwrite").parquet(target)
+            index_landing(daily.bronze(spark, lake, name, dates=[ds]), lake, name, ds)
+            daily.intend(spark, lake, ds, work, [name])
+            daily.update_journeys(spark, lake, daily.intended(spark, work), work, hot_keys)
+            daily.publish(spark, lake, daily.recover(spark, lake))
+            delete(spark, work)
 
     done = _run(_stream(spark, source, fmt, pattern, max_files_per_trigger), checkpoint, take)
     if not done:
